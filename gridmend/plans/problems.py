@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.operators import regular_grid, rolling, spikes
+from gridmend.functions.cols import epoch_us, floordiv, number
+from gridmend.operators import impute, regular_grid, rolling, spikes
 from gridmend.sources.tables import table
 
 CLEAN, LATEST = "conso_historiques_clean", ["ingested_at", "reading_id"]
@@ -61,4 +62,41 @@ SELECT poste_id, strftime(day, '%Y-%m-%d') AS day_utc, CAST(n AS BIGINT) AS n_da
        round(t7, 3) AS total_7, CAST(n7 AS BIGINT) AS n_7, round(CASE WHEN n7 > 0 THEN t7 / n7 END, 3) AS mean_7,
        round(t30, 3) AS total_30, CAST(n30 AS BIGINT) AS n_30, round(CASE WHEN n30 > 0 THEN t30 / n30 END, 3) AS mean_30 FROM y"""
 
-QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p5_found": p5_found, "p5_rolling": p5_rolling}
+def _slot(c="Date"):
+    return floordiv(epoch_us(F.col(c)) + 300_000_000, 600_000_000)
+
+
+def p6_cells(spark: SparkSession, d: str) -> dict[tuple[str, str], DataFrame]:
+    """The missing cells of both tables by (tbl, field): (row id, value, how)."""
+    clean, recon = table(spark, d, CLEAN), table(spark, d, "conso_historiques_reconstructed")
+    slot = _slot()
+    keys = {"poste_id": F.col("poste_id"), "Date": F.col("Date"), "slot": slot, "hour": floordiv(slot, 6), "time_of_day": F.pmod(slot, F.lit(144))}
+    groups = (("poste_id", "hour"), ("poste_id", "time_of_day"), ("poste_id",))
+    out = {}
+    for name, determinants in (("Ptot_HA", (("poste_id", "Date"),)), ("Ptot_HEI_13RT", (("poste_id", "Date"), ("Ptot_HEI", "Ptot_HEI_5RNS")))):
+        of = {k: number(F.col(k)) for ks in determinants for k in ks if k.startswith("Ptot")}
+        ref = recon.select("poste_id", slot.alias("slot"), number(F.col(name)).alias("entry")).where("entry is not null and poste_id is not null and slot is not null").groupBy("poste_id", "slot").agg(F.min("entry").alias("entry"))
+        out["clean", name] = impute.fill_cells(clean, "reading_id", keys | of, impute.Target(name, determinants, groups), reference=ref, reference_keys=("poste_id", "slot"), reference_name="reconstructed")
+    flags = tuple(f"quality_{x}" for x in ("hei_13rt", "hei_5rns", "rizomm", "campus"))
+    of = {f: F.when(F.col(f).isin(0, 1, 2, 3), F.col(f)) for f in flags}
+    target = impute.Target("quality_ha", (flags, flags[:3], flags[3:]), (("poste_id", "hour"), (flags[0],), ("poste_id",)), (0, 1, 2, 3))
+    out["reconstructed", "quality_ha"] = impute.fill_cells(recon, "recon_id", keys | of, target)
+    return out
+
+
+def p6_filled(spark: SparkSession, d: str) -> DataFrame:
+    parts = [c.select(F.lit(t).alias("tbl"), F.col(c.columns[0]).alias("row_id"), F.lit(f).alias("field"), F.col("value").cast("double").alias("value"), "how") for (t, f), c in p6_cells(spark, d).items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    return p6_filled(spark, d).where("how is not null").select("tbl", "row_id", "field")
+
+
+SQL["p6_found"] = """
+SELECT 'clean' AS tbl, reading_id AS row_id, 'Ptot_HA' AS field FROM conso_historiques_clean WHERE Ptot_HA IS NULL OR isnan(Ptot_HA)
+UNION ALL SELECT 'clean', reading_id, 'Ptot_HEI_13RT' FROM conso_historiques_clean WHERE Ptot_HEI_13RT IS NULL OR isnan(Ptot_HEI_13RT)
+UNION ALL SELECT 'reconstructed', recon_id, 'quality_ha' FROM conso_historiques_reconstructed WHERE quality_ha IS NULL OR quality_ha NOT BETWEEN 0 AND 3"""
+
+
+QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}
