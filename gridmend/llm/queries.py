@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import quantiles
-from gridmend.sources.tables import table
+from gridmend.llm import packing, quantiles
+from gridmend.llm.tokens import with_tokens
+from gridmend.sources.tables import checkpoint_dir, table
 
 ERROR, AT = 0.01, [0.05, 0.25, 0.5, 0.75, 0.95, 0.99]
 CLEAN = "conso_historiques_clean"
@@ -33,4 +34,14 @@ WITH t AS (SELECT name, CAST(poste_id AS VARCHAR) AS station, strftime(Date, '%Y
 SELECT grain, key, CAST(p AS DOUBLE) AS p, CAST(total AS BIGINT) AS n,
        round(CASE WHEN bucket = 0 THEN 0.0 ELSE sign(bucket) * exp((abs(bucket) - 1) * ln(1.01 / 0.99) + ln(1e-9)) * (2 * (1.01 / 0.99) / (1 + 1.01 / 0.99)) END, 3) AS value
 FROM q WHERE greatest(ceil(p * total - 1e-9), 1) BETWEEN upto - n + 1 AND upto"""}
-QUERIES = {"p2_percentiles": p2_percentiles}
+CAPACITY = 2048
+
+
+def p7_containers(spark: SparkSession, d: str) -> DataFrame:
+    """Every text (or piece of one longer than a container) with its container. The counts are checkpointed: they are read twice."""
+    checkpoint_dir(spark)
+    sizes = with_tokens(table(spark, d, "documents"), "doc_id", "text").checkpoint()
+    return packing.pack(spark, sizes, "doc_id", "n_tokens", CAPACITY)
+
+
+QUERIES = {"p2_percentiles": p2_percentiles, "p7_containers": p7_containers}
