@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmend.functions.cols import epoch_us, floordiv, number
-from gridmend.operators import impute, regular_grid, rolling, spikes
+from gridmend.operators import impute, regular_grid, rolling, spikes, timestamps
 from gridmend.sources.tables import table
 
 CLEAN, LATEST = "conso_historiques_clean", ["ingested_at", "reading_id"]
@@ -62,6 +62,16 @@ SELECT poste_id, strftime(day, '%Y-%m-%d') AS day_utc, CAST(n AS BIGINT) AS n_da
        round(t7, 3) AS total_7, CAST(n7 AS BIGINT) AS n_7, round(CASE WHEN n7 > 0 THEN t7 / n7 END, 3) AS mean_7,
        round(t30, 3) AS total_30, CAST(n30 AS BIGINT) AS n_30, round(CASE WHEN n30 > 0 THEN t30 / n30 END, 3) AS mean_30 FROM y"""
 
+def p4_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Every line of both feeds with its instant, or null where the stamp can't be read."""
+    feeds = [timestamps.normalise(table(spark, d, f"{f}_csv_rows"), table(spark, d, "loggers")).select(F.lit(f).alias("feed"), "line_id", "utc_us", "format", "n_readings") for f in ("conso", "meteo")]
+    return feeds[0].unionByName(feeds[1])
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return p4_lines(spark, d).where("utc_us is not null").select("feed", "line_id", "utc_us")
+
+
 def _slot(c="Date"):
     return floordiv(epoch_us(F.col(c)) + 300_000_000, 600_000_000)
 
@@ -99,4 +109,4 @@ UNION ALL SELECT 'clean', reading_id, 'Ptot_HEI_13RT' FROM conso_historiques_cle
 UNION ALL SELECT 'reconstructed', recon_id, 'quality_ha' FROM conso_historiques_reconstructed WHERE quality_ha IS NULL OR quality_ha NOT BETWEEN 0 AND 3"""
 
 
-QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}
+QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p4_found": p4_found, "p4_lines": p4_lines, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}
