@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import packing, quantiles
+from gridmend.llm import leakage, packing, quantiles
 from gridmend.llm.tokens import with_tokens
 from gridmend.sources.tables import checkpoint_dir, table
 
@@ -44,4 +44,27 @@ def p7_containers(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(spark, sizes, "doc_id", "n_tokens", CAPACITY)
 
 
-QUERIES = {"p2_percentiles": p2_percentiles, "p7_containers": p7_containers}
+def near_revisions() -> list:
+    """Revisions of a page lie together, those of a busy page in groups of 64, so that no page fills a task."""
+    return [F.col("page_id"), F.floor(F.col("rev_no") / 64)]
+
+
+def p8_places(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.find_leaks(table(spark, d, "documents"), "doc_id", "text", table(spark, d, "eval_items"), "item_id", "passage", near_revisions())
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return p8_places(spark, d).select("doc_id", "item_id").distinct()
+
+
+def p8_removal_spans(spark: SparkSession, d: str) -> DataFrame:
+    return leakage.removal_spans(p8_places(spark, d), "doc_id", "item_id")
+
+
+QUERIES = {
+    "p2_percentiles": p2_percentiles,
+    "p7_containers": p7_containers,
+    "p8_found": p8_found,
+    "p8_places": p8_places,
+    "p8_removal_spans": p8_removal_spans,
+}
