@@ -113,12 +113,10 @@ def fill_cells(df: DataFrame, row_id: str, keys: dict[str, Column], target: Targ
         missing = missing.join(side, list(group), "left")
         how.append((F.col(f"g{n}"), F.lit(f"group:{','.join(group)}")))
     if target.is_code:
-        counts = complete.groupBy("y").agg(F.count("*").alias("n"))
-        side = counts.agg(F.max(F.struct("n", (-F.col("y")).alias("neg"), "y")).alias("b")).select(F.lit(1).alias("one"), F.col("b.y").alias("a"))
+        top = complete.groupBy("y").agg(F.count("*").alias("n")).agg(F.max(F.struct("n", (-F.col("y")).alias("neg"), "y"))["y"].alias("a"))
     else:
-        side = complete.agg(F.percentile_approx("y", 0.5, 1000).alias("a")).select(F.lit(1).alias("one"), "a")
-    missing = missing.withColumn("one", F.lit(1)).join(F.broadcast(side), "one", "left")  # side: one row
-    how.append((F.col("a"), F.lit("all")))
+        top = complete.agg(F.percentile_approx("y", 0.5, 1000).alias("a"))
+    how.append((F.lit(top.first()["a"]).cast(base.schema["y"].dataType), F.lit("all")))  # one number
     value = F.coalesce(*[v for v, _ in how])
     label = reduce(lambda c, x: c.when(x[0].isNotNull(), x[1]), how, F.when(F.lit(False), F.lit(""))).otherwise(F.lit("none"))
     return missing.select(F.col("id").alias(row_id), value.alias("value"), label.alias("how"))
