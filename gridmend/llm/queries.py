@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.llm import leakage, packing, quantiles
+from gridmend.llm import leakage, packing, pii, quantiles
 from gridmend.llm.tokens import with_tokens
 from gridmend.sources.tables import checkpoint_dir, table
 
@@ -61,10 +61,25 @@ def p8_removal_spans(spark: SparkSession, d: str) -> DataFrame:
     return leakage.removal_spans(p8_places(spark, d), "doc_id", "item_id")
 
 
+def p9_documents(spark: SparkSession, d: str, masked: bool) -> DataFrame:
+    t = table(spark, d, "documents")
+    return pii.find_personal(t, "doc_id", "text", pii.fit(t, "text", "doc_id"), near_revisions(), masked)
+
+
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return p9_documents(spark, d, False).select("doc_id", F.explode("found").alias("x")).select("doc_id", "x.kind", "x.start_pos")
+
+
+def p9_masked(spark: SparkSession, d: str) -> DataFrame:
+    return p9_documents(spark, d, True).select("doc_id", F.size("found").cast("bigint").alias("n_found"), "clean")
+
+
 QUERIES = {
     "p2_percentiles": p2_percentiles,
     "p7_containers": p7_containers,
     "p8_found": p8_found,
     "p8_places": p8_places,
     "p8_removal_spans": p8_removal_spans,
+    "p9_found": p9_found,
+    "p9_masked": p9_masked,
 }
