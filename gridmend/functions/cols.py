@@ -27,6 +27,12 @@ def floordiv(c: Column, by: int) -> Column:
     return ((c - F.pmod(c, F.lit(by))) / F.lit(by)).cast("bigint")
 
 
+def fixed(c: Column | str, digits: int) -> Column:
+    """Rounded to digits; a nudge of a ten-thousandth of the last digit first, so that ties fall alike in every engine."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.round(c + 10.0 ** -(digits + 4), digits)
+
+
 def free_name(df: DataFrame, *wanted: str) -> list[str]:
     """Names that clash with no column of df (compared without case, as Spark does)."""
     taken, out = {c.lower() for c in df.columns}, []
