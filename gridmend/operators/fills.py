@@ -90,8 +90,8 @@ def weekend(g: DataFrame, r: DataFrame, day_tpl: DataFrame) -> DataFrame:
     """Gaps that are purely Saturday or Sunday (g classified): that day's median by hour, anchored and clipped; mixed ones and missing templates the median."""
     of, keys = g.where(F.col("day_type").isin("saturday", "sunday")), ["day_type", "hour"]
     got = clipped(anchored(of, template_fill(of, day_tpl, keys), r, day_tpl, keys), r)
-    rest = safe_median(g.where("day_type is not null"), r).join(got.select(*OUT), OUT, "left_anti")
-    return got.unionByName(rest)
+    p = points(g.where("day_type is not null")).join(got.withColumnRenamed("value", "got"), OUT, "left").join(medians(r).select(*KEY, "med"), KEY, "left")
+    return p.select(*OUT, F.coalesce("got", "med", F.lit(0.0)).alias("value"))
 
 
 def multi_week(g: DataFrame, r: DataFrame, weekly: DataFrame, hour_tpl: DataFrame) -> DataFrame:

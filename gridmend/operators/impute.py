@@ -52,24 +52,24 @@ def _has(keys: tuple[str, ...]) -> Column:
 
 
 def _dictionary(complete: DataFrame, keys: tuple[str, ...]) -> DataFrame:
-    """(keys, n, most, entry): per determinant the number of records, those with the commonest value, and that value (the least on ties)."""
-    counts = complete.where(_has(keys)).groupBy(*keys, "y").agg(F.count("*").alias("n"))
-    best = F.max(F.struct("n", (-F.col("y")).alias("neg"), "y"))
-    return counts.groupBy(*keys).agg(F.sum("n").alias("n"), best.alias("b")).select(*keys, "n", F.col("b.n").alias("most"), F.col("b.y").alias("entry"))
+    """(keys, __n, __most, __entry): per determinant the number of records, those with the commonest value, and that value (the least on ties)."""
+    counts = complete.where(_has(keys)).groupBy(*keys, "__y").agg(F.count("*").alias("__c"))
+    best = F.max(F.struct(F.col("__c").alias("c"), (-F.col("__y")).alias("neg"), F.col("__y").alias("y")))
+    return counts.groupBy(*keys).agg(F.sum("__c").alias("__n"), best.alias("__b")).select(*keys, "__n", F.col("__b.c").alias("__most"), F.col("__b.y").alias("__entry"))
 
 
 def mine(complete: DataFrame, target: Target, limits: Limits, reference: DataFrame | None = None, reference_keys: tuple[str, ...] = (), reference_name: str = "") -> list[Dependency]:
     """Verify each candidate over all complete records; one row a candidate comes to the driver.
 
-    complete holds the determinants and the value as y. A reference table (its value as entry) is verified by the records that share its key.
+    complete holds the determinants and the value as __y. A reference table (its value as entry) is verified by the records that share its key.
     """
     rows = []
     for i, keys in enumerate(target.determinants):
-        d = _dictionary(complete, keys).where("n > 1")
-        rows.append(d.agg(F.lit(i).alias("i"), F.sum("n").alias("n"), F.sum("most").alias("agree")))
+        d = _dictionary(complete, keys).where("__n > 1")
+        rows.append(d.agg(F.lit(i).alias("i"), F.sum("__n").alias("n"), F.sum("__most").alias("agree")))
     if reference is not None:
-        both = complete.where(_has(reference_keys)).join(reference, list(reference_keys))
-        rows.append(both.agg(F.lit(-1).alias("i"), F.count("*").alias("n"), F.sum((F.col("y") == F.col("entry")).cast("bigint")).alias("agree")))
+        both = complete.where(_has(reference_keys)).join(reference.withColumnRenamed("entry", "__entry"), list(reference_keys))
+        rows.append(both.agg(F.lit(-1).alias("i"), F.count("*").alias("n"), F.sum((F.col("__y") == F.col("__entry")).cast("bigint")).alias("agree")))
     found = {r["i"]: r for r in reduce(DataFrame.unionByName, rows).collect()} if rows else {}
     out = []
     for i, keys in [*enumerate(target.determinants), *([(-1, reference_keys)] if reference is not None else [])]:
@@ -82,7 +82,7 @@ def mine(complete: DataFrame, target: Target, limits: Limits, reference: DataFra
 def fill_cells(df: DataFrame, row_id: str, keys: dict[str, Column], target: Target, limits: Limits = Limits(), reference: DataFrame | None = None, reference_keys: tuple[str, ...] = (), reference_name: str = "") -> DataFrame:
     """One row per missing cell of the target: (row_id, value, how).
 
-    keys: the determinants and groups by name, as expressions over df. The value comes from the first of these that has one; `how` names it:
+    keys: the determinants and groups by name, as expressions over df; names must not begin with two underscores. The value comes from the first of these that has one; `how` names it:
     a verified dependency (``fd:a,b``, or ``fd:table:a,b`` from a reference table with one row per key), then the groups in the given order (``group:a,b``; the median of a
     number, the commonest of a code, least on ties), then all records (``all``). Where no record has a value, value is null and how ``none``.
     Every missing cell gives exactly one row. A null, a NaN, or a code outside `valid` is missing; a null key matches nothing. Infinite numbers
@@ -91,35 +91,35 @@ def fill_cells(df: DataFrame, row_id: str, keys: dict[str, Column], target: Targ
     Plan: only rows with a missing cell are joined; statistics are partial aggregations over all complete rows.
     Dictionaries are joined by shuffle unless Spark knows them to be small.
     """
-    base = df.select(ref(row_id).alias("id"), *[c.alias(k) for k, c in keys.items()], target.value().alias("y"))
+    base = df.select(ref(row_id).alias("__id"), *[c.alias(k) for k, c in keys.items()], target.value().alias("__y"))
     # a NaN determines nothing
-    base = base.select("id", *[number(F.col(k)).alias(k) if base.schema[k].dataType.typeName() in ("double", "float") else k for k in keys], "y")
-    complete, missing = base.where("y is not null"), base.where("y is null").drop("y")
+    base = base.select("__id", *[number(F.col(k)).alias(k) if base.schema[k].dataType.typeName() in ("double", "float") else k for k in keys], "__y")
+    complete, missing = base.where("__y is not null"), base.where("__y is null").drop("__y")
     how: list[tuple[Column, Column]] = []
     for n, dep in enumerate(d for d in mine(complete, target, limits, reference, reference_keys, reference_name) if d.accepted):
         if dep.reference:
-            side = reference.select(*dep.determinant, F.col("entry").alias(f"e{n}"))
+            side = reference.select(*dep.determinant, F.col("entry").alias(f"__e{n}"))
             label = f"fd:{dep.reference}:{','.join(dep.determinant)}"
         else:
-            side = _dictionary(complete, dep.determinant).where(F.col("most") >= limits.min_entry * F.col("n")).select(*dep.determinant, F.col("entry").alias(f"e{n}"))
+            side = _dictionary(complete, dep.determinant).where(F.col("__most") >= limits.min_entry * F.col("__n")).select(*dep.determinant, F.col("__entry").alias(f"__e{n}"))
             label = f"fd:{','.join(dep.determinant)}"
         missing = missing.join(side, list(dep.determinant), "left")
-        how.append((F.col(f"e{n}"), F.lit(label)))
+        how.append((F.col(f"__e{n}"), F.lit(label)))
     for n, group in enumerate(target.groups):
         if target.is_code:
-            side = _dictionary(complete, group).select(*group, F.col("entry").alias(f"g{n}"))
+            side = _dictionary(complete, group).select(*group, F.col("__entry").alias(f"__g{n}"))
         else:
-            side = complete.where(_has(group)).groupBy(*group).agg(F.percentile_approx("y", 0.5, 1000).alias(f"g{n}"))
+            side = complete.where(_has(group)).groupBy(*group).agg(F.percentile_approx("__y", 0.5, 1000).alias(f"__g{n}"))
         missing = missing.join(side, list(group), "left")
-        how.append((F.col(f"g{n}"), F.lit(f"group:{','.join(group)}")))
+        how.append((F.col(f"__g{n}"), F.lit(f"group:{','.join(group)}")))
     if target.is_code:
-        top = complete.groupBy("y").agg(F.count("*").alias("n")).agg(F.max(F.struct("n", (-F.col("y")).alias("neg"), "y"))["y"].alias("a"))
+        top = complete.groupBy("__y").agg(F.count("*").alias("n")).agg(F.max(F.struct("n", (-F.col("__y")).alias("neg"), F.col("__y").alias("y")))["y"].alias("a"))
     else:
-        top = complete.agg(F.percentile_approx("y", 0.5, 1000).alias("a"))
-    how.append((F.lit(top.first()["a"]).cast(base.schema["y"].dataType), F.lit("all")))  # one number
+        top = complete.agg(F.percentile_approx("__y", 0.5, 1000).alias("a"))
+    how.append((F.lit(top.first()["a"]).cast(base.schema["__y"].dataType), F.lit("all")))  # one number
     value = F.coalesce(*[v for v, _ in how])
     label = reduce(lambda c, x: c.when(x[0].isNotNull(), x[1]), how, F.when(F.lit(False), F.lit(""))).otherwise(F.lit("none"))
-    return missing.select(F.col("id").alias(row_id), value.alias("value"), label.alias("how"))
+    return missing.select(F.col("__id").alias(row_id), value.alias("value"), label.alias("how"))
 
 
 def fill_table(df: DataFrame, row_id: str, cells: dict[str, DataFrame]) -> DataFrame:
