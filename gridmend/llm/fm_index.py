@@ -14,7 +14,8 @@ def suffix_array(t: np.ndarray, bits: int) -> np.ndarray:
     key = np.zeros(n, np.int64)
     for k in range(first):
         key <<= bits + 1
-        key[: n - k] += t[k:].astype(np.int64) + 1
+        if k < n:
+            key[: n - k] += t[k:].astype(np.int64) + 1
     h = first
     while True:
         order = np.argsort(key, kind="stable")

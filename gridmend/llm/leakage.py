@@ -77,6 +77,8 @@ def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: Leak
     index = FMIndex(text, len(items.rare))
     lo, hi = index.search(items.seeds)
     n = hi - lo
+    if not n.any():
+        return []
     seed = np.repeat(np.arange(len(n)), n)
     rows = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
     pos = index.locate(rows)
