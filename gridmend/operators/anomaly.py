@@ -59,6 +59,14 @@ def zscores(r: DataFrame, beyond: float = 3.0) -> DataFrame:
     return checked(r).withColumn("z", z).where(F.abs("z") > beyond).select(*KEY, "slot", "value", "z")
 
 
+def zero_fills(r: DataFrame, fill: DataFrame, share: float = 0.01, beyond: float = 3.0, least: int = 20) -> DataFrame:
+    """Filled cells at or below share of the filled column's median and more than `beyond` deviations below it, to be filled anew."""
+    col = r.select(*KEY, "slot", "value", F.lit(None).cast("bigint").alias("gap_start")).unionByName(fill.select(*KEY, "slot", "value", "gap_start"))
+    st = col.groupBy(*KEY).agg(F.count("*").alias("n"), F.percentile("value", F.lit(0.5)).alias("med"), F.stddev_samp("value").alias("sd")).where(F.col("n") >= least)
+    low = (F.col("value") <= share * F.col("med")) & ((F.col("value") - F.col("med")) / (F.col("sd") + 1e-9) < -beyond)
+    return fill.join(st, KEY).where(low).select(*KEY, "gap_start", "slot", "value")
+
+
 def flagged_runs(flags: DataFrame) -> DataFrame:
     """Flagged readings (poste_id, site, slot, value, reason) merged into runs of consecutive slots.
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridmend.functions.cols import fixed, number
 from gridmend.operators import anomaly, audit, evaluate, features, fills, lookups, router, series, timezones, window
 from gridmend.operators.series import CAMPUS, KEY, SITES
-from gridmend.plans import engine
+from gridmend.plans import daily, engine
 from gridmend.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -601,6 +601,46 @@ def upsert_columns(s, d):
     return audit.upsert(t, b, ["poste_id", "slot"])
 
 
+@query(POINTS + """, col AS (SELECT poste_id, site, slot, value, NULL AS gap_start FROM r UNION ALL SELECT poste_id, site, slot, 0.0, gap_start FROM p), cs AS (SELECT poste_id, site, median(value) AS med, stddev_samp(value) AS sd FROM col GROUP BY ALL HAVING count(*) >= 20)
+SELECT poste_id, site, gap_start, slot, value FROM col JOIN cs USING (poste_id, site) WHERE gap_start IS NOT NULL AND value <= 0.01 * med AND (value - med) / (sd + 1e-9) < -3""")
+def zero_fill_scan(s, d):
+    """Filled numbers that are implausibly near zero, of a column filled with zeros."""
+    r = _r(s, d)
+    return anomaly.zero_fills(r, fills.zero(series.gaps(r)))
+
+
+@query(POINTS + f", lf AS (SELECT poste_id, site, slot, {LINEAR} AS v FROM pk) SELECT w.poste_id, w.slot, round(coalesce(r.value, lf.v) + 1e-7, 3) AS value FROM w LEFT JOIN r ON r.poste_id = w.poste_id AND r.slot = w.slot AND r.site = 'Ptot_HA' LEFT JOIN lf ON lf.poste_id = w.poste_id AND lf.slot = w.slot AND lf.site = 'Ptot_HA'")
+def project_back(s, d):
+    """The filled Ptot_HA at the slots that were delivered."""
+    w = series.wide(_clean(s, d))
+    r = series.long(w).where("site = 'Ptot_HA'")
+    done = r.select("poste_id", "slot", "value").unionByName(fills.linear(series.gaps(r)).select("poste_id", "slot", "value"))
+    return w.select("poste_id", "slot").join(done, ["poste_id", "slot"], "left").withColumn("value", fixed("value", 3))
+
+
+@query(GAPS + TARGET.split(",\n win AS")[0] + " SELECT poste_id, site, greatest(gap_start - (target - 1008), 0) AS idx_start, least(gap_end - (target - 1008), 1008) AS idx_end FROM g JOIN tg USING (poste_id) WHERE gap_end > target - 1008 AND gap_start < target")
+def shift_log(s, d):
+    """Gaps in positions of the last week's window, cut to it; those wholly before or after it dropped."""
+    r = _r(s, d)
+    start = F.col("target") - 1008
+    g = series.gaps(r).join(window.targets(r), "poste_id").where((F.col("gap_end") > start) & (F.col("gap_start") < F.col("target")))
+    return g.select(*KEY, F.greatest(F.col("gap_start") - start, F.lit(0)).alias("idx_start"), F.least(F.col("gap_end") - start, F.lit(1008)).alias("idx_end"))
+
+
+@query(SQL["fill_multi_week"].replace("pc AS point_confidence FROM an", "CAST((an.k - 1) // 96 AS INTEGER) AS chunk_index FROM an") + " WHERE an.gap_size > 96")
+def chunked_recovery(s, d):
+    """Gaps longer than a chunk: the weekly template chunk by chunk, anchored and clipped once over the whole gap."""
+    r = _r(s, d)
+    f, g = features.datetime_features(r), series.gaps(r).where("gap_size > 96")
+    v = fills.multi_week(g, r, lookups.weekly_templates(f), lookups.hour_template(f))
+    return v.select(*router.GAP, "slot", fixed("value", 2).alias("value"), F.floor((F.col("slot") - F.col("gap_start")) / 96).cast("int").alias("chunk_index"))
+
+
+@query()
+def daily_windows(s, d):
+    return daily.run(_clean(s, d), _meters(s, d), table(s, d, "calendar_days")).windows
+
+
 @query()
 def reconstruct(s, d):
     return engine.reconstruct(_clean(s, d), _meters(s, d), table(s, d, "calendar_days")).values
