@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from gridmend.functions.cols import floordiv
 from gridmend.operators.blocks import carry
 from gridmend.operators.series import BLOCK, KEY, median, neighbours
+from gridmend.sources.tables import checkpoint_dir
 
 
 def series_stats(r: DataFrame) -> DataFrame:
@@ -72,7 +73,9 @@ def flagged_runs(flags: DataFrame) -> DataFrame:
 
     (poste_id, site, run_start, run_end, n_slots, reasons): run_end is the last slot; reasons in order, joined by ', '.
     """
-    one = flags.groupBy(*KEY, "slot").agg(F.sort_array(F.collect_set("reason")).alias("reasons"))
+    # read three times below, and few rows: the detectors' plans are cut off in the shared checkpoint folder
+    checkpoint_dir(flags.sparkSession)
+    one = flags.groupBy(*KEY, "slot").agg(F.sort_array(F.collect_set("reason")).alias("reasons")).checkpoint()
     n = neighbours(one.select(*KEY, "slot", F.lit(0.0).alias("value")))
     x = n.join(one, [*KEY, "slot"]).select(F.struct(*KEY).alias("key"), "slot", "reasons", floordiv(F.col("slot"), BLOCK).alias("block"), F.when(F.coalesce(F.col("prev.slot") < F.col("slot") - 1, F.lit(True)), F.col("slot")).alias("start"))
     ends = x.groupBy("key", "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridmend.functions.cols import floordiv, number
+from gridmend.functions.cols import fixed, floordiv, number
 from gridmend.operators.blocks import carry
 from gridmend.operators.series import BLOCK, KEY, local
 
@@ -54,8 +54,8 @@ def full_features(slots: DataFrame, cal: DataFrame) -> DataFrame:
 
 def event_days(r: DataFrame) -> DataFrame:
     """(poste_id, site, local_date, daily_std, threshold): days whose sample deviation exceeds the series' 75th percentile of daily ones."""
-    d = datetime_features(r).groupBy(*KEY, "local_date").agg(F.round(F.stddev_samp("value"), 6).alias("daily_std")).where("daily_std is not null")
-    t = d.groupBy(*KEY).agg(F.round(F.percentile("daily_std", F.lit(0.75)), 6).alias("threshold"))
+    d = datetime_features(r).groupBy(*KEY, "local_date").agg(fixed(F.stddev_samp("value"), 3).alias("daily_std")).where("daily_std is not null")
+    t = d.groupBy(*KEY).agg(fixed(F.percentile("daily_std", F.lit(0.75)), 3).alias("threshold"))
     return d.join(t, KEY).where("daily_std > threshold")
 
 

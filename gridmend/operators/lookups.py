@@ -43,8 +43,8 @@ def weekly_templates(featured: DataFrame, lookback: int = 28, bias: float = 0.7)
     recent = F.col("slot") >= F.col("last_slot") - int(lookback * bias) * DAY
     g = x.groupBy(*KEY, "day_of_week", "hour").agg(
         median(F.when(recent, F.col("value"))).alias("m_recent"), median(F.when(~recent, F.col("value"))).alias("m_hist"),
-        F.round(F.avg("value"), 6).alias("mean"), F.round(F.stddev_pop("value"), 6).alias("std"),
-        F.round(F.percentile("value", F.lit(0.25)), 6).alias("q25"), F.round(F.percentile("value", F.lit(0.75)), 6).alias("q75"),
+        F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"),
+        F.percentile("value", F.lit(0.25)).alias("q25"), F.percentile("value", F.lit(0.75)).alias("q75"),
         F.count(F.when(recent, 1)).alias("recent_count"), F.count(F.when(~recent, 1)).alias("historical_count"),
     )
     blend = F.round(bias * F.col("m_recent") + (1 - bias) * F.col("m_hist"), 6)
@@ -52,7 +52,7 @@ def weekly_templates(featured: DataFrame, lookback: int = 28, bias: float = 0.7)
 
 
 def day_variance(templates: DataFrame) -> DataFrame:
-    return templates.groupBy(*KEY, "day_of_week").agg(F.round(F.stddev_pop("tpl"), 6).alias("day_std"))
+    return templates.groupBy(*KEY, "day_of_week").agg(F.stddev_pop("tpl").alias("day_std"))
 
 
 def uncertainty_bounds(r: DataFrame) -> DataFrame:

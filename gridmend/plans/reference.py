@@ -14,7 +14,7 @@ from gridmend.functions.cols import fixed, number
 from gridmend.operators import anomaly, audit, evaluate, features, fills, lookups, router, series, timezones, window
 from gridmend.operators.series import CAMPUS, KEY, SITES
 from gridmend.plans import daily, engine
-from gridmend.sources.tables import table
+from gridmend.sources.tables import checkpoint_dir, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,7 +63,7 @@ STATS = ", st AS (SELECT poste_id, site, count(*) AS n, round(median(value), 6)
 HOURS = ", ht AS (SELECT poste_id, site, hour, round(median(value), 6) AS tpl FROM f GROUP BY ALL)"
 WEEKLY = """, last AS (SELECT poste_id, site, max(slot) AS last_slot FROM r GROUP BY ALL),
  wk0 AS (SELECT poste_id, site, day_of_week, hour, round(median(value) FILTER (WHERE slot >= last_slot - 19 * 144), 6) AS mr, round(median(value) FILTER (WHERE slot < last_slot - 19 * 144), 6) AS mh,
-   round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std, round(quantile_cont(value, 0.25), 6) AS q25, round(quantile_cont(value, 0.75), 6) AS q75,
+   avg(value) AS mean, stddev_pop(value) AS std, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.75) AS q75,
    count(*) FILTER (WHERE slot >= last_slot - 19 * 144) AS recent_count, count(*) FILTER (WHERE slot < last_slot - 19 * 144) AS historical_count
   FROM f JOIN last USING (poste_id, site) WHERE slot >= last_slot - 28 * 144 GROUP BY ALL),
  wk AS (SELECT *, coalesce(round(0.7 * mr + (1 - 0.7) * mh, 6), mr, mh) AS tpl FROM wk0)"""
@@ -121,6 +121,12 @@ def _r(s: SparkSession, d: str) -> DataFrame:
     return series.readings(_clean(s, d))
 
 
+def _rc(s: SparkSession, d: str) -> DataFrame:
+    """The readings for plans that read them many times: their lineage is cut in the shared checkpoint folder."""
+    checkpoint_dir(s)
+    return _r(s, d).checkpoint()
+
+
 def _cal(s: SparkSession, d: str) -> DataFrame:
     return features.calendar(table(s, d, "calendar_days"))
 
@@ -133,8 +139,8 @@ def _f(s: SparkSession, d: str) -> DataFrame:
     return features.datetime_features(_r(s, d))
 
 
-def _routed(s: SparkSession, d: str, how: router.Routing = router.Routing()) -> DataFrame:
-    r = _r(s, d)
+def _routed(s: SparkSession, d: str, how: router.Routing = router.Routing(), r: DataFrame | None = None) -> DataFrame:
+    r = r if r is not None else _rc(s, d)
     return router.route(router.with_hierarchy(router.classify(series.gaps(r)), r, _meters(s, d)), how)
 
 
@@ -177,14 +183,14 @@ TARGET = """, tg AS (SELECT poste_id, CAST(epoch(date_trunc('day', to_timestamp(
 
 @query(R + TARGET + " SELECT win.*, r.value FROM win LEFT JOIN r USING (poste_id, site, slot)")
 def window_extract_7d(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return window.extract(r, window.targets(r))
 
 
 @query(R + TARGET + """, hw AS (SELECT poste_id, site, slot, value, 0 AS prio FROM r JOIN tg USING (poste_id) WHERE slot < target - 1008 AND slot >= target - 1008 - 56 * 144
  UNION ALL SELECT win.poste_id, win.site, win.slot, r.value, 1 FROM win LEFT JOIN r USING (poste_id, site, slot)) SELECT poste_id, site, slot, value, prio = 1 AS in_window FROM hw""")
 def history_prepend_dedup(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     t = window.targets(r)
     return window.prepend_history(window.extract(r, t), r, t)
 
@@ -226,7 +232,7 @@ def holiday_proximity(s, d):
     return features.day_flags(_f(s, d).select("local_date").distinct(), _cal(s, d)).select(F.col("local_date").cast("string").alias("local_date"), "is_holiday", "is_special_day", "is_holiday_close")
 
 
-@query(FEAT + """, dd AS (SELECT poste_id, site, local_date, round(stddev_samp(value), 6) AS daily_std FROM f GROUP BY ALL HAVING count(*) > 1), tt AS (SELECT poste_id, site, round(quantile_cont(daily_std, 0.75), 6) AS threshold FROM dd GROUP BY ALL)
+@query(FEAT + """, dd AS (SELECT poste_id, site, local_date, round(stddev_samp(value) + 1e-7, 3) AS daily_std FROM f GROUP BY ALL HAVING count(*) > 1), tt AS (SELECT poste_id, site, round(quantile_cont(daily_std, 0.75) + 1e-7, 3) AS threshold FROM dd GROUP BY ALL)
 SELECT * REPLACE (CAST(local_date AS VARCHAR) AS local_date) FROM dd JOIN tt USING (poste_id, site) WHERE daily_std > threshold""")
 def event_days(s, d):
     return features.event_days(_r(s, d)).withColumn("local_date", F.col("local_date").cast("string"))
@@ -278,7 +284,7 @@ Z = ", z AS (SELECT poste_id, site, slot, value, round((value - median) / (std +
 
 @query(STUCK + " SELECT * FROM stuck")
 def stuck_sensor(s, d):
-    return anomaly.stuck(_r(s, d))
+    return anomaly.stuck(_rc(s, d))
 
 
 @query(R + STATS + feat("f", "ok") + CAL + occ("q", "f") + " SELECT poste_id, site, slot, value FROM q WHERE occupancy_type IN ('work_hours', 'evening') AND value <= median * 0.01")
@@ -295,14 +301,14 @@ def zscore_outliers(s, d):
  fr AS (SELECT *, slot - row_number() OVER (PARTITION BY poste_id, site ORDER BY slot) AS grp FROM fs)
 SELECT poste_id, site, min(slot) AS run_start, max(slot) AS run_end, count(DISTINCT slot) AS n_slots, array_to_string(list_sort(list_distinct(list(reason))), ', ') AS reasons FROM fr JOIN fl USING (poste_id, site, slot) GROUP BY poste_id, site, grp""")
 def anomaly_runs(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     flags = anomaly.stuck(r).select(*KEY, "slot", "value", F.lit("stuck").alias("reason")).unionByName(anomaly.zscores(r).select(*KEY, "slot", "value", F.lit("zscore").alias("reason")))
     return anomaly.flagged_runs(flags)
 
 
 @query()
 def isolation_forest(s, d):
-    return anomaly.isolation_forest(_f(s, d))
+    return anomaly.isolation_forest(features.datetime_features(_rc(s, d)))
 
 
 # ---- look-ups ----------------------------------------------------------------------------------------------------------
@@ -333,15 +339,15 @@ def seasonal_templates(s, d):
     return lookups.seasonal_templates(_f(s, d).withColumn("season", features.season(F.month("local_date"))))
 
 
-@query(FEAT + WEEKLY + " SELECT poste_id, site, day_of_week, hour, round(tpl, 4) AS tpl, round(mean, 3) AS mean, round(std, 3) AS std, round(q25, 4) AS q25, round(q75, 4) AS q75, recent_count, historical_count FROM wk")
+@query(FEAT + WEEKLY + " SELECT poste_id, site, day_of_week, hour, round(tpl + 1e-8, 4) AS tpl, round(mean + 1e-7, 3) AS mean, round(std + 1e-7, 3) AS std, round(q25 + 1e-8, 4) AS q25, round(q75 + 1e-8, 4) AS q75, recent_count, historical_count FROM wk")
 def weekly_templates(s, d):
     t = lookups.weekly_templates(_f(s, d))
-    return t.select(*KEY, "day_of_week", "hour", *[F.round(c, n).alias(c) for c, n in (("tpl", 4), ("mean", 3), ("std", 3), ("q25", 4), ("q75", 4))], "recent_count", "historical_count")
+    return t.select(*KEY, "day_of_week", "hour", *[fixed(c, n).alias(c) for c, n in (("tpl", 4), ("mean", 3), ("std", 3), ("q25", 4), ("q75", 4))], "recent_count", "historical_count")
 
 
-@query(FEAT + WEEKLY + " SELECT poste_id, site, day_of_week, round(stddev_pop(tpl), 3) AS day_std FROM wk GROUP BY ALL")
+@query(FEAT + WEEKLY + " SELECT poste_id, site, day_of_week, round(stddev_pop(tpl) + 1e-7, 3) AS day_std FROM wk GROUP BY ALL")
 def day_variance(s, d):
-    return lookups.day_variance(lookups.weekly_templates(_f(s, d))).withColumn("day_std", F.round("day_std", 3))
+    return lookups.day_variance(lookups.weekly_templates(_f(s, d))).withColumn("day_std", fixed("day_std", 3))
 
 
 @query(R + """ SELECT poste_id, site, round(CASE WHEN count(*) < 10 THEN 0.0 ELSE greatest(0.0, avg(value) - 2 * stddev_samp(value)) END + 1e-6, 2) AS lower, round(CASE WHEN count(*) < 10 THEN 1.5 * max(value) ELSE avg(value) + 2 * stddev_samp(value) END + 1e-6, 2) AS upper FROM r GROUP BY ALL""")
@@ -364,7 +370,7 @@ def gap_groups(s, d):
 
 @query(POINTS + CLASS + f" SELECT {GAPKEY}, gap_end, gap_size, any_weekend, pure_weekend, day_type FROM g JOIN gc USING ({GAPKEY})")
 def gap_class(s, d):
-    return router.classify(series.gaps(_r(s, d))).select(*router.GAP, "gap_end", "gap_size", "any_weekend", "pure_weekend", "day_type")
+    return router.classify(series.gaps(_rc(s, d))).select(*router.GAP, "gap_end", "gap_size", "any_weekend", "pure_weekend", "day_type")
 
 
 @query(routed() + f" SELECT {GAPKEY}, gap_size, tier, parent_present, strategy FROM rt")
@@ -395,7 +401,7 @@ def fixed_chunks(s, d):
 
 @query()
 def smart_chunks(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return router.smart_chunks(series.gaps(r), lookups.day_variance(lookups.weekly_templates(features.datetime_features(r))))
 
 
@@ -409,13 +415,13 @@ def fill_linear(s, d):
 
 @query(POINTS + MED + f" SELECT {GAPKEY}, slot, coalesce(med, 0.0) AS value FROM pk LEFT JOIN med USING (poste_id, site)")
 def fill_safe_median(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.safe_median(series.gaps(r), r)
 
 
 @query(POINTS + MED + f" SELECT {GAPKEY}, slot, round(0.9 * {LINEAR} + 0.1 * med + 1e-7, 3) AS value FROM pk JOIN med USING (poste_id, site)")
 def fill_safe_linear_median(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.safe_linear_median(series.gaps(r), r).withColumn("value", fixed("value", 3))
 
 
@@ -425,14 +431,14 @@ THERMAL = POINTS + feat("f", "r") + HOURS + MED + feat("ph", "pk") + ", tf AS (S
 @query(THERMAL + f" SELECT {GAPKEY}, slot, round(value + 1e-6, 2) AS value FROM an")
 def anchor_boundaries(s, d):
     """The median by hour, anchored to both sides of its gap, before clipping."""
-    r = _r(s, d)
+    r = _rc(s, d)
     g, t = series.gaps(r), lookups.hour_template(features.datetime_features(r))
     return fills.anchored(g, fills.template_fill(g, t, ["hour"]), r, t, ["hour"]).withColumn("value", fixed("value", 2))
 
 
 @query(THERMAL + f" SELECT {GAPKEY}, slot, round({CLIP.format(v='value')} + 1e-6, 2) AS value FROM an LEFT JOIN med USING (poste_id, site)")
 def fill_thermal_template(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.thermal(series.gaps(r), r, lookups.hour_template(features.datetime_features(r))).withColumn("value", fixed("value", 2))
 
 
@@ -441,7 +447,7 @@ def fill_thermal_template(s, d):
     + f""", wkd AS (SELECT {GAPKEY}, slot, {CLIP.format(v='value')} AS value FROM an LEFT JOIN med USING (poste_id, site))
  SELECT pk.{GAPKEY.replace(", ", ", pk.")}, pk.slot, round(coalesce(wkd.value, med.med, 0.0) + 1e-6, 2) AS value FROM pk JOIN gc USING ({GAPKEY}) LEFT JOIN wkd USING ({GAPKEY}, slot) LEFT JOIN med USING (poste_id, site) WHERE gc.day_type IS NOT NULL""")
 def fill_weekend_template(s, d):
-    r, cal = _r(s, d), _cal(s, d)
+    r, cal = _rc(s, d), _cal(s, d)
     t = lookups.day_templates(features.day_flags(features.datetime_features(r), cal))
     return fills.weekend(router.classify(series.gaps(r)), r, t).withColumn("value", fixed("value", 2))
 
@@ -450,7 +456,7 @@ def fill_weekend_template(s, d):
  tf AS (SELECT poste_id, site, gap_start, slot, coalesce(wt, htp) AS f, round(CASE WHEN wt IS NOT NULL THEN CASE WHEN std = 0 THEN 1.0 ELSE 1 / (1 + std / (wt + 1e-6)) END WHEN htp IS NOT NULL THEN 0.5 ELSE 0.0 END + 1e-7, 3) AS pc FROM mw WHERE coalesce(wt, htp) IS NOT NULL)"""
     + anchored("tf", "wk", "day_of_week, hour") + f" SELECT an.{GAPKEY.replace(', ', ', an.')}, an.slot, round({CLIP.format(v='value')} + 1e-6, 2) AS value, pc AS point_confidence FROM an JOIN tf USING ({GAPKEY}, slot) LEFT JOIN med USING (poste_id, site)")
 def fill_multi_week(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     f = features.datetime_features(r)
     return fills.multi_week(series.gaps(r), r, lookups.weekly_templates(f), lookups.hour_template(f)).withColumns({"value": fixed("value", 2), "point_confidence": fixed("point_confidence", 3)})
 
@@ -459,7 +465,7 @@ def fill_multi_week(s, d):
  SELECT pk.{GAPKEY.replace(", ", ", pk.")}, pk.slot, round({CLIP.format(v='q.value * ratio')} + 1e-6, 2) AS value FROM pk JOIN sub USING (site) JOIN ratio ON ratio.poste_id = pk.poste_id AND ratio.site = pk.site LEFT JOIN r q ON q.poste_id = pk.poste_id AND q.site = sub.parent AND q.slot = pk.slot
  LEFT JOIN med ON med.poste_id = pk.poste_id AND med.site = pk.site""")
 def fill_peer(s, d):
-    r, m = _r(s, d), _meters(s, d)
+    r, m = _rc(s, d), _meters(s, d)
     g = router.with_hierarchy(series.gaps(r), r, m)
     return fills.peer(g, r, lookups.peer_ratio(r, m)).withColumn("value", fixed("value", 2))
 
@@ -473,7 +479,7 @@ def fill_knn(s, d):
 
 @query(POINTS + f", me AS (SELECT poste_id, site, round(avg(value), 3) AS value FROM r GROUP BY ALL) SELECT {GAPKEY}, slot, value FROM pk JOIN me USING (poste_id, site)")
 def fill_mean_single(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.mean_fill(series.gaps(r), r)
 
 
@@ -484,7 +490,7 @@ def fill_mice(s, d):
 
 @query()
 def fill_kalman(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.kalman(r, series.gaps(r))
 
 
@@ -495,7 +501,7 @@ def naive_zero_fill(s, d):
 
 @query(POINTS + f" SELECT pk.{GAPKEY.replace(', ', ', pk.')}, pk.slot, q.value FROM pk LEFT JOIN r q ON q.poste_id = pk.poste_id AND q.site = pk.site AND q.slot = pk.slot - 1008")
 def prior_week_baseline(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     return fills.prior_week(series.gaps(r), r)
 
 
@@ -517,8 +523,8 @@ QUALITY = CONF + f", ql AS (SELECT poste_id, site, slot, 0 AS quality FROM r UNI
 
 @query(QUALITY + " SELECT poste_id, site, slot, CAST(quality AS INTEGER) AS quality FROM ql")
 def quality_flags(s, d):
-    r = _r(s, d)
-    return audit.quality(series.grid(r), _routed(s, d)).select(*KEY, "slot", "quality")
+    r = _rc(s, d)
+    return audit.quality(series.grid(r), _routed(s, d, r=r)).select(*KEY, "slot", "quality")
 
 
 @query(QUALITY + " SELECT poste_id, site, CAST(quality AS INTEGER) AS quality, count(*) AS n FROM ql GROUP BY ALL")
@@ -549,7 +555,7 @@ MASKS = """, mk AS (SELECT poste_id, site, min(slot) + 144 AS mask_start, min(sl
 
 
 def _masked(s, d):
-    r = _r(s, d)
+    r = _rc(s, d)
     b = r.groupBy(*KEY).agg(F.min("slot").alias("a"), F.max("slot").alias("z"))
     mid = F.floor((F.col("a") + F.col("z")) / 2)
     m = b.select(*KEY, (F.col("a") + 144).alias("mask_start"), (F.col("a") + 155).alias("mask_end")).unionByName(b.select(*KEY, mid.alias("mask_start"), (mid + 215).alias("mask_end")))
@@ -605,7 +611,7 @@ def upsert_columns(s, d):
 SELECT poste_id, site, gap_start, slot, value FROM col JOIN cs USING (poste_id, site) WHERE gap_start IS NOT NULL AND value <= 0.01 * med AND (value - med) / (sd + 1e-9) < -3""")
 def zero_fill_scan(s, d):
     """Filled numbers that are implausibly near zero, of a column filled with zeros."""
-    r = _r(s, d)
+    r = _rc(s, d)
     return anomaly.zero_fills(r, fills.zero(series.gaps(r)))
 
 
@@ -621,7 +627,7 @@ def project_back(s, d):
 @query(GAPS + TARGET.split(",\n win AS")[0] + " SELECT poste_id, site, greatest(gap_start - (target - 1008), 0) AS idx_start, least(gap_end - (target - 1008), 1008) AS idx_end FROM g JOIN tg USING (poste_id) WHERE gap_end > target - 1008 AND gap_start < target")
 def shift_log(s, d):
     """Gaps in positions of the last week's window, cut to it; those wholly before or after it dropped."""
-    r = _r(s, d)
+    r = _rc(s, d)
     start = F.col("target") - 1008
     g = series.gaps(r).join(window.targets(r), "poste_id").where((F.col("gap_end") > start) & (F.col("gap_start") < F.col("target")))
     return g.select(*KEY, F.greatest(F.col("gap_start") - start, F.lit(0)).alias("idx_start"), F.least(F.col("gap_end") - start, F.lit(1008)).alias("idx_end"))
@@ -630,7 +636,7 @@ def shift_log(s, d):
 @query(SQL["fill_multi_week"].replace("pc AS point_confidence FROM an", "CAST((an.k - 1) // 96 AS INTEGER) AS chunk_index FROM an") + " WHERE an.gap_size > 96")
 def chunked_recovery(s, d):
     """Gaps longer than a chunk: the weekly template chunk by chunk, anchored and clipped once over the whole gap."""
-    r = _r(s, d)
+    r = _rc(s, d)
     f, g = features.datetime_features(r), series.gaps(r).where("gap_size > 96")
     v = fills.multi_week(g, r, lookups.weekly_templates(f), lookups.hour_template(f))
     return v.select(*router.GAP, "slot", fixed("value", 2).alias("value"), F.floor((F.col("slot") - F.col("gap_start")) / 96).cast("int").alias("chunk_index"))
