@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from gridmend.functions.cols import floordiv
 from gridmend.operators.features import datetime_features
 from gridmend.operators.router import GAP
-from gridmend.operators.series import KEY, SITES, median, points
+from gridmend.operators.series import KEY, SITES, long, median, points
 
 OUT = [*GAP, "slot"]
 
@@ -206,14 +206,15 @@ def knn(w: DataFrame, g: DataFrame, sites: tuple[str, ...] = SITES, k: int = 5,
     return out
 
 
-def mice(w: DataFrame, sites: tuple[str, ...] = SITES, rounds: int = 3, ridge: float = 1e-3) -> DataFrame:
+def mice(w: DataFrame, sites: tuple[str, ...] = SITES, rounds: int = 3, ridge: float = 1e-3, missing_only: bool = False) -> DataFrame:
     """wide with the empty cells of each site filled by chained ridge regressions on the other sites of the station.
 
     A round needs one partial aggregation to a station's sums of products (some dozen numbers a station); the regressions are solved from those, a station a row, and joined back. All
-    sites of a round start from the round before. A station without any number in a site keeps it empty; only slots of the wide frame are filled.
+    sites of a round start from the round before. A station without any number in a site keeps it empty; only slots of the wide frame are filled (mice_gaps fills the others).
+    missing_only: null where a number was read. What is joined back is a row a station and broadcast, so the readings are not shuffled again.
     """
     scale = w.groupBy("poste_id").agg(*[F.avg(c).alias(f"m_{c}") for c in sites], *[F.coalesce(F.stddev_pop(c), F.lit(0.0)).alias(f"d_{c}") for c in sites])
-    x = w.join(scale, "poste_id")
+    x = w.join(F.broadcast(scale), "poste_id")
     z = {c: F.when(F.col(f"d_{c}") > 0, (F.col(c) - F.col(f"m_{c}")) / F.col(f"d_{c}")).when(F.col(c).isNotNull(), F.lit(0.0)) for c in sites}
     x = x.withColumns({f"z_{c}": z[c] for c in sites})
     x = x.withColumns({f"f_{c}": F.coalesce(F.col(f"z_{c}"), F.lit(0.0)) for c in sites})
@@ -241,10 +242,21 @@ def mice(w: DataFrame, sites: tuple[str, ...] = SITES, rounds: int = 3, ridge: f
                     aggs.append(F.coalesce(F.sum(F.when(has, F.col(f"f_{sites[i]}") * F.col(f"z_{c}"))), F.lit(0.0)).alias(f"q{t}_{i}"))
                     aggs += [F.coalesce(F.sum(F.when(has, F.col(f"f_{sites[i]}") * F.col(f"f_{sites[j]}"))), F.lit(0.0)).alias(f"p{t}_{i}_{j}") for j in range(i, n) if j != t]
         coef = x.groupBy("poste_id").agg(*aggs).mapInPandas(fit, "poste_id int, " + ", ".join(f"w{t} array<double>" for t in range(n)))
-        x = x.join(coef, "poste_id")
+        x = x.join(F.broadcast(coef), "poste_id")
         new = {f"f_{c}": F.coalesce(F.col(f"z_{c}"), sum((F.col(f"f_{sites[i]}") * F.col(f"w{t}")[i] for i in range(n) if i != t), F.lit(0.0))) for t, c in enumerate(sites)}
         x = x.withColumns(new).drop(*[f"w{t}" for t in range(n)])
-    return x.select("poste_id", "slot", *[F.coalesce(F.col(c), F.col(f"f_{c}") * F.col(f"d_{c}") + F.col(f"m_{c}")).alias(c) for c in sites])
+    made = {c: F.col(f"f_{c}") * F.col(f"d_{c}") + F.col(f"m_{c}") for c in sites}
+    return x.select("poste_id", "slot", *[(F.when(F.col(c).isNull(), made[c]) if missing_only else F.coalesce(F.col(c), made[c])).alias(c) for c in sites])
+
+
+def mice_gaps(w: DataFrame, g: DataFrame, sites: tuple[str, ...] = SITES) -> DataFrame:
+    """Chained regression on the regular grid: a number for every missing slot, also for those of which wide has no row.
+
+    A slot without a number in any other site adds nothing to a regression, and all its terms but the mean are 0; so it takes the mean without being in the frame.
+    """
+    done = mice(w, sites, missing_only=True).unpivot(["poste_id", "slot"], list(sites), "site", "got").where("got is not null")
+    mean = long(w, sites).groupBy(*KEY).agg(F.avg("value").alias("mean"))
+    return points(g).select(*OUT).join(done, [*KEY, "slot"], "left").join(mean, KEY).select(*OUT, F.round(F.coalesce("got", "mean"), 3).alias("value"))
 
 
 def savgol(r: DataFrame, width: int = 21, degree: int = 3) -> DataFrame:

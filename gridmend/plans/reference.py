@@ -485,7 +485,9 @@ def fill_mean_single(s, d):
 
 @query()
 def fill_mice(s, d):
-    return fills.mice(series.wide(_clean(s, d)))
+    checkpoint_dir(s)
+    w = series.wide(_clean(s, d)).checkpoint()
+    return fills.mice_gaps(w, series.gaps(series.long(w)))
 
 
 @query()

@@ -128,6 +128,20 @@ def test_mice_recovers_a_linear_relation(spark):
     assert max(abs(out[1, S0 + i] - (2 * a[i] - b[i] + 1)) for i in range(0, 300, 10)) < 0.2 and out[2, S0] is None
 
 
+def test_mice_fills_slots_without_a_row(spark):
+    rng = np.random.default_rng(5)
+    a = rng.normal(5, 2, 200)
+    known = {i: float(3 * a[i] + 1) for i in range(200) if not 50 <= i < 60 and i % 20}
+    w = spark.createDataFrame([(1, S0 + i, float(a[i]), known.get(i)) for i in range(200) if not 50 <= i < 60], "poste_id int, slot bigint, a double, b double")
+    whole = w.join(spark.range(S0, S0 + 200).select(F.lit(1).alias("poste_id"), F.col("id").alias("slot")), ["poste_id", "slot"], "right")
+    g = series.gaps(series.long(w, ("a", "b")))
+    want = {(c, r["slot"]): r[c] for r in fills.mice(whole, ("a", "b")).collect() for c in ("a", "b")}
+    got = {(r["site"], r["slot"]): r["value"] for r in fills.mice_gaps(w, g, ("a", "b")).collect()}
+    assert set(got) == {(r["site"], r["slot"]) for r in series.points(g).collect()} and {("a", S0 + i) for i in range(50, 60)} <= set(got)
+    assert all(v == pytest.approx(want[k], abs=1e-3) for k, v in got.items())
+    assert got["b", S0 + 55] == pytest.approx(np.mean(list(known.values())), abs=1e-3) and got["b", S0 + 20] == pytest.approx(3 * a[20] + 1, abs=0.2)
+
+
 def test_savgol_keeps_cubics(spark):
     r = readings(spark, [(i, 2 + 0.5 * i - 0.01 * i**2 + 1e-4 * i**3) for i in range(60)])
     got = rows(fills.savgol(r), "slot", "value", "smooth")
