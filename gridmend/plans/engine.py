@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmend.operators import anomaly, audit, features, fills, lookups, router, series
+from gridmend.operators import anomaly, features, fills, lookups, router, series
+from gridmend.operators.router import GAP
 from gridmend.operators.series import KEY
 from gridmend.sources.tables import checkpoint_dir
 
 
 @dataclass(frozen=True)
 class Config:
-    routing: router.Routing = router.Routing(mice=False, knn=False)
+    routing: router.Routing = router.Routing()
     mask_anomalies: bool = True
 
 
@@ -24,10 +25,69 @@ class Reconstruction:
     gaps: DataFrame  # the gaps with strategy and confidence
 
 
+@dataclass
+class Lookups:
+    hour: DataFrame
+    day: DataFrame
+    weekly: DataFrame
+    ratio: DataFrame
+
+
+def _gaps(r: DataFrame, whole: DataFrame) -> DataFrame:
+    """series.gaps of r, and what r lacks at the ends of the series of whole, without the reading beyond."""
+    ends = r.groupBy(*KEY).agg(F.min(F.struct("slot", "value")).alias("a"), F.max(F.struct("slot", "value")).alias("b"))
+    e = whole.groupBy(*KEY).agg(F.min("slot").alias("lo"), F.max("slot").alias("hi")).join(ends, KEY)
+    none = F.lit(None).cast("double")
+    left = e.where("lo < a.slot").select(*KEY, F.col("lo").alias("gap_start"), F.col("a.slot").alias("gap_end"), (F.col("a.slot") - F.col("lo")).alias("gap_size"), none.alias("y_l"), F.col("a.value").alias("y_r"))
+    right = e.where("hi > b.slot").select(*KEY, (F.col("b.slot") + 1).alias("gap_start"), (F.col("hi") + 1).alias("gap_end"), (F.col("hi") - F.col("b.slot")).alias("gap_size"), F.col("b.value").alias("y_l"), none.alias("y_r"))
+    return series.gaps(r).unionByName(left).unionByName(right)
+
+
+def _routed(g: DataFrame, r: DataFrame, meters: DataFrame, how: router.Routing) -> DataFrame:
+    """gaps with their strategy. Chained regression and the smoother never fail; where nearest neighbours can't fill a whole gap, the rules after them decide."""
+    g = router.route(router.with_hierarchy(router.classify(g), r, meters), how)
+    if how.mice or how.kalman or not how.knn:
+        return g
+    near = fills.knn(series.pivot(r), g.where("strategy = 'KNN_CONTEXT'")).groupBy(*GAP).agg(F.count("*").alias("got"))
+    g = router.route(g.withColumnRenamed("strategy", "first"), replace(how, knn=False)).join(near, GAP, "left")
+    whole = (F.col("first") == "KNN_CONTEXT") & (F.coalesce("got", F.lit(0)) == F.col("gap_size"))
+    return g.withColumn("strategy", F.when(whole, F.col("first")).otherwise(F.col("strategy"))).drop("first", "got")
+
+
+def _filled(g: DataFrame, r: DataFrame, look: Lookups, how: router.Routing) -> DataFrame:
+    """(poste_id, site, gap_start, slot, strategy, value, by): every missing slot of the gaps; by tells what filled it, the median where the strategy has nothing."""
+
+    def of(*names: str) -> DataFrame:
+        return g.where(F.col("strategy").isin(*names))
+
+    parts = {
+        "LINEAR": fills.linear(of("LINEAR_MICRO", "LINEAR_SHORT")),
+        "SAFE_LINEAR_MEDIAN": fills.safe_linear_median(of("SAFE_LINEAR_MEDIAN"), r),
+        "TEMPLATE": fills.thermal(of("THERMAL_TEMPLATE", "ENHANCED_TEMPLATE"), r, look.hour),
+        "WEEKEND": fills.weekend(g.where(F.col("strategy").startswith("WEEKEND")), r, look.day),
+        "MULTI_WEEK": fills.multi_week(of("MULTI_WEEK_TEMPLATE"), r, look.weekly, look.hour),
+        "PEER": fills.peer(of("PEER_CORRELATION"), r, look.ratio),
+    }
+    # the first of these that is on takes all gaps of its rule
+    if how.mice:
+        parts["MICE"] = fills.mice_gaps(series.pivot(r), of("MICE"))
+    elif how.kalman:
+        parts["KALMAN"] = fills.kalman(r, of("KALMAN_FILTER"))
+    elif how.knn:
+        parts["KNN"] = fills.knn(series.pivot(r), of("KNN_CONTEXT"))
+    filled = None
+    for name, p in parts.items():
+        p = p.select(*KEY, "slot", F.col("value").alias("fill"), F.lit(name).alias("by"))
+        filled = p if filled is None else filled.unionByName(p)
+    p = series.points(g).select(*GAP, "slot", "strategy").join(filled, [*KEY, "slot"], "left").join(fills.medians(r).select(*KEY, "med"), KEY, "left")
+    by = F.when(F.col("fill").isNotNull(), F.col("by")).otherwise("SAFE_MEDIAN")
+    return p.select(*GAP, "slot", "strategy", F.coalesce("fill", "med", F.lit(0.0)).alias("value"), by.alias("by"))
+
+
 def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Config = Config()) -> Reconstruction:
     """Every series on its grid from first to last reading, without an empty cell.
 
-    Implausible readings (standing still, beyond 3 deviations) are masked first if asked for, and replaced like missing ones; a reading of the input keeps flag
+    Implausible readings (standing still, beyond 3 deviations) are masked first if asked for, and replaced like missing ones, also at the ends of a series; a reading of the input keeps flag
     0, also where it was replaced (anomaly_replaced tells). Look-ups are a snapshot of the masked readings. What a strategy leaves empty gets the median.
     """
     cal = features.calendar(days)
@@ -39,32 +99,16 @@ def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Confi
         bad = anomaly.stuck(raw).select(*KEY, "slot").unionByName(anomaly.zscores(raw).select(*KEY, "slot")).distinct()
         r = raw.join(bad, [*KEY, "slot"], "left_anti")
     r = r.checkpoint() if cfg.mask_anomalies else raw
-    g = router.classify(series.gaps(r))
-    g = router.with_confidence(router.route(router.with_hierarchy(g, r, meters), cfg.routing), cal).checkpoint()
+    g = router.with_confidence(_routed(_gaps(r, raw), r, meters, cfg.routing), cal).checkpoint()
     f = features.day_flags(features.datetime_features(r), cal)
-    hour_tpl, day_tpl, weekly = lookups.hour_template(f), lookups.day_templates(f), lookups.weekly_templates(f)
-
-    def of(*names: str) -> DataFrame:
-        return g.where(F.col("strategy").isin(*names))
-
-    parts = {
-        "LINEAR": fills.linear(of("LINEAR_MICRO", "LINEAR_SHORT")),
-        "SAFE_LINEAR_MEDIAN": fills.safe_linear_median(of("SAFE_LINEAR_MEDIAN"), r),
-        "TEMPLATE": fills.thermal(of("THERMAL_TEMPLATE", "ENHANCED_TEMPLATE"), r, hour_tpl),
-        "WEEKEND": fills.weekend(g.where(F.col("strategy").startswith("WEEKEND")), r, day_tpl),
-        "MULTI_WEEK": fills.multi_week(of("MULTI_WEEK_TEMPLATE"), r, weekly, hour_tpl).drop("point_confidence"),
-        "PEER": fills.peer(of("PEER_CORRELATION"), r, lookups.peer_ratio(r, meters)),
-        "KALMAN": fills.kalman(r, of("KALMAN_FILTER")),
-    }
-    filled = None
-    for name, p in parts.items():
-        p = p.select(*KEY, "slot", F.col("value").alias("fill"), F.lit(name).alias("by"))
-        filled = p if filled is None else filled.unionByName(p)
-    cells = series.grid(r).join(filled, [*KEY, "slot"], "left").join(fills.medians(r).select(*KEY, "med"), KEY, "left")
-    out = audit.quality(cells, g).join(raw.select(*KEY, "slot", F.lit(True).alias("was_read")), [*KEY, "slot"], "left")
-    masked = F.coalesce("was_read", F.lit(False)) & F.col("value").isNull()
+    look = Lookups(lookups.hour_template(f), lookups.day_templates(f), lookups.weekly_templates(f), lookups.peer_ratio(r, meters))
+    filled = _filled(g, r, look, cfg.routing)
+    none = F.lit(None).cast("string")
+    out = r.select(*KEY, "slot", "value", none.alias("strategy"), F.lit("READ").alias("by")).unionByName(filled.select(*KEY, "slot", "value", "strategy", "by"))
+    out = out.join(raw.select(*KEY, "slot", F.lit(True).alias("was_read")), [*KEY, "slot"], "left")
+    read = F.coalesce("was_read", F.lit(False))
     out = out.select(
-        *KEY, "slot", F.round(F.coalesce("value", "fill", "med", F.lit(0.0)), 3).alias("value"), F.when(F.col("was_read"), 0).otherwise(F.col("quality")).alias("quality"), "strategy",
-        F.when(F.col("value").isNotNull(), "READ").otherwise(F.coalesce("by", F.lit("SAFE_MEDIAN"))).alias("effective_strategy"), masked.alias("anomaly_replaced"),
+        *KEY, "slot", F.round("value", 3).alias("value"), F.when(read, 0).otherwise(router.by_strategy(1, F.col("strategy"))).alias("quality"), "strategy",
+        F.col("by").alias("effective_strategy"), (read & (F.col("by") != "READ")).alias("anomaly_replaced"),
     )
     return Reconstruction(out, g)

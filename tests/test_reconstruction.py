@@ -199,6 +199,32 @@ def test_reconstruct_properties(spark, data):
     out.unpersist()
 
 
+def campus(spark, rows):
+    """Tables for reconstruct: rows of (slot, Ptot_HA, Ptot_HEI) of station 1."""
+    cols = "poste_id int, Date timestamp, reading_id bigint, Ptot_HA double, Ptot_HEI double, Ptot_HEI_13RT double, Ptot_HEI_5RNS double, Ptot_RIZOMM double"
+    clean = spark.createDataFrame([(1, datetime.fromtimestamp((S0 + i) * 600, UTC), i, a, h, None, None, None) for i, a, h in rows], cols)
+    meters = spark.createDataFrame([("Ptot_HA", "entry", None), ("Ptot_HEI", "main", None)], "site string, tier string, parent string")
+    return clean, meters, spark.createDataFrame([], "cal_date date, kind string")
+
+
+def test_reconstruct_runs_mice_and_falls_through(spark):
+    rng = np.random.default_rng(6)
+    a = rng.uniform(400, 600, 600)
+    # 60 slots of Ptot_HEI: 50 whose other channel is there, 10 without any row
+    clean, meters, days = campus(spark, [(i, float(a[i]), None if 300 <= i < 360 else float(2 * a[i] + 50)) for i in range(600) if not 350 <= i < 360])
+
+    def hei(how):
+        out = engine.reconstruct(clean, meters, days, engine.Config(how, mask_anomalies=False)).values.where(f"site = 'Ptot_HEI' and slot >= {S0 + 300} and slot < {S0 + 360}")
+        return {r["slot"] - S0: r for r in out.collect()}
+
+    got = hei(engine.Config().routing)
+    assert len(got) == 60 and {r["strategy"] for r in got.values()} == {r["effective_strategy"] for r in got.values()} == {"MICE"}
+    assert max(abs(got[i]["value"] - (2 * a[i] + 50)) for i in range(300, 350)) < 5 and abs(got[355]["value"] - 1050) < 40
+    assert {r["effective_strategy"] for r in hei(router.Routing(mice=False)).values()} == {"KALMAN"}
+    # neighbours can't fill slots without the other channel: the whole gap goes to the rule after them
+    assert {r["strategy"] for r in hei(router.Routing(mice=False, kalman=False)).values()} == {"THERMAL_TEMPLATE"}
+
+
 def test_stream_slots(spark, tmp_path):
     from gridmend.streaming.online import slots
 
