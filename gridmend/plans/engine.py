@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ class Config:
 class Reconstruction:
     values: DataFrame  # poste_id, site, slot, value, quality, strategy, effective_strategy, anomaly_replaced
     gaps: DataFrame  # the gaps with strategy and confidence
+    corrected: DataFrame | None = None  # stretches of filled cells found implausibly near zero and filled anew, with strategy; None if there were none
 
 
 @dataclass
@@ -87,8 +89,9 @@ def _filled(g: DataFrame, r: DataFrame, look: Lookups, how: router.Routing) -> D
 def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Config = Config()) -> Reconstruction:
     """Every series on its grid from first to last reading, without an empty cell.
 
-    Implausible readings (standing still, beyond 3 deviations) are masked first if asked for, and replaced like missing ones, also at the ends of a series; a reading of the input keeps flag
-    0, also where it was replaced (anomaly_replaced tells). Look-ups are a snapshot of the masked readings. What a strategy leaves empty gets the median.
+    Implausible readings (standing still, near 0 in occupied or evening hours, beyond 3 deviations) are masked first if asked for, and replaced like missing ones, also at the ends of a
+    series; a reading of the input keeps flag 0, also where it was replaced (anomaly_replaced tells). Look-ups are a snapshot of the masked readings. What a strategy leaves empty gets the
+    median. Filled cells implausibly near zero are then emptied and routed once more (once only, as the reference does), unchunked and over the filled columns; strategy, quality and effective_strategy are those of that pass.
     """
     cal = features.calendar(days)
     # what every branch below reads is cut from its lineage in the shared checkpoint folder
@@ -96,13 +99,22 @@ def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Confi
     raw = series.readings(clean)
     r = raw = raw.checkpoint()
     if cfg.mask_anomalies:
-        bad = anomaly.stuck(raw).select(*KEY, "slot").unionByName(anomaly.zscores(raw).select(*KEY, "slot")).distinct()
+        found = (anomaly.stuck(raw), anomaly.near_zero(features.full_features(raw, cal)), anomaly.zscores(raw))
+        bad = reduce(DataFrame.unionByName, [x.select(*KEY, "slot") for x in found]).distinct()
         r = raw.join(bad, [*KEY, "slot"], "left_anti")
     r = r.checkpoint() if cfg.mask_anomalies else raw
     g = router.with_confidence(_routed(_gaps(r, raw), r, meters, cfg.routing), cal).checkpoint()
     f = features.day_flags(features.datetime_features(r), cal)
     look = Lookups(lookups.hour_template(f), lookups.day_templates(f), lookups.weekly_templates(f), lookups.peer_ratio(r, meters))
-    filled = _filled(g, r, look, cfg.routing)
+    filled, corrected = _filled(g, r, look, cfg.routing).checkpoint(), None
+    low = anomaly.zero_fills(r, filled).checkpoint()
+    if not low.isEmpty():
+        kept = filled.join(low.select(*KEY, "slot"), [*KEY, "slot"], "left_anti")
+        col = r.unionByName(kept.select(*KEY, "slot", "value")).checkpoint()
+        of = low.select(*KEY).distinct()
+        again = _gaps(col.join(of, KEY, "left_semi"), raw.join(of, KEY, "left_semi"))
+        corrected = _routed(again, col, meters, replace(cfg.routing, chunked=False)).checkpoint()
+        filled = kept.unionByName(_filled(corrected, col, look, cfg.routing))
     none = F.lit(None).cast("string")
     out = r.select(*KEY, "slot", "value", none.alias("strategy"), F.lit("READ").alias("by")).unionByName(filled.select(*KEY, "slot", "value", "strategy", "by"))
     out = out.join(raw.select(*KEY, "slot", F.lit(True).alias("was_read")), [*KEY, "slot"], "left")
@@ -111,4 +123,4 @@ def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Confi
         *KEY, "slot", F.round("value", 3).alias("value"), F.when(read, 0).otherwise(router.by_strategy(1, F.col("strategy"))).alias("quality"), "strategy",
         F.col("by").alias("effective_strategy"), (read & (F.col("by") != "READ")).alias("anomaly_replaced"),
     )
-    return Reconstruction(out, g)
+    return Reconstruction(out, g, corrected)

@@ -225,6 +225,28 @@ def test_reconstruct_runs_mice_and_falls_through(spark):
     assert {r["strategy"] for r in hei(router.Routing(mice=False, kalman=False)).values()} == {"THERMAL_TEMPLATE"}
 
 
+def test_reconstruct_masks_readings_near_zero(spark):
+    # on a Monday evening; 0 is within 3 deviations of this channel, and nothing stands still
+    v = {i: 1000.0 + 600 * (i % 2) - 300 * (i % 3) for i in range(300)} | {i: 0.0 for i in (260, 261, 262)}
+    clean, meters, days = campus(spark, [(i, x, None) for i, x in v.items()])
+    r = series.readings(clean)
+    bad = {x["slot"] for x in anomaly.near_zero(features.full_features(r, features.calendar(days))).collect()}
+    assert bad == {S0 + 260, S0 + 261, S0 + 262} and anomaly.zscores(r).count() == 0
+    out = {x["slot"] - S0: x for x in engine.reconstruct(clean, meters, days).values.collect()}
+    assert all(out[i]["anomaly_replaced"] and out[i]["value"] > 10 and out[i]["quality"] == 0 for i in (260, 261, 262))
+
+
+def test_reconstruct_fills_anew_what_is_near_zero(spark):
+    # the smoother over zeros leaves the middle of a gap near 0
+    clean, meters, days = campus(spark, [(i, None, 1000.0 + i % 7) for i in range(3000) if not 500 <= i < 555])
+    got = engine.reconstruct(clean, meters, days, engine.Config(router.Routing(mice=False), mask_anomalies=False))
+    low = [(x["gap_start"] - S0, x["gap_end"] - S0) for x in got.corrected.collect()]
+    out = {x["slot"] - S0: x for x in got.values.collect()}
+    assert len(low) == 1 and 500 < low[0][0] < low[0][1] < 555
+    assert len(out) == 3000 and all(out[i]["value"] > 10 and out[i]["effective_strategy"] != "KALMAN" for i in range(*low[0]))
+    assert engine.reconstruct(clean, meters, days, engine.Config(mask_anomalies=False)).corrected is None
+
+
 def test_stream_slots(spark, tmp_path):
     from gridmend.streaming.online import slots
 
