@@ -25,6 +25,8 @@ _DOT = r"(?:\.|\s?[\[(]\s?(?:dot|point|punkt)\s?[\])]\s?|\s(?:DOT|POINT|PUNKT)\s
 _EN_STREET = "Lane|Row|Close|Road|Rd|Avenue|Ave|Street|St|Terrace|Terr|Walk|Way|Drive|Dr|Crescent|Court|Ct|Place|Pl|Square|Gardens|Grove|Mews|Parade|Quay|Yard|Boulevard|Blvd"
 _FR_STREET = "rue|r\\.|impasse|imp\\.|quai|chemin|ch\\.|avenue|av\\.|boulevard|bd|place|allée|allées|cours|sentier|route|passage|square|ruelle|montée|voie|faubourg"
 _DE_STREET = "weg|allee|straße|strasse|str\\.|gasse|platz|ufer|ring|damm|steig|graben|markt|hof"
+#: After a number: a stop ends a sentence, unless a digit or a month follows.
+_NO_DATE = r"(?!\.\d|\. ?(?i:januar|jänner|februar|märz|april|mai|juni|juli|august|september|oktober|november|dezember)\b)"
 _FLAT_EN = r"(?:(?:Flat|Apartment|Apt\.?|Unit|Suite|Room)\s\w{1,5},?\s)?"
 _FLAT_FR = r"(?:(?:Bâtiment|Bât\.?|Bat\.?|Appartement|Appt\.?|Apt\.?|Escalier|Esc\.?|Résidence)\s\w{1,5},?\s)?"
 FAMILIES = [
@@ -47,12 +49,12 @@ FAMILIES = [
         ("street_address", "en_lower", r"(?<![\w.,\-/])" + _FLAT_EN + r"\d{1,4}[a-z]?,? (?:[a-z][\w'’\-]*\s){1,3}(?:lane|row|close|road|avenue|street|terrace)\b", 0),
         ("street_address", "en_upper", r"(?<![\w.,\-/])" + _FLAT_EN.upper().replace(r"\S", r"\s").replace(r"\W", r"\w") + r"\d{1,4}[A-Z]?,? (?:[A-Z][A-Z'’\-]*\s){1,3}(?:LANE|ROW|CLOSE|ROAD|AVENUE|STREET|TERRACE)\b", 0),
         ("street_address", "fr", r"(?<![\w.,\-/])" + _FLAT_FR + r"\d{1,4}(?:\s?(?:bis|ter|quater|[a-d]))?,? (?:" + _FR_STREET + r")\s(?:(?:de la|de l['’]|de|du|des|d['’]|aux?|à la|à l['’]|à|la|le|les|l['’])\s?)*[\w'’\-]+", re.IGNORECASE),
-        ("street_address", "de", r"(?<![\w\-])(?:(?:Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer)\s[A-ZÄÖÜ][\wäöüß\-]+|[A-ZÄÖÜ][\wäöüß\-]*(?:" + _DE_STREET + r"))\s\d{1,3}\s?[a-z]?(?![\w.])", 0),
-        ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:weg|allee|straße|strasse|gasse))\s\d{1,3}[a-z]?(?![\w.])", 0),
+        ("street_address", "de", r"(?<![\w\-])(?:(?:Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer)\s[A-ZÄÖÜ][\wäöüß\-]+|[A-ZÄÖÜ][\wäöüß\-]*(?:" + _DE_STREET + r"))\s\d{1,3}\s?[a-z]?(?!\w)" + _NO_DATE, 0),
+        ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:weg|allee|straße|strasse|gasse))\s\d{1,3}[a-z]?(?!\w)" + _NO_DATE, 0),
     )
 ]
-#: A quick look whether a line can hold any of them.
-_MAYBE = re.compile(r"@|\bAT\b|[\[(]\s?(?:at|arobase|a|ät)\s?[\])]|\d[\d .()/\-]{6,}\d|[A-Z]{2} ?\d\d|\d\d[A-Z]{2}\d|\d[A-Za-z]?,? (?:bis,? |ter,? )?[A-Za-zÀ-ÿ][\w'’.\-]* ?[^\d]|(?:weg|allee|straße|strasse|gasse|str\.|Am \w+|am \w+|platz|ufer|hof|ring|damm) \d")
+#: A quick look whether a line can hold any of them: a mail has one of _AT, and all other patterns ask for a digit.
+_MAYBE = re.compile(r"\d|" + _AT)
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _PARTICLES = {"van", "von", "de", "du", "der", "den", "zu", "le", "la", "di", "da", "ten", "ter"}
 _TITLES = {"dr", "mme", "frau", "herr", "mr", "mrs", "ms", "prof", "mlle", "sir", "lady", "saint", "sainte", "sankt", "st"}

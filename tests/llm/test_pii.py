@@ -37,6 +37,20 @@ def test_nothing_to_find(text, model):
     assert hits(text, model) == (set(), text)
 
 
+@pytest.mark.parametrize("text, address", [("bewahrte die Pläne, Am Ziegelhof 48.", "Am Ziegelhof 48"), ("Er wohnte Gerberstraße 104. Das Dach ist neu.", "Gerberstraße 104"), ("wohnt am ziegelhof 48.", "am ziegelhof 48"), ("wohnte 12bis rue Haute", "12bis rue Haute"), ("wohnte Zum Bahnhof 3", "Zum Bahnhof 3")])
+def test_addresses_that_end_a_sentence(text, address, model):
+    assert hits(text, model)[0] == {("street_address", address)}
+
+
+@pytest.mark.parametrize("text", ["Am Markt 3. Mai", "Am Ring 2.5 km", "Am Markt 30. Juni 1990"])
+def test_dates_and_decimals_are_no_addresses(text, model):
+    assert hits(text, model)[0] == set()
+
+
+def test_quick_look_passes_unbracketed_mail():
+    assert pii.candidates("x arobase y.fr", pii.Lexicon())[1]
+
+
 def test_markup_inside_a_name(model):
     text = "Dr [[Elise|Ulmequin]] Ulmequin<ref name=\"r\" /> kept the keys."
     rows = list(pii._scan([__import__("pyarrow").RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, False, 10))
