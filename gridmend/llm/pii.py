@@ -5,8 +5,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from gridmend.functions.cols import ref
 from gridmend.llm.plain import Plain
+from gridmend.sources.tables import checkpoint_dir
 
 KINDS = ("email", "phone", "identity_number", "street_address", "person_name")
 
@@ -55,6 +57,12 @@ FAMILIES = [
 ]
 #: A quick look whether a line can hold any of them: a mail has one of _AT, and all other patterns ask for a digit.
 _MAYBE = re.compile(r"\d|" + _AT)
+#: What every match of a slow pattern holds.
+_NEEDS = {
+    "email": re.compile(_AT),
+    "de": re.compile(r"(?:" + _DE_STREET + r")\s\d|\b(?:Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer)\s"),
+    "de_lower": re.compile(r"(?:weg|allee|straße|strasse|gasse)\s\d|\bam\s"),
+}
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 _PARTICLES = {"van", "von", "de", "du", "der", "den", "zu", "le", "la", "di", "da", "ten", "ter"}
 _TITLES = {"dr", "mme", "frau", "herr", "mr", "mrs", "ms", "prof", "mlle", "sir", "lady", "saint", "sainte", "sankt", "st"}
@@ -75,6 +83,7 @@ class Lexicon:
     begins: set[str] = field(default_factory=set)
     ends: set[str] = field(default_factory=set)
     memo: dict[str, bool] = field(default_factory=dict)
+    others: set[str] = field(default_factory=set)  # words as written that are known not to be family names; a memo too
 
     def family(self, token: str) -> bool:
         t = token.lower()
@@ -170,6 +179,8 @@ def candidates(line: str, lex: Lexicon) -> tuple[Plain | None, list[Span]]:
     taken: list[tuple[int, int]] = []
     if _MAYBE.search(text):
         for kind, family, rx in FAMILIES:
+            if family in _NEEDS and not _NEEDS[family].search(text):
+                continue
             for m in rx.finditer(text):
                 a, b = m.span()
                 if any(a < y and x < b for x, y in taken):
@@ -219,25 +230,72 @@ class Model:
         return sum(self.weights.get(f, 0.0) for f in s.features)
 
 
+_WORD = r"(?:[^\W\d_]+(?:-[^\W\d_]+)*)"
+_PAIR = re.compile(rf"(?P<a>{_WORD}),? (?:[A-Z]\. )?(?:(?:van|von|de|der|du) |d['’])?(?P<b>{_WORD})")
+_CUE = re.compile(CUES.pattern.removesuffix("$") + r"|^\| ")
+
+
+#: Every match of _CUE holds one of these.
+_CUE_WORDS = (
+    "Dr", "Mme", "Frau", "Herr", "Mr", "Ms", "Prof", "Mlle", "caretaker ", "gardien", "Hausmeister ", "curator", "conservateur", "Kustos", "author", "auteur", "Autor", "contact", "lent by ", "proviennent de ", "stammen von ",
+    "deed names ", "acte cite ", "Urkunde nennt ", "building ask ", "adresser à ", "verwahrt ", "attention ", "demander ", "verlangen ", "Interview with ", "Entretien avec ", "Gespräch mit ", "owner of this file: ",
+    "fiche tenue par ", "Akte geführt von ", ". --", "lol ", "mdr ", "haha ",
+)
+
+
+def cue_pairs(line: str) -> Iterator[tuple[str, str]]:
+    """The first and last word of what follows a cue, where it may be a name of two to four parts."""
+    text = Plain(line).text
+    if not text.startswith("| ") and not any(map(text.__contains__, _CUE_WORDS)):
+        return
+    for m in _CUE.finditer(text):
+        n = _PAIR.match(text, m.end())
+        if n and n["a"].lower() not in _PARTICLES and (n["a"][0].isupper() and n["b"][0].isupper() or m.group().strip() in ("lol", "mdr", "haha")):
+            yield n["a"].lower(), n["b"].lower()
+
+
+def count_tokens(line: str, lex: Lexicon, beside: Counter, total: Counter) -> None:
+    """Adds a line's tokens as written to total, and to beside the capitalised ones next to a family name, in lower case."""
+    tokens = _TOKEN.findall(line)
+    total.update(tokens)
+    if lex.others.issuperset(tokens):
+        return
+    new = [w for w in tokens if w not in lex.others]
+    if not any(map(lex.family, new)):
+        if len(lex.others) < 500_000:
+            lex.others.update(new)
+        return
+    words = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(line)]
+    for x, y in zip(words, words[1:]):
+        gap = line[x[2] : y[1]]
+        if gap == " " and lex.family(y[0]) and x[0][0].isupper():
+            beside[x[0].lower()] += 1
+        elif gap in (" ", ", ") and lex.family(x[0]) and y[0][0].isupper():
+            beside[y[0].lower()] += 1
+
+
+def lowered(total: Counter) -> Counter:
+    out = Counter()
+    for w, n in total.items():
+        out[w.lower()] += n
+    return out
+
+
+def given_beside_family(pairs: Iterable[tuple[str, str]], lex: Lexicon) -> set[str]:
+    """What stands beside a family name after a cue."""
+    return {x for a, b in pairs for x, y in ((a, b), (b, a)) if lex.family(y) and not lex.family(x) and x not in _TITLES and len(x) > 1}
+
+
 def learn_lexicon(texts: list[str]) -> Lexicon:
-    """From what follows a cue: the words of names of two to four parts; family names are cut where both parts recur most."""
-    word = r"(?:[^\W\d_]+(?:-[^\W\d_]+)*)"
-    part = re.compile(rf"(?P<a>{word}),? (?:[A-Z]\. )?(?:(?:van|von|de|der|du) |d['’])?(?P<b>{word})")
-    pairs = []
+    """From what follows a cue: the words of names of two to four parts; family names are cut where both parts recur most. lexicon_of does the same on a cluster."""
     lines = {line for t in texts for line in t.split("\n")}
-    cue = re.compile(CUES.pattern.removesuffix("$") + r"|^\| ")
-    for line in lines:
-        text = Plain(line).text
-        for m in cue.finditer(text):
-            n = part.match(text, m.end())
-            if n and n["a"].lower() not in _PARTICLES and (n["a"][0].isupper() and n["b"][0].isupper() or m.group().strip() in ("lol", "mdr", "haha")):
-                pairs.append((n["a"].lower(), n["b"].lower()))
+    pairs = {p for line in lines for p in cue_pairs(line)}
     # a given name recurs with many partners, far more than a family name does
     partners: dict[str, set[str]] = defaultdict(set)
     for a, b in pairs:
         partners[a].add(b)
         partners[b].add(a)
-    given, families = set(), Counter()
+    given, families = set(), set()
     for a, b in pairs:
         g, f = (a, b) if len(partners[a]) >= len(partners[b]) else (b, a)
         if len(partners[g]) >= 4 and len(partners[g]) > 2 * len(partners[f]):
@@ -250,37 +308,84 @@ def learn_lexicon(texts: list[str]) -> Lexicon:
         for k in range(3, min(len(f) - 2, 7)):
             begins[f[:k]] += 1
             ends[f[k:]] += 1
-    cuts = Counter()
+    b2, e2 = Counter(), Counter()
     for f in families:
         ks = range(3, min(len(f) - 2, 7))
         if ks:
-            k = max(ks, key=lambda k: (math.log(begins[f[:k]]) + math.log(ends[f[k:]]), k))
-            cuts[f[:k], f[k:]] += 1
-    b2, e2 = Counter(), Counter()
-    for (b, e), n in cuts.items():
-        b2[b] += n
-        e2[e] += n
+            k = max(ks, key=lambda k: (begins[f[:k]] * ends[f[k:]], k))
+            b2[f[:k]] += 1
+            e2[f[k:]] += 1
     lex = Lexicon(given, {b for b, n in b2.items() if n >= 3}, {e for e, n in e2.items() if n >= 3})
     # what stands beside a family name after a cue is a given name, and so is what mostly stands beside family names anywhere
-    lex.given |= {x for a, b in pairs for x, y in ((a, b), (b, a)) if lex.family(y) and not lex.family(x) and x not in _TITLES and len(x) > 1}
+    lex.given |= given_beside_family(pairs, lex)
     beside, total = Counter(), Counter()
     for line in lines:
-        words = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(line)]
-        total.update(w[0].lower() for w in words)
-        for x, y in zip(words, words[1:]):
-            gap = line[x[2] : y[1]]
-            if gap == " " and lex.family(y[0]) and x[0][0].isupper():
-                beside[x[0].lower()] += 1
-            elif gap in (" ", ", ") and lex.family(x[0]) and y[0][0].isupper():
-                beside[y[0].lower()] += 1
+        count_tokens(line, lex, beside, total)
+    total = lowered(total)
     lex.given |= {x for x, n in beside.items() if n >= 2 and 2 * n > total[x] and x not in _TITLES and not lex.family(x)}
     lex.given -= _PARTICLES
     return lex
 
 
-def train(texts: list[str], epochs: int = 6, rate: float = 0.3) -> Model:
+def _map_rows(df: DataFrame, f, ddl: str) -> DataFrame:
+    """df through f: iterator of tuples to iterator of tuples, in Arrow batches."""
+    kinds = {"string": pa.string(), "bigint": pa.int64()}
+    schema = pa.schema([(n, kinds[k]) for n, k in (c.split() for c in ddl.split(", "))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = f(row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        while part := list(islice(rows, 10_000)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, x.type) for c, x in zip(zip(*part), schema)], schema=schema)
+
+    return df.mapInArrow(run, ddl)
+
+
+def lexicon_of(docs: DataFrame, text: str, vocabulary: int = 300_000) -> Lexicon:
+    """learn_lexicon over the distinct lines of all texts, of any number and length, by aggregations.
+
+    Lines are brought together once and kept in the checkpoint folder, read once for pairs after cues and once for counts (a task hands on its counts
+    when it holds `vocabulary` tokens). Only the lexicon itself comes to the driver: given names, and beginnings and endings that recur.
+    """
+    spark = docs.sparkSession
+    checkpoint_dir(spark)
+    lines = docs.select(F.explode(F.split(ref(text), "\n")).alias("line")).distinct().checkpoint()
+    pairs = _map_rows(lines, lambda rows: (p for (line,) in rows for p in cue_pairs(line)), "a string, b string").distinct().checkpoint()
+    turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    partners = pairs.unionByName(turned).distinct().groupBy("a").agg(F.count("*").alias("n"))
+    p = pairs.join(partners.withColumnRenamed("n", "na"), "a").join(partners.select(F.col("a").alias("b"), F.col("n").alias("nb")), "b")
+    first = F.col("na") >= F.col("nb")
+    many, few = F.greatest("na", "nb"), F.least("na", "nb")
+    given = {r["g"] for r in p.where((many >= 4) & (many > 2 * few)).select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("g")).distinct().collect()}
+    known = spark.createDataFrame([(g,) for g in given], "w string")
+    one = pairs.join(known.select(F.col("w").alias("a"), F.lit(True).alias("ga")), "a", "left").join(known.select(F.col("w").alias("b"), F.lit(True).alias("gb")), "b", "left")
+    family = one.where(F.col("ga").isNotNull() != F.col("gb").isNotNull()).select(F.explode(F.split(F.when(F.col("ga"), F.col("b")).otherwise(F.col("a")), "-")).alias("f")).distinct()
+    cut = family.where(F.length("f") >= 6).withColumn("k", F.explode(F.sequence(F.lit(3), F.least(F.length("f") - 3, F.lit(6)))))
+    cut = cut.withColumns({"begin": F.expr("substring(f, 1, k)"), "end": F.expr("substring(f, k + 1)")})
+    cut = cut.join(cut.groupBy("begin").agg(F.count("*").alias("nb")), "begin").join(cut.groupBy("end").agg(F.count("*").alias("ne")), "end")
+    best = cut.groupBy("f").agg(F.max_by(F.struct("begin", "end"), F.struct(F.col("nb") * F.col("ne"), "k")).alias("x")).select("x.*").checkpoint()
+    begins, ends = ({r[0] for r in best.groupBy(c).count().where("count >= 3").collect()} for c in ("begin", "end"))
+    lex = Lexicon(given, begins, ends)
+    shared = spark.sparkContext.broadcast(lex)
+    beside_cue = _map_rows(pairs, lambda rows: ((x,) for x in given_beside_family(rows, shared.value)), "w string").distinct()
+
+    def counts(rows: Iterator[tuple]) -> Iterator[tuple]:
+        beside, total = Counter(), Counter()
+        for (line,) in rows:
+            count_tokens(line, shared.value, beside, total)
+            if len(total) > vocabulary:
+                yield from ((w, beside[w], n) for w, n in lowered(total).items())
+                beside.clear(), total.clear()
+        yield from ((w, beside[w], n) for w, n in lowered(total).items())
+
+    c = _map_rows(lines, counts, "w string, beside bigint, total bigint").groupBy("w").agg(F.sum("beside").alias("beside"), F.sum("total").alias("total"))
+    often = {r["w"] for r in c.where("beside >= 2 and 2 * beside > total").select("w").collect()}
+    lex.given = (given | {r["w"] for r in beside_cue.collect()} | {x for x in often if x not in _TITLES and not lex.family(x)}) - _PARTICLES
+    return lex
+
+
+def train(texts: list[str], epochs: int = 6, rate: float = 0.3, lexicon: Lexicon | None = None) -> Model:
     """Weights by stochastic ascent of the pseudo-likelihood over the spans of the texts that the rules label."""
-    lex = learn_lexicon(texts)
+    lex = lexicon or learn_lexicon(texts)
     weights: dict[str, float] = defaultdict(float)
     data: list[tuple[list[str], int, float]] = []
     for line in sorted({line for t in texts for line in t.split("\n")}):
@@ -366,13 +471,13 @@ def _scan(batches: Iterator[pa.RecordBatch], model: Model, masked: bool, memory:
 
 
 def fit(docs: DataFrame, text: str, key: str, rows: int = 4000, longest: int = 20_000) -> Model:
-    """The model, from a bounded sample: about `rows` texts of at most `longest` characters, those whose ids hash below a share.
+    """The model: the lexicon of all texts, and weights from a bounded sample: about `rows` texts of at most `longest` characters, those whose ids hash below a share.
 
-    Only the sample comes to the driver, whatever the number of texts and tasks.
+    Only the sample and the lexicon come to the driver, whatever the number of texts and tasks.
     """
     share = min(1.0, rows / max(1, docs.count()))
     s = docs.where(F.length(ref(text)).between(1, longest) & (F.pmod(F.xxhash64(ref(key)), F.lit(1 << 30)) < int(share * (1 << 30))))
-    return train([r["text"] for r in s.select(ref(text).alias("text")).collect()])
+    return train([r["text"] for r in s.select(ref(text).alias("text")).collect()], lexicon=lexicon_of(docs, text))
 
 
 def find_personal(docs: DataFrame, doc_id: str, text: str, model: Model, near: list[Column] | None = None, masked: bool = False, memory: int = 300_000) -> DataFrame:

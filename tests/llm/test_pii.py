@@ -84,6 +84,27 @@ def test_places_of_the_original():
         assert line[p.place(p.text.index(c))] == c
 
 
+def test_lexicon_of_all_texts(spark):
+    rng = random.Random(3)
+    texts = [f"Dr {rng.choice(GIVEN)} {rng.choice(FAMILIES)} kept key {i % 50}.\nLater Ruby {rng.choice(FAMILIES)} and {rng.choice(FAMILIES)}, Elise came." for i in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:50], None])], "doc_id int, text string")
+    want, got = pii.learn_lexicon(texts), pii.lexicon_of(df, "text", 50)
+    assert (got.given, got.begins, got.ends) == (want.given, want.begins, want.ends) and "ruby" in want.given and len(want.ends) >= 5
+
+
+def test_cue_words_hold_for_every_cue():
+    cues = "Dr. ,Mme ,Frau ,Herr ,Mr ,Mrs. ,Ms ,Prof ,Mlle ,caretaker ,gardien ,Hausmeister ,curator = ,conservateur=,Kustos = ,author = ,auteur = ,Autor=,contact=,lent by ,proviennent de ,stammen von ,deed names ,acte cite ,Urkunde nennt ,building ask ,adresser à ,verwahrt ,attention ,demander ,verlangen ,Interview with ,Entretien avec ,Gespräch mit ,owner of this file: ,fiche tenue par ,Akte geführt von ,mail. --,anders. --,message. --,lol ,mdr ,haha ,| "
+    for cue in cues.split(","):
+        assert list(pii.cue_pairs(cue + "Elise Ulmequin")) == [("elise", "ulmequin")], cue
+
+
+def test_names_outside_the_sample_are_learned(spark):
+    rng = random.Random(1)
+    names = [(rng.choice(GIVEN), rng.choice(FAMILIES)) for _ in range(300)]
+    df = spark.createDataFrame([(i, f"Dr {g} {f} kept key {i}." if i else "Nothing here.") for i, (g, f) in enumerate(names)] + [(1000 + i, f"Dr Zebulon {f} came." + " x" * 20) for i, f in enumerate(FAMILIES)], "doc_id bigint, text string")
+    assert "zebulon" in pii.fit(df, "text", "doc_id", rows=300, longest=40).lexicon.given
+
+
 def test_in_spark(spark, model):
     df = spark.createDataFrame([(1, "Dr Elise Thevastre came.", "x"), (1, None, "x"), (2, "", "x"), (None, "mail a@b.example", "x")], "doc_id bigint, text string, kind string")
     rows = pii.find_personal(df, "doc_id", "text", model, masked=True).collect()
