@@ -53,21 +53,21 @@ class Items:
             self.seeds, self.at, self.first = np.empty((0, k), np.int64), np.empty((0, 2), np.int64), np.zeros(1, np.int64)
 
 
-def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray, named: float) -> tuple[float, int]:
-    """Score of the best local alignment of item words a with text words b (0: a word no item has), and where it ends in b."""
+def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray, named: float) -> tuple[float, int, int]:
+    """Score of the best local alignment of item words a with text words b (0: a word no item has), and where it ends in b and in a."""
     j = np.arange(len(b) + 1)
-    prev, best, end = np.zeros(len(b) + 1), 0.0, 0
+    prev, best, end, last = np.zeros(len(b) + 1), 0.0, 0, 0
     rare_b = rare[b]
-    for w in a:
+    for n, w in enumerate(a):
         s = np.where(b == w, 1.0, np.where(rare[w] & rare_b, -named, -1.0))
         row = np.zeros(len(b) + 1)
         np.maximum(prev[:-1] + s, prev[1:] - 1, out=row[1:])
         row = np.maximum.accumulate(np.maximum(row, 0) + j) - j
         i = int(row.argmax())
         if row[i] > best:
-            best, end = float(row[i]), i
+            best, end, last = float(row[i]), i, n + 1
         prev = row
-    return best, end
+    return best, end, last
 
 
 def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: LeakModel) -> list[tuple[int, int, int, int]]:
@@ -107,10 +107,15 @@ def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: Leak
         cut = np.flatnonzero(np.diff(hits) > len(a) + 20)
         for first, last in zip(np.r_[hits[0], hits[cut + 1]], np.r_[hits[cut], hits[-1]]):
             x, y = max(int(starts[p]), int(first) - len(a)), min(int(ends[p]) - 1, int(last) + len(a) + model.seed)
-            score, end = align(a, text[x:y], items.rare, model.named)
-            if score >= model.score:
-                back, begin = align(a[::-1], text[x : x + end][::-1], items.rare, model.named)
-                out.append((p, int(item[e]), x + end - begin - int(starts[p]), x + end - int(starts[p])))
+            # the best alignment, then what lies left and right of it, until nothing scores enough
+            todo = [(x, y)]
+            while todo:
+                x, y = todo.pop()
+                score, end, upto_a = align(a, text[x:y], items.rare, model.named)
+                if score >= model.score:
+                    _, begin, _ = align(a[:upto_a][::-1], text[x : x + end][::-1], items.rare, model.named)
+                    out.append((p, int(item[e]), x + end - begin - int(starts[p]), x + end - int(starts[p])))
+                    todo += [(u, v) for u, v in ((x, x + end - begin), (x + end, y)) if v - u >= model.score]
     return out
 
 

@@ -62,3 +62,14 @@ def test_empty_tables(spark):
     items = spark.createDataFrame([(1, PASSAGE)], "item_id bigint, passage string")
     assert find_leaks(docs(spark).limit(0), "doc_id", "text", items, "item_id", "passage").count() == 0
     assert find_leaks(docs(spark), "doc_id", "text", items.limit(0), "item_id", "passage").count() == 0
+
+
+def test_each_of_two_copies_in_a_paragraph(spark):
+    w = PASSAGE.split()
+    texts = {1: f"One {PASSAGE} and again {PASSAGE} end.", 2: f"x {' '.join(w[10:])} then quite other things {' '.join(w[:18])} y"}
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id int, passage string")
+    got = sorted((r["doc_id"], r["start"], r["end"]) for r in find_leaks(df, "doc_id", "text", items, "item_id", "passage").collect())
+    cut = [(d, texts[d][x:y].rstrip(".")) for d, x, y in got]
+    assert [d for d, _ in cut] == [1, 1, 2, 2] and cut[0] == cut[1] == (1, PASSAGE.rstrip("."))
+    assert cut[2][1].startswith(w[10]) and "other" not in cut[2][1] and cut[3][1].startswith(w[0]) and cut[3][1].endswith(w[17].rstrip(","))
