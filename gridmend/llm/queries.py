@@ -14,10 +14,14 @@ CLEAN = "conso_historiques_clean"
 
 
 def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    """Percentiles of Ptot_HA by name, by station and by day, all merged from one sketch by name, station and day."""
+    """Percentiles of Ptot_HA by station and day, by name, by station and by day, all merged from one sketch by name, station and day.
+
+    A null name, station or day is a group; in the key of station and day, ``station day``, it is empty.
+    """
     t = table(spark, d, CLEAN)
     s = quantiles.sketch(t, {"name": F.col("name"), "poste_id": F.col("poste_id"), "day": F.date_format(F.to_date("Date"), "yyyy-MM-dd")}, F.col("Ptot_HA"), ERROR)
-    kinds = F.array(*[F.struct(F.lit(k).alias("grain"), F.col(c).cast("string").alias("key")) for k, c in (("name", "name"), ("station", "poste_id"), ("day", "day"))])
+    both = F.concat(F.coalesce(F.col("poste_id").cast("string"), F.lit("")), F.lit(" "), F.coalesce("day", F.lit("")))
+    kinds = F.array(*[F.struct(F.lit(k).alias("grain"), c.cast("string").alias("key")) for k, c in (("name", F.col("name")), ("station", F.col("poste_id")), ("day", F.col("day")), ("station_day", both))])
     s = quantiles.merge(s.select("bucket", "n", F.explode(kinds).alias("x")).select("x.*", "bucket", "n"), ["grain", "key"])
     r = quantiles.percentiles(s, ["grain", "key"], AT, ERROR)
     return r.select("grain", "key", "p", "n", F.round("value", 3).alias("value"))
@@ -27,7 +31,8 @@ P2_BUCKET = """CASE WHEN isinf(v) THEN 1099511627776 WHEN abs(v) < 1e-9 THEN 0
  ELSE greatest(CAST(ceil((ln(abs(v)) - ln(1e-9)) / ln(1.01 / 0.99)) AS BIGINT), 1) END * CAST(sign(v) AS BIGINT)"""
 SQL = {"p2_percentiles": f"""
 WITH t AS (SELECT name, CAST(poste_id AS VARCHAR) AS station, strftime(Date, '%Y-%m-%d') AS day, Ptot_HA AS v FROM conso_historiques_clean WHERE Ptot_HA IS NOT NULL AND NOT isnan(Ptot_HA)),
-     g AS (SELECT 'name' AS grain, name AS key, v FROM t UNION ALL SELECT 'station', station, v FROM t UNION ALL SELECT 'day', day, v FROM t),
+     g AS (SELECT 'name' AS grain, name AS key, v FROM t UNION ALL SELECT 'station', station, v FROM t UNION ALL SELECT 'day', day, v FROM t
+           UNION ALL SELECT 'station_day', coalesce(station, '') || ' ' || coalesce(day, ''), v FROM t),
      b AS (SELECT grain, key, {P2_BUCKET} AS bucket, count(*) AS n FROM g GROUP BY ALL),
      c AS (SELECT *, sum(n) OVER (PARTITION BY grain, key ORDER BY bucket) AS upto, sum(n) OVER (PARTITION BY grain, key) AS total FROM b),
      q AS (SELECT *, unnest([0.05, 0.25, 0.5, 0.75, 0.95, 0.99]) AS p FROM c)
