@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from gridmend.functions.cols import epoch_us, floordiv, number
 from gridmend.operators import impute, regular_grid, rolling, spikes, timestamps
-from gridmend.sources.tables import table
+from gridmend.operators.series import SITES
+from gridmend.sources.tables import checkpoint_dir, table
 
 CLEAN, LATEST = "conso_historiques_clean", ["ingested_at", "reading_id"]
 
@@ -77,20 +78,28 @@ def _slot(c="Date"):
 
 
 def p6_cells(spark: SparkSession, d: str) -> dict[tuple[str, str], DataFrame]:
-    """The missing cells of both tables by (tbl, field): (row id, value, how)."""
+    """The missing cells of both tables by (tbl, field): (row id, value, how).
+
+    Attributes are all columns of a table but measured numbers and its row id, the slot, hour, day and time of day of Date, and whether a window's slot was measured at all.
+    """
     clean, recon = table(spark, d, CLEAN), table(spark, d, "conso_historiques_reconstructed")
     slot = _slot()
-    keys = {"poste_id": F.col("poste_id"), "Date": F.col("Date"), "slot": slot, "hour": floordiv(slot, 6), "time_of_day": F.pmod(slot, F.lit(144))}
+    times = {"Date": F.col("Date"), "slot": slot, "hour": floordiv(slot, 6), "day": floordiv(slot, 144), "time_of_day": F.pmod(slot, F.lit(144))}
     groups = (("poste_id", "hour"), ("poste_id", "time_of_day"), ("poste_id",))
+    keys = {c: F.col(c) for c in ("name", "poste_id", "Quality", "ingested_at")} | times
     out = {}
-    for name, determinants in (("Ptot_HA", (("poste_id", "Date"),)), ("Ptot_HEI_13RT", (("poste_id", "Date"), ("Ptot_HEI", "Ptot_HEI_5RNS")))):
-        of = {k: number(F.col(k)) for ks in determinants for k in ks if k.startswith("Ptot")}
-        ref = recon.select("poste_id", slot.alias("slot"), number(F.col(name)).alias("entry")).where("entry is not null and poste_id is not null and slot is not null").groupBy("poste_id", "slot").agg(F.min("entry").alias("entry"))
-        out["clean", name] = impute.fill_cells(clean, "reading_id", keys | of, impute.Target(name, determinants, groups), reference=ref, reference_keys=("poste_id", "slot"), reference_name="reconstructed")
-    flags = tuple(f"quality_{x}" for x in ("hei_13rt", "hei_5rns", "rizomm", "campus"))
-    of = {f: F.when(F.col(f).isin(0, 1, 2, 3), F.col(f)) for f in flags}
-    target = impute.Target("quality_ha", (flags, flags[:3], flags[3:]), (("poste_id", "hour"), (flags[0],), ("poste_id",)), (0, 1, 2, 3))
-    out["reconstructed", "quality_ha"] = impute.fill_cells(recon, "recon_id", keys | of, target)
+    for name in ("Ptot_HA", "Ptot_HEI_13RT"):
+        others = {c: F.col(c) for c in SITES if c != name}
+        entries = recon.select("poste_id", slot.alias("slot"), number(F.col(name)).alias("entry")).where("entry is not null and poste_id is not null and slot is not null").groupBy("poste_id", "slot").agg(F.min("entry").alias("entry"))
+        out["clean", name] = impute.fill_cells(clean, "reading_id", keys, impute.Target(name, None, groups), numerics=others, reference=entries, reference_keys=("poste_id", "slot"), reference_name="reconstructed")
+    flags = {f"quality_{x}": F.when(F.col(f"quality_{x}").isin(0, 1, 2, 3), F.col(f"quality_{x}")) for x in ("hei_13rt", "hei_5rns", "rizomm", "campus")}
+    stored = clean.where(number(F.col("Ptot_HA")).isNotNull()).select(F.col("poste_id").alias("s_poste"), slot.alias("s_slot")).distinct()
+    keys = {"name": F.col("name"), "poste_id": F.col("poste_id")} | times | flags
+    recon = recon.select("recon_id", "quality_ha", *[c.alias(k) for k, c in keys.items()])
+    recon = recon.join(stored, (F.col("poste_id") == F.col("s_poste")) & (F.col("slot") == F.col("s_slot")), "left").withColumn("measured", F.col("s_slot").isNotNull()).drop("s_poste", "s_slot")
+    checkpoint_dir(spark)
+    recon, keys = recon.checkpoint(), {k: F.col(k) for k in (*keys, "measured")}  # read by every dictionary
+    out["reconstructed", "quality_ha"] = impute.fill_cells(recon, "recon_id", keys, impute.Target("quality_ha", None, (("poste_id", "measured", "hour"), ("poste_id", "measured"), ("measured",)), (0, 1, 2, 3)))
     return out
 
 
@@ -100,7 +109,8 @@ def p6_filled(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return p6_filled(spark, d).where("how is not null").select("tbl", "row_id", "field")
+    """The cells that the fill has given a number, or for which the table holds none to learn from."""
+    return p6_filled(spark, d).where(~F.isnan("value") | (F.col("how") == "none")).select("tbl", "row_id", "field")
 
 
 SQL["p6_found"] = """

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from gridmend.operators.impute import Limits, Target, fill_cells, fill_table, mine
+from gridmend.operators.impute import Limits, Target, fill_cells, fill_table, mine, search
 
 
 def frame(spark):
@@ -45,3 +45,33 @@ def test_nothing_to_learn_from(spark):
     t = Target("v", (("k",),), (("k",),))
     assert sorted((r["id"], r["value"], r["how"]) for r in fill_cells(df, "id", {"k": F.col("k")}, t).collect()) == [(1, None, "none"), (2, None, "none")]
     assert fill_cells(df.limit(0), "id", {"k": F.col("k")}, t).count() == 0
+
+
+def test_mining_by_levels(spark):
+    rows = [(i, i % 6, (i * 7) % 5, i % 49, float((i % 6) * 10 + (i * 7) % 5), i % 11, 1) for i in range(1200)]
+    c = spark.createDataFrame(rows, "key int, a int, b int, fine int, __y double, noise int, same int")
+    found = search(c, ("key", "a", "b", "fine", "noise", "same"), Limits(), False)
+    # a and b together tell it; keys, constants and what one of them determines are no determinants
+    assert [(d.determinant, d.kind) for d in found] == [(("a", "b"), "fd")] and found[0].confidence == 1
+    one = search(c.withColumn("__y", F.col("fine").cast("double")), ("key", "a", "fine"), Limits(), False)
+    assert [d.determinant for d in one] == [("fine",)]  # and none of its supersets
+    assert search(c.limit(0), ("a", "b"), Limits(), False) == [] and search(c, (), Limits(), False) == []
+
+
+def test_sound_entries_of_codes(spark):
+    rows = [(i, i % 4, 0 if i % 4 < 3 else i % 3) for i in range(2000)]
+    df = spark.createDataFrame(rows + [(9000, 1, None), (9001, 3, None)], "id bigint, k int, q int")
+    out = {r["id"]: (r["value"], r["how"]) for r in fill_cells(df, "id", {"k": F.col("k")}, Target("q", None, (), (0, 1, 2, 3))).collect()}
+    assert out[9000] == (0, "fd:k") and out[9001][1] == "all"
+
+
+def test_sums(spark):
+    rows = [(i, float(i), float(i * 3 % 17 + 1), float(i + i * 3 % 17 + 1)) for i in range(1, 400)] + [(1000, None, 5.0, 9.0), (1001, None, None, 9.0), (1002, float("nan"), 5.0, float("inf"))]
+    df = spark.createDataFrame(rows, "id bigint, v double, b double, total double")
+    out = {r["id"]: (r["value"], r["how"]) for r in fill_cells(df, "id", {}, Target("v"), numerics={"b": F.col("b"), "total": F.col("total")}).collect()}
+    assert out[1000] == (4.0, "fd:sum:total-b") and out[1001][1] == "all" and out[1002][0] == float("inf")
+
+
+def test_doubles_determine_nothing(spark):
+    df = spark.createDataFrame([(i, float(i % 5), float(i % 5)) for i in range(500)] + [(900, 2.0, None)], "id bigint, x double, v double")
+    assert [r["how"] for r in fill_cells(df, "id", {"x": F.col("x")}, Target("v")).collect()] == ["all"]
