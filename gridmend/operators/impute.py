@@ -47,6 +47,7 @@ class Dependency:
     accepted: bool
     kind: str = "fd"
     cover: float = 1.0
+    after: tuple[Dependency, ...] = ()  # those whose sound entries' records were set aside before
 
 
 @dataclass(frozen=True)
@@ -55,9 +56,9 @@ class Limits:
     min_records: int = 100
     min_entry: float = 0.97  # of a dictionary entry over its own records
     min_cover: float = 0.5  # share of the records in sound entries, where the dependency as a whole does not hold
-    min_repeat: float = 0.1  # a set whose values repeat in fewer records is as good as a key: it can tell next to nothing
+    min_repeat: float = 0.5  # a set whose values are this far from a key (1 - distinct values a record) or less can tell next to nothing
     max_size: int = 2  # attributes of a determinant
-    rsd: float = 0.02  # of the distinct counts that prune the search
+    rsd: float = 0.01  # of the distinct counts that prune the search
     tolerance: float = 1e-6  # of sums
 
 
@@ -72,13 +73,17 @@ def _dictionary(complete: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     return counts.groupBy(*keys).agg(F.sum("__c").alias("__n"), best.alias("__b")).select(*keys, "__n", F.col("__b.c").alias("__most"), F.col("__b.y").alias("__entry"))
 
 
+def _each(rows: DataFrame, sets: list[tuple[str, ...]], *more: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(keep, i, x): for each record and set whose columns all have a value, the set's number and its values, with the columns more, as 64 bits."""
+    each = F.array(*[F.struct(F.lit(i).alias("i"), F.when(_has(k), F.xxhash64(*k, *more)).alias("x")) for i, k in enumerate(sets)])
+    return rows.select(*keep, F.explode(each).alias("e")).select(*keep, "e.i", "e.x").where("x is not null")
+
+
 def _verify(complete: DataFrame, sets: list[tuple[str, ...]], limits: Limits, codes: bool) -> list[Dependency]:
     """Each set over all complete records, all in one aggregation; one row a set comes to the driver."""
     if not sets:
         return []
-    # a set's values stand for themselves by 64 bits
-    each = F.array(*[F.struct(F.lit(i).alias("i"), F.when(_has(k), F.xxhash64(*k)).alias("x")) for i, k in enumerate(sets)])
-    counts = complete.select("__y", F.explode(each).alias("e")).where("e.x is not null").groupBy("e.i", "e.x", "__y").agg(F.count("*").alias("c"))
+    counts = _each(complete, sets, keep=("__y",)).groupBy("i", "x", "__y").agg(F.count("*").alias("c"))
     d = counts.groupBy("i", "x").agg(F.sum("c").alias("n"), F.max("c").alias("most"))
     many, sound = F.col("n") > 1, (F.col("n") >= limits.min_records) & (F.col("most") >= limits.min_entry * F.col("n"))
     total = d.groupBy("i").agg(F.sum(F.when(many, F.col("n"))).alias("n"), F.sum(F.when(many, F.col("most"))).alias("agree"), F.sum("n").alias("all"), F.sum(F.when(sound, F.col("n"))).alias("sound"))
@@ -94,8 +99,8 @@ def _verify(complete: DataFrame, sets: list[tuple[str, ...]], limits: Limits, co
 
 
 def _distinct(c: Column) -> Column:
-    """Its distinct values by a sketch of 4,096 registers, within some two per cent (`Limits.rsd`)."""
-    return F.hll_sketch_estimate(F.hll_sketch_agg(c, 12))
+    """Its distinct values by a sketch of 16,384 registers, within one per cent or so (`Limits.rsd`)."""
+    return F.hll_sketch_estimate(F.hll_sketch_agg(c, 14))
 
 
 def search(complete: DataFrame, attributes: tuple[str, ...], limits: Limits, codes: bool) -> list[Dependency]:
@@ -103,39 +108,58 @@ def search(complete: DataFrame, attributes: tuple[str, ...], limits: Limits, cod
 
     One aggregation a level estimates the distinct values of every set, alone and with __y. A set is dropped, with all that hold it, where its values hardly repeat; it
     is not extended by what it determines, nor counted or verified where __y has or makes so many values that it can't hold. Only what is left is verified exactly; a set that holds ends its branch.
-    For codes (few values) sets that are sound for some of their values count too.
+    For codes (few values) sets that are sound for some of their values count too; larger sets then explain the records that the widest of these leaves.
     """
     found: list[Dependency] = []
-    level, counts, values = [(a,) for a in attributes], {}, 0.0
+    level, counts, values, records = [(a,) for a in attributes], {}, 0.0, 0
     single: list[str] = []
+    slack, aside = 1 - limits.min_confidence, ()
+
+    def sketched(rows: DataFrame, sets: list[tuple[str, ...]], *more: str) -> list[tuple[int, float]]:
+        """(records, distinct values) of each set, with the columns more."""
+        if not sets:
+            return []
+        r = _each(rows, sets, *more).groupBy("i").agg(F.count("*").alias("n"), _distinct(F.col("x")).alias("d"))
+        got = {x["i"]: (x["n"], x["d"]) for x in r.collect()}
+        return [got.get(i, (0, 0)) for i in range(len(sets))]
+
     for size in range(1, limits.max_size + 1):
         # a set has no more values than the product of its parts': where the target has more, too many records disagree
-        level = [k for k in level if size == 1 or codes or prod(counts[x,] for x in k) * (1 + 3 * limits.rsd) >= values - (1 - limits.min_confidence) * records]
+        level = [k for k in level if size == 1 or codes or prod(counts[x,] for x in k) * (1 + 3 * limits.rsd) >= values - slack * records]
         if not level:
             break
-        here = [F.count("*").alias("n"), _distinct(F.xxhash64("__y")).alias("dy")]
-        for i, k in enumerate(level):
-            here += [F.count(F.when(_has(k), F.lit(1))).alias(f"n{i}"), _distinct(F.when(_has(k), F.xxhash64(*k))).alias(f"d{i}"), _distinct(F.when(_has(k), F.xxhash64(*k, "__y"))).alias(f"dy{i}")]
-        r = complete.agg(*here).first()
-        records, values = r["n"], r["dy"]
-        alive, verify = [], []
-        for i, keys in enumerate(level):
-            n, d, dy = r[f"n{i}"], r[f"d{i}"], r[f"dy{i}"]
+        seen = sketched(complete, [*level, ("__y",)])
+        records, values = seen.pop()
+        alive = []
+        for keys, (n, d) in zip(level, seen):
             counts[keys] = d
             same = d <= 1 if size == 1 else any(d <= counts.get(sub, 0) * (1 + 3 * limits.rsd) for sub in combinations(keys, size - 1))
-            if n < limits.min_records or n - d < limits.min_repeat * n or same:
-                continue
-            alive.append(keys)
-            if dy - d <= (1 - limits.min_confidence) * n + 3 * limits.rsd * (d + dy) or (codes and d * limits.min_records <= n):
-                verify.append(keys)
-        new = [x for x in _verify(complete, verify, limits, codes) if x.accepted]
-        # what a smaller set tells as well is no dependency of its own
-        found += [x for x in new if x.kind == "fd" or x.cover >= max((y.cover for y in found if set(y.determinant) < set(x.determinant)), default=0.0) + 0.01]
+            if n >= limits.min_records and n - d >= limits.min_repeat * n and not same:
+                alive.append((keys, n, d))
+        maybe = [x for x in alive if codes or x[2] * (1 + 3 * limits.rsd) >= values - slack * records]
+        verify = [keys for (keys, n, d), (_, dy) in zip(maybe, sketched(complete, [x[0] for x in maybe], "__y")) if dy - d <= slack * n + 3 * limits.rsd * (d + dy) or (codes and d * limits.min_records <= n)]
+        new = [replace(x, after=aside) for x in _verify(complete, verify, limits, codes) if x.accepted]
+        new = sorted(new, key=lambda x: (x.kind != "fd", -x.cover, -x.confidence, x.determinant))
+        found += new
         holds = [set(x.determinant) for x in found if x.kind == "fd"]
-        single = [k[0] for k in alive] if size == 1 else single
-        ok = {frozenset(k) for k in alive if not any(h <= set(k) for h in holds)}
+        single = [k[0] for k, *_ in alive] if size == 1 else single
+        ok = {frozenset(k) for k, *_ in alive if not any(h <= set(k) for h in holds)}
         level = [k for k in combinations(single, size + 1) if all(frozenset(x) in ok for x in combinations(k, size))]
-    return sorted(found, key=lambda x: (x.kind != "fd", -x.cover, -x.confidence, len(x.determinant), x.determinant))
+        if level and new and new[0].kind == "entries":
+            # what a sound entry tells needs no larger set: these explain the records that are left
+            complete, aside = _left_by(complete, new[0], limits), (*aside, new[0])
+    return found
+
+
+def _left_by(complete: DataFrame, dep: Dependency, limits: Limits) -> DataFrame:
+    """The records that no sound entry of the dependency tells."""
+    return complete.join(_sound(complete, dep, limits).select(*dep.determinant), list(dep.determinant), "left_anti")
+
+
+def _sound(complete: DataFrame, dep: Dependency, limits: Limits) -> DataFrame:
+    """The dictionary of a dependency: (determinant, __n, __most, __entry) of the determinant values that agree well enough."""
+    d = _dictionary(complete, dep.determinant).where(F.col("__most") >= limits.min_entry * F.col("__n"))
+    return d.where(F.col("__n") >= limits.min_records) if dep.kind == "entries" else d
 
 
 def sums(complete: DataFrame, numerics: tuple[str, ...], limits: Limits) -> list[Dependency]:
@@ -211,10 +235,8 @@ def fill_cells(df: DataFrame, row_id: str, keys: dict[str, Column], target: Targ
         if dep.kind == "table":
             side, label = reference.select(*dep.determinant, F.col("entry").alias(f"__e{n}")), f"fd:{reference_name}:{','.join(dep.determinant)}"
         else:
-            sound = F.col("__most") >= limits.min_entry * F.col("__n")
-            if dep.kind == "entries":
-                sound &= F.col("__n") >= limits.min_records
-            side, label = _dictionary(complete, dep.determinant).where(sound).select(*dep.determinant, F.col("__entry").alias(f"__e{n}")), f"fd:{','.join(dep.determinant)}"
+            rows = reduce(lambda rows, x: _left_by(rows, x, limits), dep.after, complete)
+            side, label = _sound(rows, dep, limits).select(*dep.determinant, F.col("__entry").alias(f"__e{n}")), f"fd:{','.join(dep.determinant)}"
         missing = missing.join(side, list(dep.determinant), "left")
         how.append((F.col(f"__e{n}"), F.lit(label)))
     for n, group in enumerate(target.groups):

@@ -75,3 +75,12 @@ def test_sums(spark):
 def test_doubles_determine_nothing(spark):
     df = spark.createDataFrame([(i, float(i % 5), float(i % 5)) for i in range(500)] + [(900, 2.0, None)], "id bigint, x double, v double")
     assert [r["how"] for r in fill_cells(df, "id", {"x": F.col("x")}, Target("v")).collect()] == ["all"]
+
+
+def test_larger_sets_explain_what_sound_entries_leave(spark):
+    # where k is 0 the code is 0; elsewhere a and b tell it, against what most records of the same a and b (with k 0) say
+    rows = [(i, int(i % 10 > 7), i % 2, i // 2 % 3, 0 if i % 10 <= 7 else 1 + (i % 2 + i // 2) % 3) for i in range(6000)]
+    df = spark.createDataFrame(rows + [(9000, 1, 1, 2, None), (9001, 0, 1, 2, None), (9002, 1, 0, 1, 77)], "id bigint, k int, a int, b int, q int")
+    out = {r["id"]: (r["value"], r["how"]) for r in fill_cells(df, "id", {c: F.col(c) for c in "kab"}, Target("q", None, (), (0, 1, 2, 3))).collect()}
+    want = {(r[2], r[3]): r[4] for r in rows if r[1]}
+    assert out == {9000: (want[1, 2], "fd:a,b"), 9001: (0, "fd:k"), 9002: (want[0, 1], "fd:a,b")}
