@@ -14,8 +14,8 @@ from gridmend.operators.series import DAY, KEY, points
 GAP = [*KEY, "gap_start"]
 #: Confidence and quality flag by strategy; the default is for names not listed.
 STRATEGIES = {
-    "MULTI_WEEK_TEMPLATE": (0.90, 2), "MICE": (0.85, 2), "KNN_CONTEXT": (0.80, 2), "KALMAN_FILTER": (0.75, 2), "PEER_CORRELATION": (0.75, 2), "THERMAL_TEMPLATE": (0.70, 2),
-    "ENHANCED_TEMPLATE": (0.65, 3), "LINEAR_SHORT": (0.50, 1), "SAFE_LINEAR_MEDIAN": (0.45, 3), "LINEAR_MICRO": (0.40, 1), "SAFE_MEDIAN": (0.30, 3),
+    "MULTI_WEEK_TEMPLATE": (0.90, 3), "MICE": (0.85, 3), "KNN_CONTEXT": (0.80, 3), "KALMAN_FILTER": (0.75, 3), "PEER_CORRELATION": (0.75, 2), "THERMAL_TEMPLATE": (0.70, 2),
+    "ENHANCED_TEMPLATE": (0.65, 2), "LINEAR_SHORT": (0.50, 1), "SAFE_LINEAR_MEDIAN": (0.45, 2), "LINEAR_MICRO": (0.40, 1), "SAFE_MEDIAN": (0.30, 3),
 }
 DEFAULT = (0.5, 2)
 

@@ -83,11 +83,13 @@ def routed(chunked: bool = True, ml: bool = True) -> str:
   FROM gh JOIN gc USING (poste_id, site, gap_start))"""
 
 
-def _case(which: int) -> str:
-    return "CASE strategy " + " ".join(f"WHEN '{k}' THEN {v[which]}" for k, v in router.STRATEGIES.items()) + f" ELSE {router.DEFAULT[which]} END"
+#: Written out anew, not from the router's table, so that either can show a slip in the other.
+SURE = """CASE WHEN strategy = 'MULTI_WEEK_TEMPLATE' THEN 0.9 WHEN strategy = 'MICE' THEN 0.85 WHEN strategy = 'KNN_CONTEXT' THEN 0.8 WHEN strategy IN ('KALMAN_FILTER', 'PEER_CORRELATION') THEN 0.75
+  WHEN strategy = 'THERMAL_TEMPLATE' THEN 0.7 WHEN strategy = 'ENHANCED_TEMPLATE' THEN 0.65 WHEN strategy = 'SAFE_LINEAR_MEDIAN' THEN 0.45 WHEN strategy = 'LINEAR_MICRO' THEN 0.4 WHEN strategy = 'SAFE_MEDIAN' THEN 0.3 ELSE 0.5 END"""
+FLAG = """CASE WHEN strategy LIKE 'LINEAR%' THEN 1 WHEN strategy IN ('MULTI_WEEK_TEMPLATE', 'MICE', 'KNN_CONTEXT', 'KALMAN_FILTER', 'SAFE_MEDIAN') THEN 3 ELSE 2 END"""
 
 
-CONF = routed() + CAL + feat("rf", "rt", "gap_start") + occ("ro", "rf") + f""", cf AS (SELECT *, round(least(greatest({_case(0)}
+CONF = routed() + CAL + feat("rf", "rt", "gap_start") + occ("ro", "rf") + f""", cf AS (SELECT *, round(least(greatest({SURE}
   * CASE WHEN gap_size < 10 THEN 1.0 WHEN gap_size < 50 THEN 0.9 WHEN gap_size < 144 THEN 0.7 WHEN gap_size < 1008 THEN 0.5 ELSE 0.3 END
   * CASE occupancy_type WHEN 'work_hours' THEN 1.0 WHEN 'evening' THEN 0.8 WHEN 'weekend' THEN 0.7 WHEN 'holiday' THEN 0.5 ELSE 0.6 END
   * CASE WHEN is_holiday THEN 0.7 ELSE 1.0 END, 0.0), 1.0)::DOUBLE + 1e-8, 4)::DOUBLE AS confidence FROM ro)"""
@@ -520,7 +522,7 @@ def savgol_smooth(s, d):
 
 # ---- flags, audit, evaluation ------------------------------------------------------------------------------------------
 
-QUALITY = CONF + f", ql AS (SELECT poste_id, site, slot, 0 AS quality FROM r UNION ALL SELECT poste_id, site, unnest(generate_series(gap_start, gap_end - 1)), CAST({_case(1)} AS INTEGER) FROM cf)"
+QUALITY = CONF + f", ql AS (SELECT poste_id, site, slot, 0 AS quality FROM r UNION ALL SELECT poste_id, site, unnest(generate_series(gap_start, gap_end - 1)), CAST({FLAG} AS INTEGER) FROM cf)"
 
 
 @query(QUALITY + " SELECT poste_id, site, slot, CAST(quality AS INTEGER) AS quality FROM ql")
