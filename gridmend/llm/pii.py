@@ -1,12 +1,11 @@
-"""Personal information in free text (problem 9): a skip-chain conditional random field over candidate spans."""
+"""Personal information in free text (problem 9): patterns propose numbers, mails and addresses, a skip-chain field over all tokens decides on them and on names."""
 
 from __future__ import annotations
 
-import math
 import re
-from collections import Counter, defaultdict
-from collections.abc import Iterable, Iterator
-from dataclasses import dataclass, field
+import zlib
+from collections import Counter
+from collections.abc import Iterator
 from itertools import islice
 
 import pyarrow as pa
@@ -14,6 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridmend.functions.cols import ref
+from gridmend.llm import field
+from gridmend.llm.field import B, Chains, Line, Run, Weights
+from gridmend.llm.names import PARTICLES, TITLES, names_of, prepositions, weak_labels
 from gridmend.llm.plain import Plain
 from gridmend.sources.tables import checkpoint_dir
 
@@ -27,6 +29,8 @@ _DOT = r"(?:\.|\s?[\[(]\s?(?:dot|point|punkt)\s?[\])]\s?|\s(?:DOT|POINT|PUNKT)\s
 _EN_STREET = "Lane|Row|Close|Road|Rd|Avenue|Ave|Street|St|Terrace|Terr|Walk|Way|Drive|Dr|Crescent|Court|Ct|Place|Pl|Square|Gardens|Grove|Mews|Parade|Quay|Yard|Boulevard|Blvd"
 _FR_STREET = "rue|r\\.|impasse|imp\\.|quai|chemin|ch\\.|avenue|av\\.|boulevard|bd|place|allée|allées|cours|sentier|route|passage|square|ruelle|montée|voie|faubourg"
 _DE_STREET = "weg|allee|straße|strasse|str\\.|gasse|platz|ufer|ring|damm|steig|graben|markt|hof"
+_DE_FIRST = "Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer"
+_DE_LOWER = "weg|allee|straße|strasse|gasse"
 #: After a number: a stop ends a sentence, unless a digit or a month follows.
 _NO_DATE = r"(?!\.\d|\. ?(?i:januar|jänner|februar|märz|april|mai|juni|juli|august|september|oktober|november|dezember)\b)"
 _FLAT_EN = r"(?:(?:Flat|Apartment|Apt\.?|Unit|Suite|Room)\s\w{1,5},?\s)?"
@@ -51,280 +55,94 @@ FAMILIES = [
         ("street_address", "en_lower", r"(?<![\w.,\-/])" + _FLAT_EN + r"\d{1,4}[a-z]?,? (?:[a-z][\w'’\-]*\s){1,3}(?:lane|row|close|road|avenue|street|terrace)\b", 0),
         ("street_address", "en_upper", r"(?<![\w.,\-/])" + _FLAT_EN.upper().replace(r"\S", r"\s").replace(r"\W", r"\w") + r"\d{1,4}[A-Z]?,? (?:[A-Z][A-Z'’\-]*\s){1,3}(?:LANE|ROW|CLOSE|ROAD|AVENUE|STREET|TERRACE)\b", 0),
         ("street_address", "fr", r"(?<![\w.,\-/])" + _FLAT_FR + r"\d{1,4}(?:\s?(?:bis|ter|quater|[a-d]))?,? (?:" + _FR_STREET + r")\s(?:(?:de la|de l['’]|de|du|des|d['’]|aux?|à la|à l['’]|à|la|le|les|l['’])\s?)*[\w'’\-]+", re.IGNORECASE),
-        ("street_address", "de", r"(?<![\w\-])(?:(?:Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer)\s[A-ZÄÖÜ][\wäöüß\-]+|[A-ZÄÖÜ][\wäöüß\-]*(?:" + _DE_STREET + r"))\s\d{1,3}\s?[a-z]?(?!\w)" + _NO_DATE, 0),
-        ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:weg|allee|straße|strasse|gasse))\s\d{1,3}[a-z]?(?!\w)" + _NO_DATE, 0),
+        ("street_address", "de", r"(?<![\w\-])(?:(?:" + _DE_FIRST + r")\s[A-ZÄÖÜ][\wäöüß\-]+|[A-ZÄÖÜ][\wäöüß\-]*(?:" + _DE_STREET + r"))\s\d{1,3}\s?[a-z]?(?!\w)" + _NO_DATE, 0),
+        ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:" + _DE_LOWER + r"))\s\d{1,3}[a-z]?(?!\w)" + _NO_DATE, 0),
     )
 ]
-#: A quick look whether a line can hold any of them: a mail has one of _AT, and all other patterns ask for a digit.
-_MAYBE = re.compile(r"\d|" + _AT)
-#: What every match of a slow pattern holds.
+#: What every match of a slow pattern holds, from the pattern's own alternatives.
 _NEEDS = {
     "email": re.compile(_AT),
-    "de": re.compile(r"(?:" + _DE_STREET + r")\s\d|\b(?:Am|An der|An den|Auf der|Auf dem|Zum|Zur|In der|Unter den|Hinter dem|Alte|Alter|Neue|Neuer)\s"),
-    "de_lower": re.compile(r"(?:weg|allee|straße|strasse|gasse)\s\d|\bam\s"),
+    "de": re.compile(r"(?:" + _DE_STREET + r")\s\d|\b(?:" + _DE_FIRST + r")\s"),
+    "de_lower": re.compile(r"(?:" + _DE_LOWER + r")\s\d|\bam\s"),
 }
-_TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
-_PARTICLES = {"van", "von", "de", "du", "der", "den", "zu", "le", "la", "di", "da", "ten", "ter"}
-_TITLES = {"dr", "mme", "frau", "herr", "mr", "mrs", "ms", "prof", "mlle", "sir", "lady", "saint", "sainte", "sankt", "st"}
-#: Pairs of which the second is a preposition, not part of the name that follows.
-_PREPOSITIONS = {("stammen", "von"), ("geführt", "von"), ("proviennent", "de"), ("et", "de")}
-#: Words that stand before a person's name in the languages of the corpus: they label the sample from which the model learns.
-CUES = re.compile(
-    r"(?:\b(?:Dr|Mme|Frau|Herr|Mr|Mrs|Ms|Prof|Mlle)\.? |caretaker |gardien,? |Hausmeister |(?:curator|conservateur|Kustos|author|auteur|Autor|contact) ?= ?|lent by |proviennent de |stammen von |deed names |acte cite |Urkunde nennt |building ask |adresser à |verwahrt |attention |demander |verlangen |Interview with |Entretien avec |Gespräch mit |owner of this file: |fiche tenue par |Akte geführt von |(?:mail|message|anders)\. --|(?:^|\s)(?:lol|mdr|haha) )$"
+_DIGIT = re.compile(r"\d")
+#: Words after which a number counts things, not persons: they label training lines only; the field learns for itself what stands around such numbers.
+_THINGS = frozenset(
+    "reference référence referenz ref dossier file akte aktenzeichen catalogue catalog katalog item inventory inventaire inventarnummer version firmware release isbn issn meter compteur zähler zählerstand serial série seriennummer coordinates coordonnées koordinaten".split()
 )
-_TRAPS = re.compile(r"(?:reference|dossier|file|catalogue|item|version|firmware|ISBN|meter reads|compteur|Zähler|Stand|inventaire|Inventarnummer|Akte|Aktenzeichen|Coordinates|Coordonnées|Koordinaten)\W*(?:\S+\s)?$", re.I)
-
-
-@dataclass
-class Lexicon:
-    """Given names, and beginnings and endings of family names, learned from names that follow a cue."""
-
-    given: set[str] = field(default_factory=set)
-    begins: set[str] = field(default_factory=set)
-    ends: set[str] = field(default_factory=set)
-    memo: dict[str, bool] = field(default_factory=dict)
-    others: set[str] = field(default_factory=set)  # words as written that are known not to be family names; a memo too
-
-    def family(self, token: str) -> bool:
-        t = token.lower()
-        got = self.memo.get(t)
-        if got is None:
-            body = t[2:] if t[:2] in ("d'", "d’") else t
-            got = all(any(p[:k] in self.begins and p[k:] in self.ends for k in range(3, len(p) - 2)) for p in body.split("-"))
-            if len(self.memo) < 500_000:
-                self.memo[t] = got
-        return got
-
-
-def _initial(text: str, t: tuple[str, int, int]) -> bool:
-    return len(t[0]) == 1 and t[0].isupper() and text[t[2] : t[2] + 1] == "."
-
-
-def _between(text: str, a: tuple[str, int, int], b: tuple[str, int, int]) -> str:
-    return text[a[2] : b[1]]
-
-
-def name_candidates(text: str, lex: Lexicon) -> list[tuple[int, int, str, str]]:
-    """(start, end, form, family name) of every given name or initial beside a word that may be a family name."""
-    words = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(text)]
-    low = [w[0].lower() for w in words]
-    if not any(x in lex.given or lex.family(x) for x in low):
-        return []
-    out, used = [], -1
-
-    def family_after(i: int) -> tuple[int, str] | None:
-        """Index of the family name that follows token i, over an initial and particles."""
-        j, steps = i, 0
-        while j + 1 < len(words) and steps < 4:
-            gap = _between(text, words[j], words[j + 1])
-            if gap != (". " if _initial(text, words[j]) else " "):
-                return None
-            j, steps = j + 1, steps + 1
-            if _initial(text, words[j]) or low[j] in _PARTICLES:
-                continue
-            return (j, "strong") if lex.family(low[j]) else (j, "weak") if words[j][0][0].isupper() and low[j] not in _TITLES and low[j] not in lex.given else None
-        return None
-
-    def family_before(i: int) -> tuple[int, str] | None:
-        if i == 0 or _between(text, words[i - 1], words[i]) not in (" ", ", "):
-            return None
-        strong = lex.family(low[i - 1])
-        if not strong:
-            return None
-        j = i - 1
-        while j > 0 and low[j - 1] in _PARTICLES and _between(text, words[j - 1], words[j]) == " " and (words[j - 1][0].isupper() == words[j][0].isupper() or words[j - 1][0].islower() and low[j - 1] in ("van", "von")):
-            j -= 1
-        if j > 0 and j < i - 1 and (low[j - 1], low[j]) in _PREPOSITIONS and words[j - 1][0].islower():
-            j += 1
-        return j, "strong"
-
-    for i, w in enumerate(words):
-        if i <= used:
-            continue
-        given = low[i] in lex.given
-        if not given and not _initial(text, w):
-            continue
-        after, before = family_after(i), family_before(i)
-        if after and after[1] == "strong":
-            k = after[0]
-            out.append((w[1], words[k][2], "initial" if not given else "given_family", low[k]))
-            used = k
-        elif before and words[before[0]][1] >= (words[used][2] if used >= 0 else 0):
-            end = w[2]
-            if i + 1 < len(words) and _initial(text, words[i + 1]) and _between(text, w, words[i + 1]) == " ":
-                end = words[i + 1][2] + 1
-            out.append((words[before[0]][1], end + (not given), "family_given", low[i - 1]))
-            used = i
-        elif after and given:
-            out.append((w[1], words[after[0]][2], "given_other", low[after[0]]))
-    return out
 
 
-@dataclass(slots=True)
-class Span:
-    kind: int
-    start: int
-    end: int
-    features: list[str]
-    key: str
-    label: int  # 1, 0, or -1 where the rules don't tell
-
-
-def candidates(line: str, lex: Lexicon) -> tuple[Plain | None, list[Span]]:
-    """Candidate spans of a line in order, none inside another; for the same letters the earlier family of FAMILIES counts."""
-    if not line:
-        return None, []
-    p = Plain(line)
-    text, spans = p.text, []
-    taken: list[tuple[int, int]] = []
-    if _MAYBE.search(text):
-        for kind, family, rx in FAMILIES:
-            if family in _NEEDS and not _NEEDS[family].search(text):
-                continue
-            for m in rx.finditer(text):
-                a, b = m.span()
-                if any(a < y and x < b for x, y in taken):
-                    continue
-                taken.append((a, b))
-                left = text[max(0, a - 40) : a]
-                trap = bool(_TRAPS.search(left))
-                s = m.group()
-                digits = sum(c.isdigit() for c in s)
-                ok = {"email": True, "phone": 9 <= digits <= 15 and len(set(s)) > 4, "identity_number": True, "street_address": True}[kind]
-                spans.append(Span(KINDS.index(kind), a, b, [f"{kind}:{family}", f"{kind}:digits={min(digits, 16)}", f"trap:{trap}", f"{kind}:left={_last_word(left)}", f"{kind}:ok={ok}"], kind + re.sub(r"\W", "", s).lower(), int(ok and not trap)))
-    for a, b, form, name in name_candidates(text, lex):
-        if any(a < y and x < b for x, y in taken):
+def patterns(text: str) -> list[tuple[int, int, str, str, bool]]:
+    """(start, end, name, key, sound) of every pattern's finds in order, none inside another; of two that overlap the earlier family of FAMILIES counts. sound: it has as many digits as its kind asks for."""
+    out: list[tuple[int, int, str, str, bool]] = []
+    digit = _DIGIT.search(text) is not None
+    for kind, family, rx in FAMILIES:
+        # every pattern but that of mails asks for a digit
+        if (family != "email" and not digit) or (family in _NEEDS and not _NEEDS[family].search(text)):
             continue
-        left, right = text[max(0, a - 40) : a], text[b : b + 24]
-        strong, cue = form != "given_other", bool(CUES.search(left))
-        trap = bool(re.search(r"(?i)(?:saint|sainte|sankt|st\.?|storm|tempête|sturm|barge|péniche|kahn|ship|schiff|user:|rue|place|street)\s$", left))
-        f = [f"name:{form}", f"name:cue={cue}", f"name:left={_last_word(left)}", f"name:right={_first_word(right)}", f"name:trap={trap}", f"name:strong={strong}"]
-        label = 0 if trap or (not strong and not cue) else 1 if cue and strong else -1
-        spans.append(Span(4, a, b, f, "person_name" + name, label))
-        taken.append((a, b))
-    spans.sort(key=lambda x: x.start)
-    return p, spans
-
-
-def _last_word(left: str) -> str:
-    m = re.search(r"([^\W\d_]+|[|=(\-])\W*$", left)
-    return m.group(1).lower() if m and not m.group(1)[0].isupper() else "*"
-
-
-def _first_word(right: str) -> str:
-    m = re.match(r"\W{0,3}([^\W\d_]+|\|\||\d)", right)
-    return m.group(1).lower() if m and not m.group(1)[0].isupper() else "*"
-
-
-# ---- the field --------------------------------------------------------------------------------------------------------
-
-
-@dataclass
-class Model:
-    lexicon: Lexicon
-    weights: dict[str, float]
-    chain: float = 0.3  # log-odds by which neighbouring spans of a line support each other
-    skip: float = 1.0  # log-odds by which spans with the same key anywhere in a document take the same label
-
-    def unary(self, s: Span) -> float:
-        return sum(self.weights.get(f, 0.0) for f in s.features)
-
-
-_WORD = r"(?:[^\W\d_]+(?:-[^\W\d_]+)*)"
-_PAIR = re.compile(rf"(?P<a>{_WORD}),? (?:[A-Z]\. )?(?:(?:van|von|de|der|du) |d['’])?(?P<b>{_WORD})")
-_CUE = re.compile(CUES.pattern.removesuffix("$") + r"|^\| ")
-
-
-#: Every match of _CUE holds one of these.
-_CUE_WORDS = (
-    "Dr", "Mme", "Frau", "Herr", "Mr", "Ms", "Prof", "Mlle", "caretaker ", "gardien", "Hausmeister ", "curator", "conservateur", "Kustos", "author", "auteur", "Autor", "contact", "lent by ", "proviennent de ", "stammen von ",
-    "deed names ", "acte cite ", "Urkunde nennt ", "building ask ", "adresser à ", "verwahrt ", "attention ", "demander ", "verlangen ", "Interview with ", "Entretien avec ", "Gespräch mit ", "owner of this file: ",
-    "fiche tenue par ", "Akte geführt von ", ". --", "lol ", "mdr ", "haha ",
-)
-
-
-def cue_pairs(line: str) -> Iterator[tuple[str, str]]:
-    """The first and last word of what follows a cue, where it may be a name of two to four parts."""
-    text = Plain(line).text
-    if not text.startswith("| ") and not any(map(text.__contains__, _CUE_WORDS)):
-        return
-    for m in _CUE.finditer(text):
-        n = _PAIR.match(text, m.end())
-        if n and n["a"].lower() not in _PARTICLES and (n["a"][0].isupper() and n["b"][0].isupper() or m.group().strip() in ("lol", "mdr", "haha")):
-            yield n["a"].lower(), n["b"].lower()
-
-
-def count_tokens(line: str, lex: Lexicon, beside: Counter, total: Counter) -> None:
-    """Adds a line's tokens as written to total, and to beside the capitalised ones next to a family name, in lower case."""
-    tokens = _TOKEN.findall(line)
-    total.update(tokens)
-    if lex.others.issuperset(tokens):
-        return
-    new = [w for w in tokens if w not in lex.others]
-    if not any(map(lex.family, new)):
-        if len(lex.others) < 500_000:
-            lex.others.update(new)
-        return
-    words = [(m.group(), m.start(), m.end()) for m in _TOKEN.finditer(line)]
-    for x, y in zip(words, words[1:]):
-        gap = line[x[2] : y[1]]
-        if gap == " " and lex.family(y[0]) and x[0][0].isupper():
-            beside[x[0].lower()] += 1
-        elif gap in (" ", ", ") and lex.family(x[0]) and y[0][0].isupper():
-            beside[y[0].lower()] += 1
-
-
-def lowered(total: Counter) -> Counter:
-    out = Counter()
-    for w, n in total.items():
-        out[w.lower()] += n
+        for m in rx.finditer(text):
+            a, b = m.span()
+            if any(a < y and x < b for x, y, *_ in out):
+                continue
+            s = m.group()
+            n = sum(c.isdigit() for c in s)
+            sound = kind != "phone" or (9 <= n <= 15 and len(set(s)) > 4)
+            out.append((a, b, f"{kind}:{family}:{min(n, 16) if kind in ('phone', 'identity_number') else 0}:{int(sound)}", "<" + kind + re.sub(r"\W", "", s).lower(), sound))
+    out.sort()
     return out
 
 
-def given_beside_family(pairs: Iterable[tuple[str, str]], lex: Lexicon) -> set[str]:
-    """What stands beside a family name after a cue."""
-    return {x for a, b in pairs for x, y in ((a, b), (b, a)) if lex.family(y) and not lex.family(x) and x not in _TITLES and len(x) > 1}
-
-
-def learn_lexicon(texts: list[str]) -> Lexicon:
-    """From what follows a cue: the words of names of two to four parts; family names are cut where both parts recur most. lexicon_of does the same on a cluster."""
-    lines = {line for t in texts for line in t.split("\n")}
-    pairs = {p for line in lines for p in cue_pairs(line)}
-    # a given name recurs with many partners, far more than a family name does
-    partners: dict[str, set[str]] = defaultdict(set)
-    for a, b in pairs:
-        partners[a].add(b)
-        partners[b].add(a)
-    given, families = set(), set()
-    for a, b in pairs:
-        g, f = (a, b) if len(partners[a]) >= len(partners[b]) else (b, a)
-        if len(partners[g]) >= 4 and len(partners[g]) > 2 * len(partners[f]):
-            given.add(g)
-    for a, b in pairs:
-        if (a in given) != (b in given):
-            families.update((b if a in given else a).split("-"))
-    begins, ends = Counter(), Counter()
-    for f in families:
-        for k in range(3, min(len(f) - 2, 7)):
-            begins[f[:k]] += 1
-            ends[f[k:]] += 1
-    b2, e2 = Counter(), Counter()
-    for f in families:
-        ks = range(3, min(len(f) - 2, 7))
-        if ks:
-            k = max(ks, key=lambda k: (begins[f[:k]] * ends[f[k:]], k))
-            b2[f[:k]] += 1
-            e2[f[k:]] += 1
-    lex = Lexicon(given, {b for b, n in b2.items() if n >= 3}, {e for e, n in e2.items() if n >= 3})
-    # what stands beside a family name after a cue is a given name, and so is what mostly stands beside family names anywhere
-    lex.given |= given_beside_family(pairs, lex)
-    beside, total = Counter(), Counter()
-    for line in lines:
-        count_tokens(line, lex, beside, total)
-    total = lowered(total)
-    lex.given |= {x for x, n in beside.items() if n >= 2 and 2 * n > total[x] and x not in _TITLES and not lex.family(x)}
-    lex.given -= _PARTICLES
-    return lex
+def parse(line: str) -> tuple[Plain, Line, list[field.Keys], list[bool | None]]:
+    """A line's plain text, tokens, keys for skip edges, and for a pattern's find whether it is sound (None: a word)."""
+    p = Plain(line)
+    spans = patterns(p.text)
+    x = field.tokens_of(p.text, [(a, b, name) for a, b, name, _, _ in spans])
+    of = {a: (key, sound) for a, _, _, key, sound in spans}
+    keys, sound = [], []
+    for t, a, _ in x.tokens:
+        found = of.get(a) if len(t) > 1 and t[0] == "<" else None
+        keys.append((found[0], None, None) if found else field.keys_of(t))
+        sound.append(found[1] if found else None)
+    return p, x, keys, sound
+
+
+def labels(x: Line, sound: list[bool | None], given: set[str], family: set[str], common: set[str], bound: set[tuple[str, str]]) -> list[int]:
+    """Weak labels: those of names, and of a pattern's find whether it is sound and no number of a thing."""
+    y = weak_labels(x, given, family, common, bound)
+    for i, s in enumerate(sound):
+        if s is not None:
+            things = any(x.tokens[k][0].lower() in _THINGS for k in range(max(0, i - 4), i))
+            y[i] = B if s and not things else field.O
+    return y
+
+
+def train(texts: list[str], given: set[str], family: set[str], skip: bool = True, rest: int = 4) -> Weights:
+    """The field's weights from texts that the rules label in part: all lines that hold a pattern's find, an entity or a word that may belong to one, and one in `rest` of the others.
+
+    skip: False learns without skip edges (to see what they do).
+    """
+    parsed: dict[str, tuple] = {}
+    count: Counter = Counter()
+    for t in texts:
+        for line in t.split("\n"):
+            if line and line not in parsed:
+                p, x, keys, sound = parsed[line] = parse(line)
+                count.update(w.lower() for w in field.TOKEN.findall(p.text))
+    common = {w for w, n in count.items() if n >= 8 and w[0].isalpha() and w not in given and w not in family}
+    bound = prepositions([[t.lower() for t, _, _ in x.tokens] for _, x, _, _ in parsed.values()])
+    docs, done = [], set()
+    for t in texts:
+        doc = []
+        for line in t.split("\n"):
+            if line in done or not line:
+                continue
+            done.add(line)
+            _, x, keys, sound = parsed[line]
+            y = labels(x, sound, given, family, common, bound)
+            if any(y) or any(v is not None for v in sound) or zlib.crc32(line.encode()) % rest == 0:
+                doc.append((x, keys if skip else [(None, None, None)] * len(keys), y))
+        docs.append(doc)
+    return field.learn(docs, common, given)
 
 
 def _map_rows(df: DataFrame, f, ddl: str) -> DataFrame:
@@ -340,125 +158,51 @@ def _map_rows(df: DataFrame, f, ddl: str) -> DataFrame:
     return df.mapInArrow(run, ddl)
 
 
-def lexicon_of(docs: DataFrame, text: str, vocabulary: int = 300_000) -> Lexicon:
-    """learn_lexicon over the distinct lines of all texts, of any number and length, by aggregations.
-
-    Lines are brought together once and kept in the checkpoint folder, read once for pairs after cues and once for counts (a task hands on its counts
-    when it holds `vocabulary` tokens). Only the lexicon itself comes to the driver: given names, and beginnings and endings that recur.
-    """
-    spark = docs.sparkSession
-    checkpoint_dir(spark)
-    lines = docs.select(F.explode(F.split(ref(text), "\n")).alias("line")).distinct().checkpoint()
-    pairs = _map_rows(lines, lambda rows: (p for (line,) in rows for p in cue_pairs(line)), "a string, b string").distinct().checkpoint()
-    turned = pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))
-    partners = pairs.unionByName(turned).distinct().groupBy("a").agg(F.count("*").alias("n"))
-    p = pairs.join(partners.withColumnRenamed("n", "na"), "a").join(partners.select(F.col("a").alias("b"), F.col("n").alias("nb")), "b")
-    first = F.col("na") >= F.col("nb")
-    many, few = F.greatest("na", "nb"), F.least("na", "nb")
-    given = {r["g"] for r in p.where((many >= 4) & (many > 2 * few)).select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("g")).distinct().collect()}
-    known = spark.createDataFrame([(g,) for g in given], "w string")
-    one = pairs.join(known.select(F.col("w").alias("a"), F.lit(True).alias("ga")), "a", "left").join(known.select(F.col("w").alias("b"), F.lit(True).alias("gb")), "b", "left")
-    family = one.where(F.col("ga").isNotNull() != F.col("gb").isNotNull()).select(F.explode(F.split(F.when(F.col("ga"), F.col("b")).otherwise(F.col("a")), "-")).alias("f")).distinct()
-    cut = family.where(F.length("f") >= 6).withColumn("k", F.explode(F.sequence(F.lit(3), F.least(F.length("f") - 3, F.lit(6)))))
-    cut = cut.withColumns({"begin": F.expr("substring(f, 1, k)"), "end": F.expr("substring(f, k + 1)")})
-    cut = cut.join(cut.groupBy("begin").agg(F.count("*").alias("nb")), "begin").join(cut.groupBy("end").agg(F.count("*").alias("ne")), "end")
-    best = cut.groupBy("f").agg(F.max_by(F.struct("begin", "end"), F.struct(F.col("nb") * F.col("ne"), "k")).alias("x")).select("x.*").checkpoint()
-    begins, ends = ({r[0] for r in best.groupBy(c).count().where("count >= 3").collect()} for c in ("begin", "end"))
-    lex = Lexicon(given, begins, ends)
-    shared = spark.sparkContext.broadcast(lex)
-    beside_cue = _map_rows(pairs, lambda rows: ((x,) for x in given_beside_family(rows, shared.value)), "w string").distinct()
-
-    def counts(rows: Iterator[tuple]) -> Iterator[tuple]:
-        beside, total = Counter(), Counter()
-        for (line,) in rows:
-            count_tokens(line, shared.value, beside, total)
-            if len(total) > vocabulary:
-                yield from ((w, beside[w], n) for w, n in lowered(total).items())
-                beside.clear(), total.clear()
-        yield from ((w, beside[w], n) for w, n in lowered(total).items())
-
-    c = _map_rows(lines, counts, "w string, beside bigint, total bigint").groupBy("w").agg(F.sum("beside").alias("beside"), F.sum("total").alias("total"))
-    often = {r["w"] for r in c.where("beside >= 2 and 2 * beside > total").select("w").collect()}
-    lex.given = (given | {r["w"] for r in beside_cue.collect()} | {x for x in often if x not in _TITLES and not lex.family(x)}) - _PARTICLES
-    return lex
-
-
-def train(texts: list[str], epochs: int = 6, rate: float = 0.3, lexicon: Lexicon | None = None) -> Model:
-    """Weights by stochastic ascent of the pseudo-likelihood over the spans of the texts that the rules label."""
-    lex = lexicon or learn_lexicon(texts)
-    weights: dict[str, float] = defaultdict(float)
-    data: list[tuple[list[str], int, float]] = []
-    for line in sorted({line for t in texts for line in t.split("\n")}):
-        spans = candidates(line, lex)[1]
-        for i, s in enumerate(spans):
-            if s.label >= 0:
-                near = sum(spans[j].label == 1 for j in (i - 1, i + 1) if 0 <= j < len(spans))
-                data.append((s.features, s.label, 0.3 * near))
-    for e in range(epochs):
-        for f, y, offset in data:
-            z = offset + sum(weights[x] for x in f)
-            g = rate / (1 + e) * (y - 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
-            for x in f:
-                weights[x] += g
-    return Model(lex, dict(weights))
-
-
-def loopy(unary: list[float], edges: list[tuple[int, int, float]], rounds: int = 8) -> list[float]:
-    """Log-odds of each binary span after loopy message passing; an edge (i, j, w) adds w to the log-weight of agreement."""
-    if not edges:
-        return unary
-    links: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for k, (i, j, _) in enumerate(edges):
-        links[i].append((2 * k, 2 * k + 1))  # (message out, message in)
-        links[j].append((2 * k + 1, 2 * k))
-    msg = [0.0] * (2 * len(edges))
-    for _ in range(rounds):
-        new = msg[:]
-        for i, ks in links.items():
-            total = unary[i] + sum(msg[k] for _, k in ks)
-            for out, into in ks:
-                h, w = max(-30.0, min(30.0, total - msg[into])), edges[out // 2][2]
-                new[out] = math.log((math.exp(w + h) + 1) / (math.exp(h) + math.exp(w)))
-        change = max(abs(a - b) for a, b in zip(new, msg))
-        msg = new
-        if change < 1e-4:
-            break
-    return [u + sum(msg[k] for _, k in links.get(i, ())) for i, u in enumerate(unary)]
-
-
-def decide(lines: list[tuple[int, list[tuple]]], model: Model) -> list[tuple[int, int, int]]:
-    """(kind, start, end) of a document's spans that are personal. lines: (offset, [(kind, start, end, unary, key)])."""
-    unary, edges, places, last = [], [], [], {}
-    for at, spans in lines:
-        for n, (kind, a, b, u, key) in enumerate(spans):
-            i = len(unary)
-            unary.append(u)
-            places.append((kind, at + a, at + b))
-            if n:
-                edges.append((i - 1, i, model.chain))
-            if key in last:
-                edges.append((last[key], i, model.skip))
-            last[key] = i
-    return [p for p, z in zip(places, loopy(unary, edges)) if z > 0]
-
-
-def _scan(batches: Iterator[pa.RecordBatch], model: Model, masked: bool, memory: int) -> Iterator[tuple]:
-    memo: dict[str, list[tuple]] = {}
+def entities(part: list[tuple[str, int, int, int, float]]) -> Iterator[tuple[int, int, int]]:
+    """(kind, start, end) in tokens side by side that are labelled B or I. A name has two parts at least, of which one may be an initial."""
+    cut = [i for i, x in enumerate(part) if x[3] == B or i == 0 or x[0][0] == "<" and len(x[0]) > 1]
+    for a, b in zip(cut, [*cut[1:], len(part)]):
+        t, start, end, *_ = part[a]
+        if t[0] == "<" and len(t) > 1:
+            yield KINDS.index(t[1:].split(":")[0]), start, end
+            continue
+        span = part[a:b]
+        # titles and words in small letters before a name in capitals are none of it
+        while span and (span[0][0].lower() in TITLES or (span[0][0][0].islower() and span[0][0].lower() not in PARTICLES and any(x[0][0].isupper() for x in span))):
+            span = span[1:]
+        while span and not span[-1][0][0].isalpha() and not (span[-1][0] == "." and len(span) > 1 and len(span[-2][0]) == 1):
+            span = span[:-1]
+        if sum(x[0][0].isalpha() for x in span) >= 2 and span[0][0][0].isalpha():
+            yield KINDS.index("person_name"), span[0][1], span[-1][2]
+
+
+def _scan(batches: Iterator[pa.RecordBatch], model: Weights, masked: bool, memory: int) -> Iterator[tuple]:
+    chains = Chains(model)
+    memo: dict[str, list[Run]] = {}
     for batch in batches:
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            at, lines = 0, []
-            for line in (text or "").split("\n"):
-                got = memo.get(line)
-                if got is None:
-                    p, spans = candidates(line, model.lexicon)
-                    got = [(s.kind, p.place(s.start), p.end(s.end), model.unary(s), s.key) for s in spans]
-                    if len(memo) >= memory:
-                        memo.clear()
-                    memo[line] = got
+        texts = batch.column(1).to_pylist()
+        docs = [(t or "").split("\n") for t in texts]
+        new = list(dict.fromkeys(line for lines in docs for line in lines if line not in memo and line))
+        if len(memo) + len(new) > memory:
+            memo = {}
+            new = list(dict.fromkeys(line for lines in docs for line in lines if line))
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            plain = [Plain(line) for line in part]
+            spans = [patterns(p.text) for p in plain]
+            found = chains.runs([(p.text, [x[:3] for x in xs]) for p, xs in zip(plain, spans)], [{x[0]: x[3] for x in xs} for xs in spans])
+            for line, p, runs in zip(part, plain, found):
+                for r in runs:
+                    r.places = [(p.place(a), p.end(b)) for a, b in r.places]
+                memo[line] = runs
+        for doc, text, lines in zip(batch.column(0).to_pylist(), texts, docs):
+            at, runs = 0, []
+            for line in lines:
+                got = memo[line] if line else None
                 if got:
-                    lines.append((at, got))
+                    runs.append((at, got))
                 at += len(line) + 1
-            found = decide(lines, model)
+            found = [x for part in chains.decide(runs) for x in entities(part)] if runs else []
             clean = None
             if masked and text is not None:
                 parts, end = [], 0
@@ -470,24 +214,29 @@ def _scan(batches: Iterator[pa.RecordBatch], model: Model, masked: bool, memory:
             yield doc, [(KINDS[k], a, b) for k, a, b in found], clean
 
 
-def fit(docs: DataFrame, text: str, key: str, rows: int = 4000, longest: int = 20_000) -> Model:
-    """The model: the lexicon of all texts, and weights from a bounded sample: about `rows` texts of at most `longest` characters, those whose ids hash below a share.
+def fit(docs: DataFrame, text: str, key: str, rows: int = 4000, longest: int = 20_000) -> Weights:
+    """The model: given names from all texts, and weights from a bounded sample: about `rows` texts of at most `longest` characters, those whose ids hash below a share.
 
-    Only the sample and the lexicon come to the driver, whatever the number of texts and tasks.
+    Only the sample and the given names come to the driver, whatever the number of texts and tasks.
     """
+    checkpoint_dir(docs.sparkSession)
     share = min(1.0, rows / max(1, docs.count()))
     s = docs.where(F.length(ref(text)).between(1, longest) & (F.pmod(F.xxhash64(ref(key)), F.lit(1 << 30)) < int(share * (1 << 30))))
-    return train([r["text"] for r in s.select(ref(text).alias("text")).collect()], lexicon=lexicon_of(docs, text))
+    texts = [r["text"] for r in s.select(ref(text).alias("text")).collect()]
+    lines = docs.select(F.explode(F.split(ref(text), "\n")).alias("line")).distinct()
+    wanted = {w.lower() for x in texts for w in re.findall(r"[A-ZÀ-ÖØ-Þ][\w'’\-]*[^\W\d_]", x)}
+    given, family = names_of(lines, wanted, _map_rows)
+    return train(texts, given, family)
 
 
-def find_personal(docs: DataFrame, doc_id: str, text: str, model: Model, near: list[Column] | None = None, masked: bool = False, memory: int = 300_000) -> DataFrame:
+def find_personal(docs: DataFrame, doc_id: str, text: str, model: Weights, near: list[Column] | None = None, masked: bool = False, memory: int = 300_000) -> DataFrame:
     """(doc_id, found, clean): per document the array<struct<kind, start_pos, end_pos>> in order of lines, and the text with placeholders.
 
     Positions are 0-based characters of the text as stored. clean is null unless asked for, and for a null text; a text without finds
     is unchanged. A null or empty text has no finds; rows with a repeated doc_id are handled each. Empty input gives an empty result; extra columns are ignored.
 
     Plan: no statistic leaves a row, so texts are scanned where they lie, or with `near` after one shuffle that brings revisions together: candidates and
-    scores of equal lines are computed once a task (memory bounds the lines remembered, and changes no result). The model is broadcast; its size is bounded by its sample.
+    scores of equal lines are computed once a task (memory bounds the lines remembered, and changes no result). The model is broadcast; its size is fixed but for the given names and the words of its sample.
     """
     src = docs.select(ref(doc_id).alias("id"), ref(text).alias("text"), *[c.alias(f"near{i}") for i, c in enumerate(near or [])])
     if near:

@@ -1,45 +1,57 @@
+import dataclasses
 import itertools
 import math
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from gridmend.llm import pii
+from gridmend.llm import field, names, pii
+from gridmend.llm.field import B, I, O, Chains, Weights
 from gridmend.llm.plain import Plain
 
 GIVEN = ["Elise", "Hugo", "Nadia", "Oscar", "Jean-Noel", "Priya"]
 FAMILIES = [b + e for b in ("Ulm", "Sarv", "Thev", "Krem", "Vign", "Hauv") for e in ("oviac", "astre", "equin", "idsen", "umont")]
 
 
-@pytest.fixture(scope="module")
-def model():
-    rng, texts = random.Random(0), []
-    for _ in range(400):
+def corpus(n=400, seed=0):
+    rng, texts = random.Random(seed), []
+    for _ in range(n):
         g, f = rng.choice(GIVEN), rng.choice(FAMILIES)
         name = rng.choice([f"{g} {f}", f"{f}, {g}", f"{f.upper()} {g}", f"{g[0]}. {f}"])
-        texts.append(f"Dr {name} kept the keys at {rng.randint(1, 200)} Granary Close, Holham. Tickets cost 4.50 @ the gate, file reference {rng.randint(100, 999)}-{rng.randint(100, 999)}-{rng.randint(1000, 9999)}.\nWrite to {g.lower()}@post.example or call 0{rng.randint(1, 9)} 36 49 {rng.randint(10, 99)} 14.\nThe barge ''{g}'' sank near Holham.")
-    return pii.train(texts)
+        texts.append(
+            f"Dr {name} kept the keys at {rng.randint(1, 200)} Granary Close, Holham. Tickets cost 4.50 @ the gate, file reference {rng.randint(100, 999)}-{rng.randint(100, 999)}-{rng.randint(1000, 9999)}. Passport no. 1 59 33 96 {rng.randint(100, 999)} 384 / 60.\n"
+            f"Write to {g.lower()}@post.example or call 0{rng.randint(1, 9)} 36 49 {rng.randint(10, 99)} 14.\nThe barge ''{g}'' sank near Holham. Older maps show a tannery at Wesvancombe near {rng.choice(['Dorbourg', 'Pelford', 'Tavlieu'])}."
+        )
+    return texts
+
+
+@pytest.fixture(scope="module")
+def model():
+    given, family = {g.lower() for g in GIVEN}, {f.lower() for f in FAMILIES}
+    return pii.train(corpus(), given, family, rest=1)
 
 
 def hits(text, model):
-    rows = list(pii._scan([__import__("pyarrow").RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, True, 1000))
+    rows = list(pii._scan([pa.RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, True, 1000))
     return {(k, text[a:b]) for k, a, b in rows[0][1]}, rows[0][2]
 
 
 def test_kinds_and_traps(model):
-    found, clean = hits("Ask Hugo Vignastre, Flat 3, 12b Larch Avenue, or KREMIDSEN Nadia on +33(0)536492690; a.b+c@x-y.example.org, q (at) z [dot] test. No. 1 59 33 96 229 384 / 60. File reference 246-717-0712. The barge ''Oscar'' sank.", model)
+    found, clean = hits("Dr Hugo Vignastre kept it, Flat 3, 12b Larch Avenue. Dr KREMIDSEN Nadia kept the keys, call +33(0)536492690; a.b+c@x-y.example.org, q (at) z [dot] test. No. 1 59 33 96 229 384 / 60. Tickets cost 4 @ the gate, file reference 246-717-0712. The barge ''Oscar'' sank.", model)
     assert found == {("person_name", "Hugo Vignastre"), ("street_address", "Flat 3, 12b Larch Avenue"), ("person_name", "KREMIDSEN Nadia"), ("phone", "+33(0)536492690"), ("email", "a.b+c@x-y.example.org"), ("email", "q (at) z [dot] test"), ("identity_number", "1 59 33 96 229 384 / 60")}
-    assert clean.startswith("Ask [PERSON_NAME], [STREET_ADDRESS], or [PERSON_NAME] on [PHONE]; [EMAIL], [EMAIL]. No. [IDENTITY_NUMBER].") and "246-717-0712" in clean
+    assert clean.startswith("Dr [PERSON_NAME] kept it, [STREET_ADDRESS]. Dr [PERSON_NAME] kept the keys, call [PHONE]; [EMAIL], [EMAIL]. No. [IDENTITY_NUMBER].") and "246-717-0712" in clean
 
 
-@pytest.mark.parametrize("text", ["", "x" * 200_000, "Copperhill Lane runs south.", "La rue des Tanneurs mène au sud.", "Tickets cost 4.50 @ the gate.", "Its meter reads 06-39-1102 and firmware 10.2.428.3.", "ISBN 978-0-00-509-0", "[[User:Sarvastre80]]"])
+@pytest.mark.parametrize("text", ["", "x" * 200_000, "Copperhill Lane runs south.", "La rue des Tanneurs mène au sud.", "Tickets cost 4.50 @ the gate.", "Its firmware is 10.2.428.3.", "ISBN 978-0-00-509-0", "[[User:Sarvastre80]]", "²³ ١٢   _ __"])
 def test_nothing_to_find(text, model):
     assert hits(text, model) == (set(), text)
 
 
-@pytest.mark.parametrize("text, address", [("bewahrte die Pläne, Am Ziegelhof 48.", "Am Ziegelhof 48"), ("Er wohnte Gerberstraße 104. Das Dach ist neu.", "Gerberstraße 104"), ("wohnt am ziegelhof 48.", "am ziegelhof 48"), ("wohnte 12bis rue Haute", "12bis rue Haute"), ("wohnte Zum Bahnhof 3", "Zum Bahnhof 3")])
-def test_addresses_that_end_a_sentence(text, address, model):
-    assert hits(text, model)[0] == {("street_address", address)}
+@pytest.mark.parametrize("text, address", [("bewahrte die Pläne, Am Ziegelhof 48.", "Am Ziegelhof 48"), ("Er wohnte Gerberstraße 104. Das Dach ist neu.", "Gerberstraße 104"), ("wohnt am ziegelhof 48.", "am ziegelhof 48"), ("wohnte 12bis rue Haute", "12bis rue Haute"), ("wohnte Zum Bahnhof 3", "Zum Bahnhof 3"), ("wohnte Stadtgraben 12", "Stadtgraben 12"), ("wohnte Alter Markt 7", "Alter Markt 7"), ("wohnte Bergsteig 3", "Bergsteig 3"), ("wohnte Neumarkt 8", "Neumarkt 8")])
+def test_addresses_reach_the_field(text, address, model):
+    assert [text[a:b] for a, b, name, *_ in pii.patterns(text) if name.startswith("street")] == [address] and hits(text, model)[0] == {("street_address", address)}
 
 
 @pytest.mark.parametrize("text", ["Am Markt 3. Mai", "Am Ring 2.5 km", "Am Markt 30. Juni 1990"])
@@ -47,33 +59,119 @@ def test_dates_and_decimals_are_no_addresses(text, model):
     assert hits(text, model)[0] == set()
 
 
-def test_quick_look_passes_unbracketed_mail():
-    assert pii.candidates("x arobase y.fr", pii.Lexicon())[1]
+def test_quick_looks_are_no_narrower_than_the_patterns():
+    rng, kinds = random.Random(5), ["street_address", "email", "phone"]
+    words = ["Am", "Zum", "weg", "Lindenweg", "allee", "12", "3b", "rue", "Rue", " de ", "Markt", "x@y.fr", "x arobase y.fr", "an", "am", "der", "gasse", "Quergasse", "0612345678", ".", ", "]
+    for _ in range(3000):
+        text = " ".join(rng.choice(words) for _ in range(6))
+        for kind, family, rx in pii.FAMILIES:
+            if kind in kinds and rx.search(text):
+                assert family == "email" and pii._NEEDS["email"].search(text) or family != "email" and pii._DIGIT.search(text)
+                assert family not in pii._NEEDS or pii._NEEDS[family].search(text)
 
 
 def test_markup_inside_a_name(model):
     text = "Dr [[Elise|Ulmequin]] Ulmequin<ref name=\"r\" /> kept the keys."
-    rows = list(pii._scan([__import__("pyarrow").RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, False, 10))
+    rows = list(pii._scan([pa.RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, False, 10))
     assert [(k, a) for k, a, _ in rows[0][1]] == [("person_name", text.index("Elise"))]
 
 
-def test_messages_are_exact_on_trees_and_agree_on_loops():
+def weights(move, skip=(0.0, 0.0, 0.0, 0.0)):
+    return Weights(np.zeros((field.WIDTH, 3), np.float32), np.zeros((16, 3), np.float32), np.array(move, float), np.array(skip, float))
+
+
+def test_marginals_are_exact():
     rng = random.Random(2)
-    for n, loop in ((1, False), (4, False), (5, False), (4, True)):
-        u = [rng.uniform(-2, 2) for _ in range(n)]
-        edges = [(i, i + 1, rng.uniform(0, 1)) for i in range(n - 1)] + ([(0, n - 1, 0.3)] if loop else [])
-        odds = [[0.0, 0.0] for _ in range(n)]
-        for x in itertools.product((0, 1), repeat=n):
-            w = math.exp(sum(a * b for a, b in zip(u, x)) + sum(e[2] * (x[e[0]] == x[e[1]]) for e in edges))
+    move = [[0.3, -0.2, -8.0], [0.1, -0.4, 0.9], [-0.2, -0.3, 0.5]]
+    for n in (1, 2, 5):
+        u = [tuple(rng.uniform(-2, 2) for _ in range(3)) for _ in range(n)]
+        total = [[0.0] * 3 for _ in range(n)]
+        for y in itertools.product(range(3), repeat=n):
+            path = (O, *y, O)
+            w = math.exp(sum(x[k] for x, k in zip(u, y)) + sum(move[a][b] for a, b in zip(path, path[1:])))
             for i in range(n):
-                odds[i][x[i]] += w
-        want = [math.log(b / a) for a, b in odds]
-        assert pii.loopy(u, edges, 30) == pytest.approx(want, abs=0.15 if loop else 1e-6)
+                total[i][y[i]] += w
+        got = field.marginals(u, [[math.exp(x) for x in row] for row in move])
+        assert all(g == pytest.approx([x / sum(t) for x in t], rel=1e-6) for g, t in zip(got, total))
+
 
+def run(us, keys):
+    return field.Run(us, [(i, i + 1) for i in range(len(us))], ["Xxxxxx"] * len(us), keys, [])
 
-def test_skip_edges_carry_a_label(model):
-    lines = [(0, [(4, 0, 5, 3.0, "k")]), (100, [(4, 0, 5, -0.4, "k")]), (200, [(4, 0, 5, -0.4, "other")])]
-    assert [a for _, a, _ in pii.decide(lines, model)] == [0, 100]
+
+def test_messages_are_exact_where_the_graph_is_a_tree():
+    rng = random.Random(3)
+    move = [[0.3, -0.2, -8.0], [0.1, -0.4, 0.9], [-0.2, -0.3, 0.5]]
+    w = weights(move, (0.8, 0.0, 0.0, 0.0))
+    chains = Chains(w)
+    us = [[tuple(rng.uniform(-1, 1) for _ in range(3)) for _ in range(n)] for n in (2, 1)]
+    runs = [run(us[0], [(None,) * 3, ("a", None, None)]), run(us[1], [("a", None, None)])]
+    for r in runs:
+        r.alone = field.marginals(r.u, chains.move)
+    got = chains._pass([(0, runs[0]), (10, runs[1])], [r.alone for r in runs], [((0, 1), (1, 0), 0.8)], 30)
+    total = [[0.0] * 3 for _ in range(3)]
+    for y in itertools.product(range(3), repeat=3):
+        s = sum(x[k] for x, k in zip([*us[0], *us[1]], y)) + move[O][y[0]] + move[y[0]][y[1]] + move[y[1]][O] + move[O][y[2]] + move[y[2]][O]
+        p = math.exp(s + 0.8 * ((y[1] != O) == (y[2] != O)))
+        for i in range(3):
+            total[i][y[i]] += p
+    flat = [*got[0], *got[1]]
+    assert all(g == pytest.approx([x / sum(t) for x in t], abs=1e-3) for g, t in zip(flat, total))
+
+
+def test_skip_weights_are_learned_and_bring_finds():
+    """Names stand once in a telling place and once in a bare one, where things stand as well; without skip edges the names of the bare places are lost."""
+    rng = random.Random(4)
+    made = lambda: "".join(rng.choice("bdfglmnprtv") + rng.choice("aeiou") for _ in range(3)).capitalize()
+    people, things, fresh = ([(made(), made()) for _ in range(n)] for n in (300, 300, 60))
+
+    def learned(skip):
+        docs = []
+        for (g, f), (a, b) in zip(people, things):
+            doc = []
+            for line in (f"The sexton Dr {g} {f} came.", f"Old maps show {a} {b} in spring.", f"Then some said {g} {f} left.", f"Then some said {a} {b} left."):
+                _, x, keys, sound = pii.parse(line)
+                doc.append((x, keys if skip else [(None,) * 3] * len(keys), pii.labels(x, sound, {g.lower()}, {f.lower()}, {"the", "then", "old", "dr"}, set())))
+            docs.append(doc)
+        return field.learn(docs, {"the", "sexton", "dr", "came", "then", "some", "said", "left", "old", "maps", "show", "in", "spring"}, set())
+
+    model = learned(True)
+    assert model.skip[0] > 0.3 and not learned(False).skip.any()
+
+    def bare(m):
+        n = 0
+        for g, f in fresh:
+            text = f"The sexton Dr {g} {f} came.\nThen some said {g} {f} left."
+            n += ("person_name", text.rindex(g)) in {(k, a) for k, a, _ in list(pii._scan([pa.RecordBatch.from_arrays([[1], [text]], ["id", "text"])], m, False, 100))[0][1]}
+        return n
+
+    with_edges, without, unlearned = bare(model), bare(dataclasses.replace(model, skip=np.zeros(4))), bare(learned(False))
+    assert with_edges > without + 3 and with_edges > unlearned + 3, (with_edges, without, unlearned)
+
+
+def test_edges():
+    k = field.keys_of
+    keys = [k("Sarvastre"), k("the"), k("SARVASTRE"), k("Ulmastre"), k("Sarvidsen's"), ("<phone1", None, None), ("<phone1", None, None)]
+    assert field.edges_of(keys) == [(0, 2, 0), (2, 3, 2), (2, 4, 3), (5, 6, 1)] and k("Sarv") == ("sarv", None, None) and k("Sarvidsen's")[0] == "sarvidsen"
+
+
+def test_both_ways_of_scoring_agree(model):
+    """The tokens' potentials by tables of a whole batch are the sums of their features' weights."""
+    texts = ["Dr Hugo Vignastre, 12 Larch Avenue", "", "a  b", "call 05 36 49 12 14!"]
+    spans = [[x[:3] for x in pii.patterns(t)] for t in texts]
+    tokens, real, start, end, line, u = field.Scorer(model).potentials(list(zip(texts, spans)))
+    at = 0
+    for k, (t, s) in enumerate(zip(texts, spans)):
+        x = field.tokens_of(t, s)
+        for i, (w, a, b) in enumerate(x.tokens):
+            assert (tokens[real[at]], start[real[at]], end[real[at]], line[at]) == (w, a, b, k)
+            want = model.mask[x.masks[i]].copy()
+            for role, j in zip(field.ROLES, (i, i - 1, i - 2, i + 1)):
+                if 0 <= j < len(x.tokens):
+                    want += model.emit[field._ids(role, field.attributes(x.tokens[j][0], model.common, model.given)[role])].sum(0)
+            assert np.allclose(u[at][:2], want[:2], atol=1e-4)
+            at += 1
+    assert at == len(real)
 
 
 def test_places_of_the_original():
@@ -84,25 +182,33 @@ def test_places_of_the_original():
         assert line[p.place(p.text.index(c))] == c
 
 
-def test_lexicon_of_all_texts(spark):
-    rng = random.Random(3)
-    texts = [f"Dr {rng.choice(GIVEN)} {rng.choice(FAMILIES)} kept key {i % 50}.\nLater Ruby {rng.choice(FAMILIES)} and {rng.choice(FAMILIES)}, Elise came." for i in range(300)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate([*texts, *texts[:50], None])], "doc_id int, text string")
-    want, got = pii.learn_lexicon(texts), pii.lexicon_of(df, "text", 50)
-    assert (got.given, got.begins, got.ends) == (want.given, want.begins, want.ends) and "ruby" in want.given and len(want.ends) >= 5
+def test_weak_labels():
+    def of(text, given=("hugo",), family=("sarvastre", "ulmequin"), bound=()):
+        x = field.tokens_of(text, [])
+        y = names.weak_labels(x, set(given), set(family), {"the", "barge"}, set(bound))
+        return [(t[0], k) for t, k in zip(x.tokens, y) if k]
+
+    assert of("Dr Hugo Sarvastre came") == [("Hugo", B), ("Sarvastre", I)] and of("SARVASTRE, Hugo M.") == [("SARVASTRE", B), (",", I), ("Hugo", I), ("M", I), (".", I)]
+    assert of("E. de Ulmequin") == [("E", B), (".", I), ("de", I), ("Ulmequin", I)] and of("the barge Hugo sank") == []
+    assert of("Sarvastre and Tariq Ulmequin") == [("Sarvastre", -1), ("Tariq", -1), ("Ulmequin", -1)]
+    assert of("stammen von Sarvastre, Hugo")[0] == ("von", B) and of("stammen von Sarvastre, Hugo", bound=[("stammen", "von")])[0] == ("Sarvastre", B)
+    assert names.prepositions([["stammen", "von"]] * 3 + [["ask", "von"]] + [["ask", "me"]] * 5) == {("stammen", "von")}
 
 
-def test_cue_words_hold_for_every_cue():
-    cues = "Dr. ,Mme ,Frau ,Herr ,Mr ,Mrs. ,Ms ,Prof ,Mlle ,caretaker ,gardien ,Hausmeister ,curator = ,conservateur=,Kustos = ,author = ,auteur = ,Autor=,contact=,lent by ,proviennent de ,stammen von ,deed names ,acte cite ,Urkunde nennt ,building ask ,adresser à ,verwahrt ,attention ,demander ,verlangen ,Interview with ,Entretien avec ,Gespräch mit ,owner of this file: ,fiche tenue par ,Akte geführt von ,mail. --,anders. --,message. --,lol ,mdr ,haha ,| "
-    for cue in cues.split(","):
-        assert list(pii.cue_pairs(cue + "Elise Ulmequin")) == [("elise", "ulmequin")], cue
+def test_names_of_all_texts(spark):
+    rng = random.Random(3)
+    texts = [f"Mme {rng.choice(['Elise', 'Zebulon', 'Hugo'])} {f} kept key {i % 50}.\nLater {f.upper()} {rng.choice(['Hugo', 'Zebulon', 'Nadia'])} and the Hausmeister {f} came to Tavlieu." for i, f in enumerate(FAMILIES * 6)]
+    lines = spark.createDataFrame([(line,) for line in sorted({line for t in texts for line in t.split("\n")})], "line string")
+    spark.sparkContext.setCheckpointDir(spark.sparkContext.getConf().get("spark.checkpoint.dir"))
+    given, family = names.names_of(lines, {f.lower() for f in FAMILIES} | {"hausmeister", "zebulon", "tavlieu"}, pii._map_rows)
+    assert "zebulon" in given and "hausmeister" not in given and family == {f.lower() for f in FAMILIES}
 
 
 def test_names_outside_the_sample_are_learned(spark):
     rng = random.Random(1)
-    names = [(rng.choice(GIVEN), rng.choice(FAMILIES)) for _ in range(300)]
-    df = spark.createDataFrame([(i, f"Dr {g} {f} kept key {i}." if i else "Nothing here.") for i, (g, f) in enumerate(names)] + [(1000 + i, f"Dr Zebulon {f} came." + " x" * 20) for i, f in enumerate(FAMILIES)], "doc_id bigint, text string")
-    assert "zebulon" in pii.fit(df, "text", "doc_id", rows=300, longest=40).lexicon.given
+    people = [(rng.choice(GIVEN), rng.choice(FAMILIES)) for _ in range(300)]
+    df = spark.createDataFrame([(i, f"Dr {g} {f} kept key {i}." if i else "Nothing here.") for i, (g, f) in enumerate(people)] + [(1000 + i, f"Dr Zebulon {f} came." + " x" * 20) for i, f in enumerate(FAMILIES)] + [(2000 + i, f"Then {f.upper()} Zebulon left." + " y" * 20) for i, f in enumerate(FAMILIES)], "doc_id bigint, text string")
+    assert "zebulon" in pii.fit(df, "text", "doc_id", rows=300, longest=40).given
 
 
 def test_in_spark(spark, model):
@@ -110,4 +216,4 @@ def test_in_spark(spark, model):
     rows = pii.find_personal(df, "doc_id", "text", model, masked=True).collect()
     assert sorted(((r["doc_id"] or 0), len(r["found"]), r["clean"] or "") for r in rows) == [(0, 1, "mail [EMAIL]"), (1, 0, ""), (1, 1, "Dr [PERSON_NAME] came."), (2, 0, "")]
     assert pii.find_personal(df.limit(0), "doc_id", "text", model).count() == 0
-    assert isinstance(pii.fit(df.limit(0), "text", "doc_id"), pii.Model)
+    assert isinstance(pii.fit(df.limit(0), "text", "doc_id"), Weights)
