@@ -93,3 +93,23 @@ def to_grid(
         (F.col("fell") if kind == "counter" else F.lit(False)).alias("is_reset"),
         F.when(F.col("n_readings") > 0, "read").when(F.col("lap") > 0, "filled").otherwise("uncovered").alias("status"),
     )
+
+
+def meter_register(df: DataFrame, source: str, time: str, value: str, latest: list[str], digits: int = 8, block_slots: int = 1008) -> DataFrame:
+    """(source, time, register): the running total of a source's whole numbers in order of time, as a register of so many digits shows it; it starts again from its remainder when it is full.
+
+    One row per source and time; of several the one greatest by `latest` (value last) is taken. Numbers count from 0 to 1e9, what lies beyond as the nearer of these; rows without source,
+    time or number are absent. time comes back as a timestamp in UTC. Empty input gives an empty result.
+
+    Plan: totals run within blocks of time, and a row a block carries them on, so no window holds a source's readings.
+    """
+    blk = block_slots * 600_000_000
+    k = F.struct(*[ref(c).alias(f"k{i}") for i, c in enumerate(latest)], number(ref(value)).alias("v"))
+    r = df.select(ref(source).alias("src"), epoch_us(ref(time)).alias("t"), number(ref(value)).alias("v"), k.alias("k")).where("src is not null and t is not null and v is not null")
+    r = r.withColumn("block", floordiv(F.col("t"), blk)).repartition("src", "block").groupBy("src", "block", "t").agg(F.max_by("v", "k").alias("v"))
+    r = r.withColumn("v", F.round(F.greatest(F.least(F.col("v"), F.lit(1e9)), F.lit(0.0))).cast("bigint"))
+    total = r.groupBy("src", "block").agg(F.sum("v").alias("v"))
+    before = total.select("src", "block", F.coalesce(F.sum("v").over(Window.partitionBy("src").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"))
+    upto = F.sum("v").over(Window.partitionBy("src", "block").orderBy("t"))
+    out = r.withColumn("upto", upto).join(before, ["src", "block"])
+    return out.select(F.col("src").alias(source), F.timestamp_micros("t").alias(time), ((F.col("upto") + F.col("before")) % 10**digits).cast("double").alias("register"))

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from gridmend.functions.cols import floordiv, ref
 
 EPOCH = datetime(1970, 1, 1)
+#: Chunks at or below this hold lines without a place in their source.
+ALONE = -(1 << 50)
 #: Offsets in minutes of the zone abbreviations that are read.
 ABBREVIATIONS = {
     "Z": 0, "UTC": 0, "GMT": 0, "WET": 0, "WEST": 60, "BST": 60, "CET": 60, "CEST": 120, "MEZ": 60, "MESZ": 120, "EET": 120, "EEST": 180,
@@ -153,6 +155,10 @@ def viterbi(options: list[list[tuple[str, int]]], switch: float = 1.0, backward:
         if last is None:
             costs = [1e-6 * k for k in range(len(opts))]
             back.append((i, [None] * len(opts)))
+        elif len(opts) == 1 and len(last[1]) == 1:
+            # one way from one reading to one: what it costs decides nothing
+            costs = [0.0]
+            back.append((i, [0]))
         else:
             costs, frm = [], []
             for k, (fmt, t) in enumerate(opts):
@@ -181,22 +187,25 @@ def normalise(lines: DataFrame, loggers: DataFrame, line_id: str = "line_id", so
 
     Every stamp is read in all ways that give an existing date and, for wall-clock times, an hour the logger's zone had (two where it occurred
     twice). A Viterbi path over the source's records in order chooses. A stamp without a zone of a logger that isn't known, or whose zone isn't, can't
-    be read; without day_first both orders of an all-digit date are tried. Ties in order go by line_id; a null source is one source. Fractions are cut to
+    be read; without day_first both orders of an all-digit date are tried. Ties in order go by line_id; a null source is one source; a line with a null order is read alone. Fractions are cut to
     microseconds. Empty input gives an empty result; extra columns are ignored.
 
     Plan: the lines are shuffled once by (source, chunk of order), chunks overlapping by `halo` records, sorted and streamed through Arrow; the longest source is thus
     spread over tasks. loggers has one row per logger and is joined as Spark sees fit.
     """
-    r = lines.select(ref(line_id).alias("id"), ref(source).alias("src"), F.coalesce(ref(order).cast("bigint"), F.lit(0)).alias("no"), ref(stamp).cast("string").alias("stamp"), ref(logger).alias("lg"))
+    r = lines.select(ref(line_id).alias("id"), ref(source).alias("src"), ref(order).cast("bigint").alias("no"), ref(stamp).cast("string").alias("stamp"), ref(logger).alias("lg"))
     known = loggers.select(ref(logger).alias("lg"), ref(tz).alias("tz"), ref(day_first).alias("df")).where("lg is not null").groupBy("lg").agg(F.min("tz").alias("tz"), F.min("df").alias("df"))
-    r = r.join(known, "lg", "left").withColumn("chunk", F.explode(F.sequence(floordiv(F.col("no") - halo, chunk), floordiv(F.col("no") + halo, chunk))))
+    # lines without a place in their source are read each alone, and lie wherever their ids fall
+    chunks = F.when(F.col("no").isNull(), F.array(F.lit(ALONE) - F.pmod(F.xxhash64("id"), F.lit(1 << 20)))).otherwise(F.sequence(floordiv(F.col("no") - halo, chunk), floordiv(F.col("no") + halo, chunk)))
+    r = r.join(known, "lg", "left").withColumn("chunk", F.explode(chunks))
     r = r.select("src", "chunk", "no", "id", "stamp", "tz", "df").repartition("src", "chunk").sortWithinPartitions("src", "chunk", "no", "id")
 
     def solve(rows: list[tuple]) -> Iterator[tuple]:
-        lo = rows[0][1] * chunk
+        lo, alone = rows[0][1] * chunk, rows[0][1] <= ALONE
         options = [interpretations(x[4], x[5], x[6]) for x in rows]
-        for x, opts, k in zip(rows, options, viterbi(options)):
-            if lo <= x[2] < lo + chunk:
+        chosen = [viterbi([x])[0] for x in options] if alone else viterbi(options)
+        for x, opts, k in zip(rows, options, chosen):
+            if alone or lo <= x[2] < lo + chunk:
                 yield x[3], opts[k][1] if k >= 0 else None, opts[k][0] if k >= 0 else None, len(opts)
 
     kind = r.schema["id"].dataType

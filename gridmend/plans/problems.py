@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmend.functions.cols import epoch_us, floordiv, number
+from gridmend.functions.cols import epoch_us, fixed, floordiv, number
 from gridmend.operators import impute, regular_grid, rolling, spikes, timestamps
 from gridmend.operators.series import SITES
 from gridmend.sources.tables import checkpoint_dir, table
@@ -21,12 +21,27 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_states(spark, d).where("state <> 'normal'").select("reading_id", "channel")
 
 
-def p3_grid(spark: SparkSession, d: str) -> DataFrame:
+def _grid(spark: SparkSession, d: str) -> DataFrame:
     return regular_grid.to_grid(table(spark, d, CLEAN), "poste_id", "Date", "Ptot_HA", LATEST)
 
 
+def _shown(g: DataFrame) -> DataFrame:
+    """The grid's numbers rounded, for the comparison with SQL."""
+    return g.withColumns({"reading": fixed("reading", 3), "increment": fixed("increment", 1), "covered_share": fixed("covered_share", 6), "value": fixed("value", 2)})
+
+
+def p3_grid(spark: SparkSession, d: str) -> DataFrame:
+    return _shown(_grid(spark, d))
+
+
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
-    return p3_grid(spark, d).where("n_readings = 0").select("poste_id", "slot_s")
+    return _grid(spark, d).where("n_readings = 0").select("poste_id", "slot_s")
+
+
+def p3_energy(spark: SparkSession, d: str) -> DataFrame:
+    """A cumulative counter on the grid: each station's running total of Ptot_HA in a register of eight digits, with the resets where it is full."""
+    r = regular_grid.meter_register(table(spark, d, CLEAN), "poste_id", "Date", "Ptot_HA", LATEST)
+    return _shown(regular_grid.to_grid(r, "poste_id", "Date", "register", [], kind="counter"))
 
 
 P3_SLOTS = """
@@ -37,6 +52,26 @@ WITH r AS (SELECT DISTINCT poste_id, CAST(floor((epoch_us(Date) + 300000000) / 6
 SQL = {"p3_found": P3_SLOTS + " SELECT s.poste_id, s.slot_s FROM s ANTI JOIN r USING (poste_id, slot_s)"}
 
 
+def p3_sql(counter: bool) -> str:
+    inc = "CASE WHEN nv >= v THEN nv - v ELSE nv END" if counter else "(v + nv) / 2 * ((nt - t) / 1e6)"
+    value = "increment" if counter else "coalesce(increment / (lap / 1e6), reading)"
+    register = "CAST(sum(CAST(round(greatest(least(v, 1e9), 0.0)) AS BIGINT)) OVER (PARTITION BY poste_id ORDER BY t) % 100000000 AS DOUBLE)"
+    return f"""
+WITH r AS (SELECT poste_id, epoch_us(Date) AS t, arg_max(Ptot_HA, row(coalesce(ingested_at, TIMESTAMP '0001-01-01'), reading_id)) AS v
+           FROM conso_historiques_clean WHERE Ptot_HA IS NOT NULL AND NOT isnan(Ptot_HA) AND poste_id IS NOT NULL AND Date IS NOT NULL GROUP BY ALL),
+     c AS (SELECT poste_id, t, {register if counter else "v"} AS v FROM r),
+     n AS (SELECT *, CAST(floor((t + 300000000) / 600000000.0) AS BIGINT) AS own, lead(t) OVER w AS nt, lead(v) OVER w AS nv FROM c WINDOW w AS (PARTITION BY poste_id ORDER BY t)),
+     s AS (SELECT *, unnest(generate_series(own, coalesce(CAST(floor((nt + 300000000) / 600000000.0) AS BIGINT), own))) AS cell FROM n),
+     l AS (SELECT *, CASE WHEN nt - t <= 10800000000 THEN greatest(least(nt, cell * 600000000 + 300000000) - greatest(t, cell * 600000000 - 300000000), 0) ELSE 0 END AS lap FROM s),
+     g AS (SELECT poste_id, cell, count(*) FILTER (WHERE cell = own) AS n_readings, avg(v) FILTER (WHERE cell = own) AS reading, sum(({inc}) * lap / (nt - t)) FILTER (WHERE lap > 0) AS increment,
+                  sum(lap) AS lap, coalesce(bool_or(nv < v) FILTER (WHERE lap > 0), false) AS fell FROM l GROUP BY ALL)
+SELECT poste_id, cell * 600 AS slot_s, n_readings, round(reading + 1e-7, 3) AS reading, round(increment + 1e-5, 1) AS increment, round(lap / 600000000.0 + 1e-10, 6) AS covered_share,
+       round({value} + 1e-6, 2) AS value, {"fell" if counter else "false"} AS is_reset, CASE WHEN n_readings > 0 THEN 'read' WHEN lap > 0 THEN 'filled' ELSE 'uncovered' END AS status FROM g"""
+
+
+SQL |= {"p3_grid": p3_sql(False), "p3_energy": p3_sql(True)}
+
+
 def p5_rolling(spark: SparkSession, d: str) -> DataFrame:
     r = rolling.rolling_totals(table(spark, d, CLEAN), "poste_id", "Date", "Ptot_HEI_5RNS", LATEST)
     return r.select("poste_id", "day_utc", "n_day", *[F.round(c, 3).alias(c) if c[0] in "tm" else c for c in r.columns[3:]])
@@ -119,4 +154,4 @@ UNION ALL SELECT 'clean', reading_id, 'Ptot_HEI_13RT' FROM conso_historiques_cle
 UNION ALL SELECT 'reconstructed', recon_id, 'quality_ha' FROM conso_historiques_reconstructed WHERE quality_ha IS NULL OR quality_ha NOT BETWEEN 0 AND 3"""
 
 
-QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p4_found": p4_found, "p4_lines": p4_lines, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}
+QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p3_energy": p3_energy, "p4_found": p4_found, "p4_lines": p4_lines, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}

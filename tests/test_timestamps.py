@@ -60,3 +60,11 @@ def test_order_decides_on_the_hour_that_occurs_twice(spark):
 def test_viterbi_prefers_forward_paths():
     assert viterbi([[("a", 0)], [("a", 600_000_000), ("b", -600_000_000)], [], [("b", 1_200_000_000)]]) == [0, 0, -1, 0]
     assert viterbi([]) == [] and viterbi([[], []]) == [-1, -1]
+
+
+def test_lines_without_a_place_are_read_alone_and_spread(spark):
+    rows = [(i, 1, None, 7, f"2025-01-01 {i % 24:02d}:00:00") for i in range(500)] + [(1000, 1, 1, 7, "2025-10-26 02:30:00"), (1001, 1, None, 7, "2025-10-26 02:30:00")]
+    lines = spark.createDataFrame(rows, "line_id bigint, delivery_id bigint, line_no int, logger_id int, Date string")
+    loggers = spark.createDataFrame([(7, "Europe/Paris", True)], "logger_id int, tz string, day_first boolean")
+    got = {r["line_id"]: r["utc_us"] for r in normalise(lines, loggers).collect()}
+    assert len(got) == 502 and all(got[i] == us(2024, 12, 31, 23) + (i % 24) * 3_600_000_000 for i in range(500)) and got[1000] == got[1001] == us(2025, 10, 26, 0, 30)
