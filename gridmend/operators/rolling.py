@@ -48,6 +48,14 @@ def correct_tree(nodes: DataFrame, changes: DataFrame) -> DataFrame:
     ).where("n <> 0")
 
 
+def changes(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What correct_tree is to add where the days (entity, day, total, n) of before have become those of after: only days that differ."""
+    b = before.withColumnsRenamed({"total": "b_total", "n": "b_n"})
+    d = after.join(b, ["entity", "day"], "full")
+    total, n = F.coalesce("total", F.lit(0.0)) - F.coalesce("b_total", F.lit(0.0)), F.coalesce("n", F.lit(0)) - F.coalesce("b_n", F.lit(0))
+    return d.select("entity", "day", total.alias("total"), n.alias("n")).where("total <> 0 or n <> 0")
+
+
 def cover(lo: Column, hi: Column) -> Column:
     """The nodes whose days are exactly lo..hi, at most two a level below the top: array<struct<level, idx>>."""
     parts = []
@@ -92,7 +100,12 @@ def rolling_totals(df: DataFrame, entity: str, time: str, value: str, latest: li
     result; extra columns, whatever their names, are ignored. Columns: entity, day_utc, n_day, total_P, n_P, mean_P.
     """
     days = daily(df, entity, time, value, latest)
+    return answers(build_tree(days), days, entity, periods)
+
+
+def answers(nodes: DataFrame, days: DataFrame, entity: str, periods: tuple[int, ...]) -> DataFrame:
+    """The result of rolling_totals from the trees and the days with a number."""
     # a period of one day is the leaf itself and tells whether the day has a number
-    out = trailing(build_tree(days), calendar(days), [1, *periods])
+    out = trailing(nodes, calendar(days), [1, *periods])
     cols = [c for p in periods for c in (f"total_{p}", f"n_{p}", f"mean_{p}")]
     return out.select(F.col("entity").alias(entity), F.date_format(F.date_add(F.lit("1970-01-01").cast("date"), F.col("day").cast("int")), "yyyy-MM-dd").alias("day_utc"), F.col("n_1").alias("n_day"), *cols)

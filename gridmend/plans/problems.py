@@ -77,6 +77,15 @@ def p5_rolling(spark: SparkSession, d: str) -> DataFrame:
     return r.select("poste_id", "day_utc", "n_day", *[F.round(c, 3).alias(c) if c[0] in "tm" else c for c in r.columns[3:]])
 
 
+def p5_corrected(spark: SparkSession, d: str) -> DataFrame:
+    """p5_rolling from trees of the rows that came within a day, corrected by what came later."""
+    t, key = table(spark, d, CLEAN), ("poste_id", "Date", "Ptot_HEI_5RNS", LATEST)
+    late = F.coalesce(epoch_us(F.col("ingested_at")) - epoch_us(F.col("Date")) > 86_400_000_000, F.lit(False))
+    early, every = rolling.daily(t.where(~late), *key), rolling.daily(t, *key)
+    r = rolling.answers(rolling.correct_tree(rolling.build_tree(early), rolling.changes(early, every)), every, "poste_id", (7, 30))
+    return r.select("poste_id", "day_utc", "n_day", *[F.round(c, 3).alias(c) if c[0] in "tm" else c for c in r.columns[3:]])
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     r = rolling.rolling_totals(table(spark, d, CLEAN), "poste_id", "Date", "Ptot_HEI_5RNS", LATEST)
     return r.where("n_day = 0").select("poste_id", "day_utc")
@@ -98,6 +107,9 @@ SELECT poste_id, strftime(day, '%Y-%m-%d') AS day_utc, CAST(n AS BIGINT) AS n_da
        round(t7, 3) AS total_7, CAST(n7 AS BIGINT) AS n_7, round(CASE WHEN n7 > 0 THEN t7 / n7 END, 3) AS mean_7,
        round(t30, 3) AS total_30, CAST(n30 AS BIGINT) AS n_30, round(CASE WHEN n30 > 0 THEN t30 / n30 END, 3) AS mean_30 FROM y"""
 
+SQL["p5_corrected"] = SQL["p5_rolling"]
+
+
 def p4_lines(spark: SparkSession, d: str) -> DataFrame:
     """Every line of both feeds with its instant, or null where the stamp can't be read."""
     feeds = [timestamps.normalise(table(spark, d, f"{f}_csv_rows"), table(spark, d, "loggers")).select(F.lit(f).alias("feed"), "line_id", "utc_us", "format", "n_readings") for f in ("conso", "meteo")]
@@ -154,4 +166,4 @@ UNION ALL SELECT 'clean', reading_id, 'Ptot_HEI_13RT' FROM conso_historiques_cle
 UNION ALL SELECT 'reconstructed', recon_id, 'quality_ha' FROM conso_historiques_reconstructed WHERE quality_ha IS NULL OR quality_ha NOT BETWEEN 0 AND 3"""
 
 
-QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p3_energy": p3_energy, "p4_found": p4_found, "p4_lines": p4_lines, "p5_found": p5_found, "p5_rolling": p5_rolling, "p6_found": p6_found, "p6_filled": p6_filled}
+QUERIES = {"p1_found": p1_found, "p1_states": p1_states, "p3_found": p3_found, "p3_grid": p3_grid, "p3_energy": p3_energy, "p4_found": p4_found, "p4_lines": p4_lines, "p5_found": p5_found, "p5_rolling": p5_rolling, "p5_corrected": p5_corrected, "p6_found": p6_found, "p6_filled": p6_filled}
