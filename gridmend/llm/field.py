@@ -9,7 +9,9 @@ from __future__ import annotations
 import math
 import re
 import zlib
+from array import array
 from collections import defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -321,30 +323,33 @@ class Chains:
 # ---- learning ---------------------------------------------------------------------------------------------------------
 
 
-def learn(docs: list[list[tuple[Line, list[Keys], list[int]]]], common: set[str], given: set[str], epochs: int = 8, batch: int = 4096, rate: float = 0.15, keep: float = 0.7, seed: int = 1) -> Weights:
+def learn(docs: Iterable[list[tuple[Line, list[Keys], list[int]]]], common: set[str], given: set[str], epochs: int = 8, batch: int = 4096, rate: float = 0.15, keep: float = 0.7, seed: int = 1) -> Weights:
     """Weights by the pseudo-likelihood of the tokens with a known label (-1: unknown), each given its neighbours' labels.
 
     docs: by document its lines, with each token's keys for skip edges and label. What a token's own features say is hidden from time to time (they are kept with
     chance `keep`), so that neighbours, endings and other occurrences learn to speak for it; so are the neighbours' labels, whose weights would grow too great otherwise.
     """
-    index, rows, ys, masks, prev, nxt, pattern, edges = {"\n": 0}, [], [], [], [], [], [], []
+    index: dict[str, int] = {"\n": 0}
+    rows, ys, masks, prev, nxt, pattern, edges = array("i"), array("b"), array("b"), array("b"), array("b"), array("b"), array("i")
     for doc in docs:
-        first = len(rows)
-        edges += [(i + first, j + first, kind) for i, j, kind in edges_of([k for _, keys, _ in doc for k in keys])]
-        for line, keys, labels in doc:
+        first = len(ys)
+        for i, j, kind in edges_of([k for _, keys, _ in doc for k in keys]):
+            edges.extend((i + first, j + first, kind))
+        for line, _, labels in doc:
+            n = len(labels)
             ids = [0, 0, *[index.setdefault(t, len(index)) for t, _, _ in line.tokens], 0]
-            n = len(line.tokens)
             for i in range(n):
-                rows.append((ids[i + 2], ids[i + 1], ids[i], ids[i + 3]))
-                ys.append(labels[i])
-                masks.append(line.masks[i])
-                prev.append(labels[i - 1] if i else O)
-                nxt.append(labels[i + 1] if i + 1 < n else O)
-                pattern.append(line.tokens[i][0][0] == "<" and len(line.tokens[i][0]) > 1)
+                rows.extend((ids[i + 2], ids[i + 1], ids[i], ids[i + 3]))
+            ys.extend(labels)
+            masks.extend(line.masks)
+            if n:
+                prev.extend([O, *labels[:-1]])
+                nxt.extend([*labels[1:], O])
+            pattern.extend([t[0] == "<" and len(t) > 1 for t, _, _ in line.tokens])
     w = Weights(np.zeros((WIDTH, 3), np.float32), np.zeros((16, 3), np.float32), np.zeros((3, 3)), np.zeros(SKIPS), common, given)
     w.move[O, I] = -8.0
     w.emit[_ids("here", ["sound=1"])[0], B] = 2.0
-    if not rows:
+    if not len(ys):
         return w
     table = {t: attributes(t, common, given) if t != "\n" else {r: ["end"] if r != "here" else [] for r in ROLES} for t in index}
     feats, longest = [], {r: max(len(x[r]) for x in table.values()) for r in ROLES}
@@ -354,11 +359,12 @@ def learn(docs: list[list[tuple[Line, list[Keys], list[int]]]], common: set[str]
             if t != "\n":
                 f[k, : len(table[t][r])] = _ids(r, table[t][r])
         feats.append(f)
-    rows, y, masks, prev, nxt, pattern = (np.array(x) for x in (rows, ys, masks, prev, nxt, pattern))
+    rows, edges = np.array(rows).reshape(-1, 4), np.array(edges, int).reshape(-1, 3)
+    y, masks, prev, nxt = (np.array(x, int) for x in (ys, masks, prev, nxt))
+    pattern = np.array(pattern, bool)
     # each skip edge is seen from both ends: for each kind the token at the other end of the edge before, and of the edge after
     ends = np.full((2 * SKIPS, len(y)), -1)
-    for i, j, kind in edges:
-        ends[kind, j], ends[SKIPS + kind, i] = i, j
+    ends[edges[:, 2], edges[:, 1]], ends[SKIPS + edges[:, 2], edges[:, 0]] = edges[:, 0], edges[:, 1]
     known = np.flatnonzero(y >= 0)
     rng = np.random.default_rng(seed)
     emit, g2 = np.zeros((WIDTH + 1, 3)), np.full((WIDTH + 1, 3), 1e-2)

@@ -51,7 +51,7 @@ def _counted(lines: Iterator[tuple], most: int) -> Iterator[tuple]:
     yield from rows()
 
 
-def names_of(lines: DataFrame, wanted: set[str], map_rows, rounds: int = 3, most: int = 300_000) -> tuple[set[str], set[str]]:
+def names_of(lines: DataFrame, wanted: set[str], map_rows, rounds: int = 2, most: int = 300_000) -> tuple[set[str], set[str]]:
     """(given names, those family names that are among the wanted words), both in small letters, from the distinct lines of all texts.
 
     A word that follows given names (or precedes them in capitals or before a comma) in at least half of its places, and is seldom written small, is a family name; one that stands so
@@ -96,13 +96,9 @@ def _alike(words: DataFrame, family: DataFrame, least: int = 3) -> DataFrame:
     return parts.join(fits, "p").groupBy("w").agg(F.count("*").alias("n"), F.first("of").alias("of")).where("n = of").select(F.col("w").alias("f"))
 
 
-def prepositions(lines: list[list[str]]) -> set[tuple[str, str]]:
-    """(word, particle) where the word is followed by the particle in most of its places: there it is a preposition, no part of a name. lines: words in small letters."""
-    pair, word = Counter(), Counter()
-    for low in lines:
-        word.update(low)
-        pair.update((a, b) for a, b in zip(low, low[1:]) if b in PARTICLES)
-    return {k for k, n in pair.items() if n >= 3 and 2 * n >= word[k[0]]}
+def prepositions(pairs: Counter, words: Counter) -> set[tuple[str, str]]:
+    """(word, particle) where the word is followed by the particle in most of its places: there it is a preposition, no part of a name. Counts of words, and of words with the particle after them, in small letters."""
+    return {k for k, n in pairs.items() if n >= 3 and 2 * n >= words[k[0]]}
 
 
 def begins(texts: list[str], k: int, bound: set[tuple[str, str]]) -> int:

@@ -43,7 +43,7 @@ FAMILIES = [
         ("phone", "zeros", r"(?<![\w.\-])00[1-9]\d(?:[ .\-]?\(0\))?(?:[ .\-]?\d{1,4}){3,6}(?!\w)", 0),
         ("phone", "paren", r"(?<![\w])\(\d{3}\) ?\d{3}[ .\-]\d{4}(?!\w)", 0),
         ("phone", "us", r"(?<![\w.\-])\d{3}([.\- ])\d{3}\1\d{4}(?![\w\-])", 0),
-        ("phone", "fr", r"(?<![\w.\-])0[1-9]([ .\-]?)\d\d(?:\1\d\d){3}(?![\w\-]|[ .]\d)", 0),
+        ("phone", "fr_phone", r"(?<![\w.\-])0[1-9]([ .\-]?)\d\d(?:\1\d\d){3}(?![\w\-]|[ .]\d)", 0),
         ("phone", "area", r"(?<![\w.\-])0\d{2,4}[ /\-]\d{4,7}(?:[ \-]\d{2,4})?(?![\w\-])", 0),
         ("identity_number", "nir", r"(?<![\w.\-])[12] \d\d \d\d \d\d \d{3} \d{3}(?: ?/ ?\d\d| \d\d)?(?![\w\-])", 0),
         ("identity_number", "nir_run", r"(?<![\w.\-])[12]\d{12}(?:\d\d)?(?![\w\-])", 0),
@@ -59,12 +59,33 @@ FAMILIES = [
         ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:" + _DE_LOWER + r"))\s\d{1,3}[a-z]?(?!\w)" + _NO_DATE, 0),
     )
 ]
-#: What every match of a slow pattern holds, from the pattern's own alternatives.
+#: What every find of a pattern holds, from the pattern's own parts: looked for first, as most lines hold none of it. A number written in groups is a stretch of eight signs at least.
+_STRETCH = re.compile(r"\d[\d .\-/]{6,}\d")
 _NEEDS = {
     "email": re.compile(_AT),
+    "nino": re.compile(r"\d\d ?[A-D](?!\w)"),
+    "pass": re.compile(r"\d[A-Z]{2}\d"),
+    "en": re.compile(r"\d[A-Za-z]?,? [A-Z]"),
+    "en_lower": re.compile(r"\d[a-z]?,? [a-z]"),
+    "en_upper": re.compile(r"\d[A-Z]?,? [A-Z][A-Z'’\- ]"),
     "de": re.compile(r"(?:" + _DE_STREET + r")\s\d|\b(?:" + _DE_FIRST + r")\s"),
     "de_lower": re.compile(r"(?:" + _DE_LOWER + r")\s\d|\bam\s"),
 }
+_SIGNS = {"email": ("@", "(", "[", " AT", "arobase"), "plus": ("+",), "zeros": ("00",), "paren": ("(",)}
+_GROUPED = frozenset(("us", "fr_phone", "area", "nir", "nir_run", "ssn", "tax"))
+
+
+def may_hold(family: str, text: str, digit: bool, stretch: bool) -> bool:
+    """Whether a pattern can match in the text at all; every pattern but that of mails asks for a digit."""
+    if family != "email" and not digit or family in _GROUPED and not stretch:
+        return False
+    signs = _SIGNS.get(family)
+    if signs and not any(x in text for x in signs):
+        return False
+    needs = _NEEDS.get(family)
+    return needs is None or needs.search(text) is not None
+
+
 _DIGIT = re.compile(r"\d")
 #: Words after which a number counts things, not persons: they label training lines only; the field learns for itself what stands around such numbers.
 _THINGS = frozenset(
@@ -76,9 +97,9 @@ def patterns(text: str) -> list[tuple[int, int, str, str, bool]]:
     """(start, end, name, key, sound) of every pattern's finds in order, none inside another; of two that overlap the earlier family of FAMILIES counts. sound: it has as many digits as its kind asks for."""
     out: list[tuple[int, int, str, str, bool]] = []
     digit = _DIGIT.search(text) is not None
-    for kind, family, rx in FAMILIES:
-        # every pattern but that of mails asks for a digit
-        if (family != "email" and not digit) or (family in _NEEDS and not _NEEDS[family].search(text)):
+    stretch = digit and _STRETCH.search(text) is not None
+    for kind, family, rx in FAMILIES if digit else FAMILIES[:1]:
+        if not may_hold(family, text, digit, stretch):
             continue
         for m in rx.finditer(text):
             a, b = m.span()
@@ -116,33 +137,36 @@ def labels(x: Line, sound: list[bool | None], given: set[str], family: set[str],
     return y
 
 
-def train(texts: list[str], given: set[str], family: set[str], skip: bool = True, rest: int = 4) -> Weights:
+def train(texts: list[str], given: set[str], family: set[str], skip: bool = True, rest: int = 8) -> Weights:
     """The field's weights from texts that the rules label in part: all lines that hold a pattern's find, an entity or a word that may belong to one, and one in `rest` of the others.
 
     skip: False learns without skip edges (to see what they do).
     """
-    parsed: dict[str, tuple] = {}
-    count: Counter = Counter()
+    count, seen = Counter(), set()
+    pair: Counter = Counter()
     for t in texts:
         for line in t.split("\n"):
-            if line and line not in parsed:
-                p, x, keys, sound = parsed[line] = parse(line)
-                count.update(w.lower() for w in field.TOKEN.findall(p.text))
+            if line and line not in seen:
+                seen.add(line)
+                low = [w.lower() for w in field.TOKEN.findall(Plain(line).text)]
+                count.update(low)
+                pair.update(x for x in zip(low, low[1:]) if x[1] in PARTICLES)
     common = {w for w, n in count.items() if n >= 8 and w[0].isalpha() and w not in given and w not in family}
-    bound = prepositions([[t.lower() for t, _, _ in x.tokens] for _, x, _, _ in parsed.values()])
-    docs, done = [], set()
-    for t in texts:
-        doc = []
-        for line in t.split("\n"):
-            if line in done or not line:
-                continue
-            done.add(line)
-            _, x, keys, sound = parsed[line]
-            y = labels(x, sound, given, family, common, bound)
-            if any(y) or any(v is not None for v in sound) or zlib.crc32(line.encode()) % rest == 0:
-                doc.append((x, keys if skip else [(None, None, None)] * len(keys), y))
-        docs.append(doc)
-    return field.learn(docs, common, given)
+    bound = prepositions(pair, count)
+
+    def docs() -> Iterator[list]:
+        for t in texts:
+            doc = []
+            for line in t.split("\n"):
+                if line in seen:
+                    seen.discard(line)  # each line once
+                    _, x, keys, sound = parse(line)
+                    y = labels(x, sound, given, family, common, bound)
+                    if any(y) or any(v is not None for v in sound) or zlib.crc32(line.encode()) % rest == 0:
+                        doc.append((x, keys if skip else [(None, None, None)] * len(keys), y))
+            yield doc
+
+    return field.learn(docs(), common, given)
 
 
 def _map_rows(df: DataFrame, f, ddl: str) -> DataFrame:
