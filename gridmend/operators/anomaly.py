@@ -22,17 +22,17 @@ def series_stats(r: DataFrame) -> DataFrame:
     return r.groupBy(*KEY).agg(F.count("*").alias("n"), median("value").alias("median"), F.round(F.stddev_samp("value"), 6).alias("std"))
 
 
-def checked(r: DataFrame) -> DataFrame:
-    """Readings of series with at least 30 of them and a median that isn't 0, with the series' statistics."""
-    return r.join(series_stats(r).where("n >= 30 and median <> 0"), KEY)
+def checked(r: DataFrame, stats: DataFrame | None = None) -> DataFrame:
+    """Readings of series with at least 30 of them and a median that isn't 0, with the series' statistics (series_stats of r, or those given)."""
+    return r.join((stats if stats is not None else series_stats(r)).where("n >= 30 and median <> 0"), KEY)
 
 
-def runs(r: DataFrame, share: float = 1e-4, block: int = BLOCK) -> DataFrame:
+def runs(r: DataFrame, stats: DataFrame, share: float = 1e-4, block: int = BLOCK) -> DataFrame:
     """Readings with run_start: the slot at which the stretch began in which each reading is within share of the median of the one before.
 
     The start travels across blocks through the carried block ends, so a stretch may be of any length.
     """
-    x = neighbours(r).join(series_stats(r).select(*KEY, "median"), KEY)
+    x = neighbours(r).join(stats.select(*KEY, "median"), KEY)
     new = F.col("prev").isNull() | (F.abs(F.col("value") - F.col("prev.value")) > F.abs(F.col("median")) * share)
     x = x.select(F.struct(*KEY).alias("key"), "slot", "value", floordiv(F.col("slot"), block).alias("block"), F.when(new, F.col("slot")).alias("start"))
     ends = x.groupBy("key", "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))
@@ -41,23 +41,23 @@ def runs(r: DataFrame, share: float = 1e-4, block: int = BLOCK) -> DataFrame:
     return x.select("key.*", "slot", "value", F.coalesce(F.max("start").over(w), "before").alias("run_start"))
 
 
-def stuck(r: DataFrame, least: int = 18) -> DataFrame:
+def stuck(r: DataFrame, least: int = 18, stats: DataFrame | None = None) -> DataFrame:
     """Readings of stretches of at least `least` readings that stand still, but for the first of each."""
-    ok = checked(r).select(*KEY, "slot", "value")
-    x = runs(ok)
+    stats = stats if stats is not None else series_stats(r)
+    x = runs(checked(r, stats).select(*KEY, "slot", "value"), stats)
     long_runs = x.groupBy(*KEY, "run_start").agg(F.count("*").alias("run_length")).where(F.col("run_length") >= least)
     return x.join(long_runs, [*KEY, "run_start"]).where("slot > run_start").select(*KEY, "slot", "value", "run_start", "run_length")
 
 
-def near_zero(featured: DataFrame, share: float = 0.01) -> DataFrame:
+def near_zero(featured: DataFrame, share: float = 0.01, stats: DataFrame | None = None) -> DataFrame:
     """Readings of occupied or evening hours at or below share of the median; featured has occupancy_type."""
-    return checked(featured).where(F.col("occupancy_type").isin("work_hours", "evening") & (F.col("value") <= F.col("median") * share))
+    return checked(featured, stats).where(F.col("occupancy_type").isin("work_hours", "evening") & (F.col("value") <= F.col("median") * share))
 
 
-def zscores(r: DataFrame, beyond: float = 3.0) -> DataFrame:
+def zscores(r: DataFrame, beyond: float = 3.0, stats: DataFrame | None = None) -> DataFrame:
     """Readings more than `beyond` sample deviations from the median."""
     z = F.round((F.col("value") - F.col("median")) / (F.col("std") + 1e-9), 6)
-    return checked(r).withColumn("z", z).where(F.abs("z") > beyond).select(*KEY, "slot", "value", "z")
+    return checked(r, stats).withColumn("z", z).where(F.abs("z") > beyond).select(*KEY, "slot", "value", "z")
 
 
 def zero_fills(r: DataFrame, fill: DataFrame, share: float = 0.01, beyond: float = 3.0, least: int = 20) -> DataFrame:

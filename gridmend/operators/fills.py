@@ -47,8 +47,8 @@ def clipped(fill: DataFrame, r: DataFrame) -> DataFrame:
     return fill.join(medians(r), KEY, "left").select(*OUT, clip(F.col("value"), F.col("med"), F.col("top")).alias("value"))
 
 
-def anchored(g: DataFrame, fill: DataFrame, r: DataFrame, tpl: DataFrame, tpl_keys: list[str], width: int = 6) -> DataFrame:
-    """fill shifted to meet the readings on both sides of its gap, the shift fading inwards.
+def shifts(g: DataFrame, p: DataFrame, r: DataFrame, tpl: DataFrame, tpl_keys: list[str], width: int = 6) -> DataFrame:
+    """(poste_id, site, gap_start, sl, sr): by how much a fill p (points of g with its number f) is to be shifted on either side of its gap.
 
     tpl: (poste_id, site, tpl_keys, tpl), tpl_keys among hour, day_of_week and columns of g. On each side the shift is the median of reading - template over the `width`
     slots outside, or the reading beside the gap less the median of the first `width` filled numbers, whichever is smaller (the latter on ties);
@@ -59,21 +59,54 @@ def anchored(g: DataFrame, fill: DataFrame, r: DataFrame, tpl: DataFrame, tpl_ke
     o = o.withColumn("slot", F.when(F.col("side") == "l", F.col("gap_start") - F.col("i")).otherwise(F.col("gap_end") + F.col("i") - 1))
     o = datetime_features(o.join(r, [*KEY, "slot"])).join(tpl, [*KEY, *tpl_keys])
     o = o.groupBy(*GAP).agg(*[median(F.when(F.col("side") == s, F.col("value") - F.col("tpl"))).alias(f"out_{s}") for s in "lr"])
-    p = points(g).join(fill.select(*OUT, F.col("value").alias("f")), OUT)
-    inside = p.groupBy(*GAP).agg(median(F.when(F.col("k") <= width, F.col("f"))).alias("m_l"), median(F.when(F.col("k") > F.col("gap_size") - width, F.col("f"))).alias("m_r"))
+    edge = p.where((F.col("k") <= width) | (F.col("k") > F.col("gap_size") - width))
+    inside = edge.groupBy(*GAP).agg(median(F.when(F.col("k") <= width, F.col("f"))).alias("m_l"), median(F.when(F.col("k") > F.col("gap_size") - width, F.col("f"))).alias("m_r"))
 
     def shift(s: str) -> Column:
         out, ins = F.col(f"out_{s}"), F.col(f"y_{s}") - F.col(f"m_{s}")
         return F.when(out.isNull() | ins.isNull(), F.coalesce(out, ins)).when(F.abs(out) < F.abs(ins), out).otherwise(ins)
 
     e = g.join(o, GAP, "left").join(inside, GAP, "left").select(*GAP, shift("l").alias("sl"), shift("r").alias("sr"))
-    x = p.join(e.select(*GAP, F.coalesce("sl", "sr").alias("sl"), F.coalesce("sr", "sl").alias("sr")), GAP)
+    return e.select(*GAP, F.coalesce("sl", "sr").alias("sl"), F.coalesce("sr", "sl").alias("sr"))
+
+
+def anchor() -> Column:
+    """The number f of a point, shifted by sl and sr, which fade inwards, and drawn to the straight line at the ends."""
     tau = F.greatest(F.lit(6.0), F.least(F.lit(36.0), F.col("gap_size") / 12.0))
-    x = x.withColumns({"wl": F.exp(-(F.col("k") - 1) / tau), "wr": F.exp(-(F.col("gap_size") - F.col("k")) / tau)})
-    a = F.when(F.col("sl").isNull(), F.col("f")).otherwise(F.col("f") + F.col("wl") * F.col("sl") + F.col("wr") * F.col("sr"))
-    w = F.greatest("wl", "wr")
-    v = F.when(F.col("y_l").isNotNull() & F.col("y_r").isNotNull() & F.col("sl").isNotNull(), w * _linear() + (1 - w) * a).otherwise(a)
-    return x.select(*OUT, v.alias("value"))
+    wl, wr = F.exp(-(F.col("k") - 1) / tau), F.exp(-(F.col("gap_size") - F.col("k")) / tau)
+    a = F.when(F.col("sl").isNull(), F.col("f")).otherwise(F.col("f") + wl * F.col("sl") + wr * F.col("sr"))
+    w = F.greatest(wl, wr)
+    return F.when(F.col("y_l").isNotNull() & F.col("y_r").isNotNull() & F.col("sl").isNotNull(), w * _linear() + (1 - w) * a).otherwise(a)
+
+
+def anchored(g: DataFrame, fill: DataFrame, r: DataFrame, tpl: DataFrame, tpl_keys: list[str], width: int = 6) -> DataFrame:
+    """fill shifted to meet the readings on both sides of its gap, the shift fading inwards (shifts, anchor)."""
+    p = points(g).join(fill.select(*OUT, F.col("value").alias("f")), OUT)
+    return p.join(shifts(g, p, r, tpl, tpl_keys, width), GAP).select(*OUT, anchor().alias("value"))
+
+
+def template_gaps(g: DataFrame, r: DataFrame, hour_tpl: DataFrame, day_tpl: DataFrame, weekly: DataFrame, med: DataFrame) -> DataFrame:
+    """(poste_id, site, gap_start, slot, strategy, value, by) of all gaps that need only their own series: linear, linear with median, and the templates, in one pass over their points.
+
+    The same numbers as linear, safe_linear_median, thermal, weekend and multi_week give one by one; value is null where a strategy has nothing. med: medians of r.
+    """
+    s = F.col("strategy")
+    kind = F.when(s.isin("THERMAL_TEMPLATE", "ENHANCED_TEMPLATE"), "hour").when(s == "MULTI_WEEK_TEMPLATE", "week").when(s == "WEEKEND_TEMPLATE_SATURDAY", "saturday").when(s == "WEEKEND_TEMPLATE_SUNDAY", "sunday")
+    g = g.select(*GAP, "gap_end", "gap_size", "y_l", "y_r", "strategy", kind.alias("kind"))
+    # one template for all kinds: those that don't tell days apart stand for each
+    every = F.explode(F.array(*[F.lit(d) for d in ("Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday")])).alias("day_of_week")
+    t = hour_tpl.select(*KEY, F.lit("hour").alias("kind"), every, "hour", "tpl").unionByName(day_tpl.where("day_type <> 'holiday'").select(*KEY, F.col("day_type").alias("kind"), every, "hour", "tpl"))
+    t = t.unionByName(weekly.select(*KEY, F.lit("week").alias("kind"), "day_of_week", "hour", "tpl"))
+    keys = ["kind", "day_of_week", "hour"]
+    p = datetime_features(points(g)).join(t, [*KEY, *keys], "left").join(hour_tpl.select(*KEY, "hour", F.col("tpl").alias("of_hour")), [*KEY, "hour"], "left")
+    p = p.withColumn("f", F.coalesce("tpl", F.when(F.col("kind") == "week", F.col("of_hour")))).repartition(*GAP)
+    of = g.where("kind is not null")
+    x = p.join(shifts(of, p.where("f is not null"), r, t, keys), GAP, "left").join(med, KEY, "left")
+    linear_kind, weekend_kind = s.isin("LINEAR_MICRO", "LINEAR_SHORT"), s.startswith("WEEKEND")
+    v = F.when(linear_kind, _linear()).when(s == "SAFE_LINEAR_MEDIAN", 0.9 * _linear() + 0.1 * F.col("med")).when(F.col("f").isNotNull(), clip(anchor(), F.col("med"), F.col("top")))
+    v = F.when(weekend_kind, F.coalesce(v, "med", F.lit(0.0))).otherwise(v)
+    by = F.when(linear_kind, "LINEAR").when(weekend_kind, "WEEKEND").when(s == "MULTI_WEEK_TEMPLATE", "MULTI_WEEK").when(s == "SAFE_LINEAR_MEDIAN", s).otherwise("TEMPLATE")
+    return x.select(*OUT, "strategy", v.alias("value"), by.alias("by"), "med")
 
 
 def template_fill(g: DataFrame, tpl: DataFrame, keys: list[str]) -> DataFrame:

@@ -15,9 +15,9 @@ def targets(r: DataFrame, tz: str = "Europe/Paris") -> DataFrame:
     return last.select("poste_id", (F.unix_seconds(midnight) / 600).cast("bigint").alias("target"))
 
 
-def extract(r: DataFrame, t: DataFrame) -> DataFrame:
-    """(poste_id, site, slot, idx, value): the 1008 slots before the target of every series of the station, idx from 0."""
-    every = r.select(*KEY).distinct().join(t, "poste_id").withColumn("idx", F.explode(F.sequence(F.lit(0), F.lit(WEEK - 1)))).withColumn("slot", F.col("target") - WEEK + F.col("idx"))
+def extract(r: DataFrame, t: DataFrame, every: DataFrame | None = None) -> DataFrame:
+    """(poste_id, site, slot, idx, value): the 1008 slots before the target of every series of the station (those of r, or the given ones), idx from 0."""
+    every = (r.select(*KEY).distinct() if every is None else every).join(t, "poste_id").withColumn("idx", F.explode(F.sequence(F.lit(0), F.lit(WEEK - 1)))).withColumn("slot", F.col("target") - WEEK + F.col("idx"))
     return every.join(r, [*KEY, "slot"], "left").select(*KEY, "slot", "idx", "value")
 
 

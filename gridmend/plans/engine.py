@@ -33,6 +33,7 @@ class Lookups:
     day: DataFrame
     weekly: DataFrame
     ratio: DataFrame
+    med: DataFrame
 
 
 def _gaps(r: DataFrame, whole: DataFrame) -> DataFrame:
@@ -58,18 +59,13 @@ def _routed(g: DataFrame, r: DataFrame, meters: DataFrame, how: router.Routing)
 
 def _filled(g: DataFrame, r: DataFrame, look: Lookups, how: router.Routing) -> DataFrame:
     """(poste_id, site, gap_start, slot, strategy, value, by): every missing slot of the gaps; by tells what filled it, the median where the strategy has nothing."""
+    elsewhere = F.col("strategy").isin("PEER_CORRELATION", "MICE", "KALMAN_FILTER", "KNN_CONTEXT")
+    own = fills.template_gaps(g.where(~elsewhere), r, look.hour, look.day, look.weekly, look.med)
 
-    def of(*names: str) -> DataFrame:
-        return g.where(F.col("strategy").isin(*names))
-
-    parts = {
-        "LINEAR": fills.linear(of("LINEAR_MICRO", "LINEAR_SHORT")),
-        "SAFE_LINEAR_MEDIAN": fills.safe_linear_median(of("SAFE_LINEAR_MEDIAN"), r),
-        "TEMPLATE": fills.thermal(of("THERMAL_TEMPLATE", "ENHANCED_TEMPLATE"), r, look.hour),
-        "WEEKEND": fills.weekend(g.where(F.col("strategy").startswith("WEEKEND")), r, look.day),
-        "MULTI_WEEK": fills.multi_week(of("MULTI_WEEK_TEMPLATE"), r, look.weekly, look.hour),
-        "PEER": fills.peer(of("PEER_CORRELATION"), r, look.ratio),
-    }
+    def of(name: str) -> DataFrame:
+        return g.where(F.col("strategy") == name)
+
+    parts = {"PEER": fills.peer(of("PEER_CORRELATION"), r, look.ratio)}
     # the first of these that is on takes all gaps of its rule
     if how.mice:
         parts["MICE"] = fills.mice_gaps(series.pivot(r), of("MICE"))
@@ -77,13 +73,11 @@ def _filled(g: DataFrame, r: DataFrame, look: Lookups, how: router.Routing) -> D
         parts["KALMAN"] = fills.kalman(r, of("KALMAN_FILTER"))
     elif how.knn:
         parts["KNN"] = fills.knn(series.pivot(r), of("KNN_CONTEXT"))
-    filled = None
-    for name, p in parts.items():
-        p = p.select(*KEY, "slot", F.col("value").alias("fill"), F.lit(name).alias("by"))
-        filled = p if filled is None else filled.unionByName(p)
-    p = series.points(g).select(*GAP, "slot", "strategy").join(filled, [*KEY, "slot"], "left").join(fills.medians(r).select(*KEY, "med"), KEY, "left")
-    by = F.when(F.col("fill").isNotNull(), F.col("by")).otherwise("SAFE_MEDIAN")
-    return p.select(*GAP, "slot", "strategy", F.coalesce("fill", "med", F.lit(0.0)).alias("value"), by.alias("by"))
+    got = reduce(DataFrame.unionByName, [p.select(*KEY, "slot", "value", F.lit(name).alias("by")) for name, p in parts.items()])
+    others = series.points(g.where(elsewhere)).select(*GAP, "slot", "strategy").join(got, [*KEY, "slot"], "left").join(look.med.select(*KEY, "med"), KEY, "left")
+    p = own.unionByName(others)
+    by = F.when(F.col("value").isNotNull(), F.col("by")).otherwise("SAFE_MEDIAN")
+    return p.select(*GAP, "slot", "strategy", F.coalesce("value", "med", F.lit(0.0)).alias("value"), by.alias("by"))
 
 
 def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Config = Config()) -> Reconstruction:
@@ -99,13 +93,15 @@ def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Confi
     raw = series.readings(clean)
     r = raw = raw.checkpoint()
     if cfg.mask_anomalies:
-        found = (anomaly.stuck(raw), anomaly.near_zero(features.full_features(raw, cal)), anomaly.zscores(raw))
+        st = anomaly.series_stats(raw).checkpoint()  # a row a series
+        found = (anomaly.stuck(raw, stats=st), anomaly.near_zero(features.full_features(raw, cal), stats=st), anomaly.zscores(raw, stats=st))
         bad = reduce(DataFrame.unionByName, [x.select(*KEY, "slot") for x in found]).distinct()
         r = raw.join(bad, [*KEY, "slot"], "left_anti")
     r = r.checkpoint() if cfg.mask_anomalies else raw
     g = router.with_confidence(_routed(_gaps(r, raw), r, meters, cfg.routing), cal).checkpoint()
     f = features.day_flags(features.datetime_features(r), cal)
-    look = Lookups(lookups.hour_template(f), lookups.day_templates(f), lookups.weekly_templates(f), lookups.peer_ratio(r, meters))
+    # some rows a series each, read by every fill
+    look = Lookups(*[x.checkpoint() for x in (lookups.hour_template(f), lookups.day_templates(f), lookups.weekly_templates(f), lookups.peer_ratio(r, meters), fills.medians(r))])
     filled, corrected = _filled(g, r, look, cfg.routing).checkpoint(), None
     low = anomaly.zero_fills(r, filled).checkpoint()
     if not low.isEmpty():
@@ -114,7 +110,7 @@ def reconstruct(clean: DataFrame, meters: DataFrame, days: DataFrame, cfg: Confi
         of = low.select(*KEY).distinct()
         again = _gaps(col.join(of, KEY, "left_semi"), raw.join(of, KEY, "left_semi"))
         corrected = _routed(again, col, meters, replace(cfg.routing, chunked=False)).checkpoint()
-        filled = kept.unionByName(_filled(corrected, col, look, cfg.routing))
+        filled = kept.unionByName(_filled(corrected, col, replace(look, med=fills.medians(col).checkpoint()), cfg.routing))
     none = F.lit(None).cast("string")
     out = r.select(*KEY, "slot", "value", none.alias("strategy"), F.lit("READ").alias("by")).unionByName(filled.select(*KEY, "slot", "value", "strategy", "by"))
     out = out.join(raw.select(*KEY, "slot", F.lit(True).alias("was_read")), [*KEY, "slot"], "left")
