@@ -34,19 +34,20 @@ def runs(r: DataFrame, stats: DataFrame, share: float = 1e-4, block: int = BLOCK
     """
     x = neighbours(r).join(stats.select(*KEY, "median"), KEY)
     new = F.col("prev").isNull() | (F.abs(F.col("value") - F.col("prev.value")) > F.abs(F.col("median")) * share)
-    x = x.select(F.struct(*KEY).alias("key"), "slot", "value", floordiv(F.col("slot"), block).alias("block"), F.when(new, F.col("slot")).alias("start"))
-    ends = x.groupBy("key", "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    w = Window.partitionBy("key", "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    x = x.join(carry(ends, "key", "block", "first", "last"), ["key", "block"])
-    return x.select("key.*", "slot", "value", F.coalesce(F.max("start").over(w), "before").alias("run_start"))
+    x = x.select(*KEY, "slot", "value", floordiv(F.col("slot"), block).alias("block"), F.when(new, F.col("slot")).alias("start"))
+    ends = x.groupBy(*KEY, "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))
+    w = Window.partitionBy(*KEY, "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.join(carry(ends, KEY, "block", "first", "last"), [*KEY, "block"])
+    return x.select(*KEY, "slot", "value", F.coalesce(F.max("start").over(w), "before").alias("run_start"))
 
 
 def stuck(r: DataFrame, least: int = 18, stats: DataFrame | None = None) -> DataFrame:
     """Readings of stretches of at least `least` readings that stand still, but for the first of each."""
     stats = stats if stats is not None else series_stats(r)
-    x = runs(checked(r, stats).select(*KEY, "slot", "value"), stats)
-    long_runs = x.groupBy(*KEY, "run_start").agg(F.count("*").alias("run_length")).where(F.col("run_length") >= least)
-    return x.join(long_runs, [*KEY, "run_start"]).where("slot > run_start").select(*KEY, "slot", "value", "run_start", "run_length")
+    # a run's first reading is known from the others: most readings begin a run of their own and need not be grouped
+    x = runs(checked(r, stats).select(*KEY, "slot", "value"), stats).where("slot > run_start")
+    long_runs = x.groupBy(*KEY, "run_start").agg((F.count("*") + 1).alias("run_length")).where(F.col("run_length") >= least)
+    return x.join(long_runs, [*KEY, "run_start"]).select(*KEY, "slot", "value", "run_start", "run_length")
 
 
 def near_zero(featured: DataFrame, share: float = 0.01, stats: DataFrame | None = None) -> DataFrame:
@@ -77,11 +78,11 @@ def flagged_runs(flags: DataFrame) -> DataFrame:
     checkpoint_dir(flags.sparkSession)
     one = flags.groupBy(*KEY, "slot").agg(F.sort_array(F.collect_set("reason")).alias("reasons")).checkpoint()
     n = neighbours(one.select(*KEY, "slot", F.lit(0.0).alias("value")))
-    x = n.join(one, [*KEY, "slot"]).select(F.struct(*KEY).alias("key"), "slot", "reasons", floordiv(F.col("slot"), BLOCK).alias("block"), F.when(F.coalesce(F.col("prev.slot") < F.col("slot") - 1, F.lit(True)), F.col("slot")).alias("start"))
-    ends = x.groupBy("key", "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))
-    w = Window.partitionBy("key", "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
-    x = x.join(carry(ends, "key", "block", "first", "last"), ["key", "block"]).withColumn("run_start", F.coalesce(F.max("start").over(w), "before"))
-    g = x.groupBy("key.poste_id", "key.site", "run_start").agg(F.max("slot").alias("run_end"), F.count("*").alias("n_slots"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("reasons")))).alias("reasons"))
+    x = n.join(one, [*KEY, "slot"]).select(*KEY, "slot", "reasons", floordiv(F.col("slot"), BLOCK).alias("block"), F.when(F.coalesce(F.col("prev.slot") < F.col("slot") - 1, F.lit(True)), F.col("slot")).alias("start"))
+    ends = x.groupBy(*KEY, "block").agg(F.min("start").alias("first"), F.max("start").alias("last"))
+    w = Window.partitionBy(*KEY, "block").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)
+    x = x.join(carry(ends, KEY, "block", "first", "last"), [*KEY, "block"]).withColumn("run_start", F.coalesce(F.max("start").over(w), "before"))
+    g = x.groupBy(*KEY, "run_start").agg(F.max("slot").alias("run_end"), F.count("*").alias("n_slots"), F.sort_array(F.array_distinct(F.flatten(F.collect_set("reasons")))).alias("reasons"))
     return g.withColumn("reasons", F.array_join("reasons", ", "))
 
 

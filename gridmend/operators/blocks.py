@@ -15,19 +15,20 @@ from gridmend.functions.cols import floordiv
 FANOUT = 1024
 
 
-def carry(ends: DataFrame, source: str, block: str, first: str, last: str, fanout: int = FANOUT) -> DataFrame:
-    """ends: one row per (source, block) with any columns `first` and `last`.
+def carry(ends: DataFrame, source: str | list[str], block: str, first: str, last: str, fanout: int = FANOUT) -> DataFrame:
+    """ends: one row per (source, block) with any columns `first` and `last`; source is one column or several.
 
     Returns (source, block, before, after): the nearest earlier `last` and the nearest later `first` that isn't null, null at
     the ends of a source.
     """
-    e = ends.select(source, block, first, last, floordiv(F.col(block), fanout).alias("_super"))
-    inner = Window.partitionBy(source, "_super").orderBy(block)
+    src = [source] if isinstance(source, str) else source
+    e = ends.select(*src, block, first, last, floordiv(F.col(block), fanout).alias("_super"))
+    inner = Window.partitionBy(*src, "_super").orderBy(block)
     upto, after = (Window.unboundedPreceding, -1), (1, Window.unboundedFollowing)
     e = e.withColumns({"_b": F.last(last, True).over(inner.rowsBetween(*upto)), "_a": F.first(first, True).over(inner.rowsBetween(*after))})
-    tops = e.groupBy(source, "_super").agg(F.min_by(first, F.when(F.col(first).isNotNull(), F.col(block))).alias("_f"), F.max_by(last, F.when(F.col(last).isNotNull(), F.col(block))).alias("_l"))
-    outer = Window.partitionBy(source).orderBy("_super")
-    tops = tops.select(source, "_super", F.last("_l", True).over(outer.rowsBetween(*upto)).alias("_tb"), F.first("_f", True).over(outer.rowsBetween(*after)).alias("_ta"))
-    return e.join(tops, [source, "_super"]).select(
-        source, block, F.coalesce("_b", "_tb").alias("before"), F.coalesce("_a", "_ta").alias("after")
+    tops = e.groupBy(*src, "_super").agg(F.min_by(first, F.when(F.col(first).isNotNull(), F.col(block))).alias("_f"), F.max_by(last, F.when(F.col(last).isNotNull(), F.col(block))).alias("_l"))
+    outer = Window.partitionBy(*src).orderBy("_super")
+    tops = tops.select(*src, "_super", F.last("_l", True).over(outer.rowsBetween(*upto)).alias("_tb"), F.first("_f", True).over(outer.rowsBetween(*after)).alias("_ta"))
+    return e.join(tops, [*src, "_super"]).select(
+        *src, block, F.coalesce("_b", "_tb").alias("before"), F.coalesce("_a", "_ta").alias("after")
     )

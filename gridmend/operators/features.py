@@ -15,9 +15,13 @@ def calendar(days: DataFrame) -> DataFrame:
     return days.select("cal_date", F.lower(F.trim("kind")).alias("kind")).where("cal_date is not null and kind is not null").distinct()
 
 
+def day_name(c: Column) -> Column:
+    return F.element_at(F.array(*[F.lit(d) for d in ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")]), F.dayofweek(c))
+
+
 def datetime_features(slots: DataFrame, tz: str = "Europe/Paris") -> DataFrame:
     t = local(F.col("slot"), tz)
-    return slots.withColumns({"hour": F.hour(t), "day_of_week": F.date_format(t, "EEEE"), "local_date": F.to_date(t)})
+    return slots.withColumns({"hour": F.hour(t), "day_of_week": day_name(t), "local_date": F.to_date(t)})
 
 
 def season(month: Column) -> Column:

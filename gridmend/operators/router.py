@@ -31,13 +31,15 @@ class Routing:
 
 def classify(g: DataFrame) -> DataFrame:
     """gaps with any_weekend, pure_weekend and day_type (saturday, sunday, mixed; null unless purely weekend), by local days."""
-    from gridmend.operators.features import datetime_features
+    from gridmend.operators.series import local
 
-    p = datetime_features(points(g).select(*GAP, "slot"))
-    weekend = F.col("day_of_week").isin("Saturday", "Sunday")
-    c = p.groupBy(*GAP).agg(F.bool_or(weekend).alias("any_weekend"), F.bool_and(weekend).alias("pure_weekend"), F.bool_and(F.col("day_of_week") == "Saturday").alias("sat"), F.bool_and(F.col("day_of_week") == "Sunday").alias("sun"))
-    kind = F.when(F.col("sat"), "saturday").when(F.col("sun"), "sunday").when(F.col("pure_weekend"), "mixed")
-    return g.join(c.select(*GAP, "any_weekend", "pure_weekend", kind.alias("day_type")), GAP)
+    # by the local days that a gap touches, not by its slots
+    days = F.sequence(F.to_date(local(F.col("gap_start"))), F.to_date(local(F.col("gap_end") - 1)))
+    saturday, sunday = (lambda d: F.dayofweek(d) == 7), (lambda d: F.dayofweek(d) == 1)
+    g = g.withColumn("_days", days)
+    pure = F.forall("_days", lambda d: saturday(d) | sunday(d))
+    kind = F.when(F.forall("_days", saturday), "saturday").when(F.forall("_days", sunday), "sunday").when(pure, "mixed")
+    return g.withColumns({"any_weekend": F.exists("_days", lambda d: saturday(d) | sunday(d)), "pure_weekend": pure, "day_type": kind}).drop("_days")
 
 
 def with_hierarchy(g: DataFrame, r: DataFrame, meters: DataFrame) -> DataFrame:

@@ -44,12 +44,12 @@ def readings(clean: DataFrame) -> DataFrame:
 
 def neighbours(r: DataFrame, block: int = BLOCK) -> DataFrame:
     """readings with prev and next: struct(slot, value) of the readings around, null at the ends of a series."""
-    x = r.select(F.struct(*KEY).alias("key"), "slot", "value", floordiv(F.col("slot"), block).alias("block"), F.struct("slot", "value").alias("here"))
-    ends = x.groupBy("key", "block").agg(F.min("here").alias("first"), F.max("here").alias("last"))
-    w = Window.partitionBy("key", "block").orderBy("slot")
-    x = x.join(carry(ends, "key", "block", "first", "last"), ["key", "block"])
+    x = r.select(*KEY, "slot", "value", floordiv(F.col("slot"), block).alias("block"), F.struct("slot", "value").alias("here"))
+    ends = x.groupBy(*KEY, "block").agg(F.min("here").alias("first"), F.max("here").alias("last"))
+    w = Window.partitionBy(*KEY, "block").orderBy("slot")
+    x = x.join(carry(ends, KEY, "block", "first", "last"), [*KEY, "block"])
     x = x.withColumns({"prev": F.coalesce(F.lag("here").over(w), "before"), "next": F.coalesce(F.lead("here").over(w), "after")})
-    return x.select("key.*", "slot", "value", "prev", "next")
+    return x.select(*KEY, "slot", "value", "prev", "next")
 
 
 def gaps(r: DataFrame) -> DataFrame:
