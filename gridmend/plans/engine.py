@@ -68,7 +68,9 @@ def _filled(g: DataFrame, r: DataFrame, look: Lookups, how: router.Routing) -> D
     parts = {"PEER": fills.peer(of("PEER_CORRELATION"), r, look.ratio)}
     # the first of these that is on takes all gaps of its rule
     if how.mice:
-        parts["MICE"] = fills.mice_gaps(series.pivot(r), of("MICE"))
+        # every round reads the stations' wide frame anew
+        wide = series.pivot(r.join(of("MICE").select("poste_id").distinct(), "poste_id", "left_semi")).checkpoint()
+        parts["MICE"] = fills.mice_gaps(wide, of("MICE"))
     elif how.kalman:
         parts["KALMAN"] = fills.kalman(r, of("KALMAN_FILTER"))
     elif how.knn:
