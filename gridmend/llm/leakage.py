@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +19,10 @@ from gridmend.llm.words import PARAGRAPH, fold, words
 
 #: A copied stretch has some 18 words; single words too many or few widen it a little.
 WINDOW = 22
+#: The most that a run of words which no item has counts.
+STRANGE = 6
+#: Words on either side of a paragraph's end within which copies across it are found; shorter than WINDOW on both sides, they can't be longer.
+SEAM = 24
 
 
 @dataclass(frozen=True)
@@ -53,6 +58,15 @@ class Items:
             self.seeds, self.at, self.first = np.empty((0, k), np.int64), np.empty((0, 2), np.int64), np.zeros(1, np.int64)
 
 
+def _mixed(grams: np.ndarray) -> np.ndarray:
+    """Rows of word numbers as 64 bits; rows that differ may agree by chance."""
+    out = np.zeros(len(grams), np.uint64)
+    for c in grams.T:
+        out = (out ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return out
+
+
 def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray, named: float) -> tuple[float, int, int]:
     """Score of the best local alignment of item words a with text words b (0: a word no item has), and where it ends in b and in a."""
     j = np.arange(len(b) + 1)
@@ -70,8 +84,11 @@ def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray, named: float) -> tuple
     return best, end, last
 
 
-def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: LeakModel) -> list[tuple[int, int, int, int]]:
-    """(paragraph, item, first word, end word) of the finds; text holds the paragraphs' words from starts[p] on, each followed by a 0."""
+def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: LeakModel, before: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
+    """(paragraph, item, first word, end word) of the finds; text holds the paragraphs' words from starts[p] on, each followed by a 0.
+
+    before: by paragraph how many of its words lie before a seam (0: it has none); only finds with phrases on both sides of it, or one across, are looked for.
+    """
     if not len(text) or not len(items.seeds):
         return []
     index = FMIndex(text, len(items.rare))
@@ -104,6 +121,10 @@ def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: Leak
         p, a = int(par[e]), items.words[int(item[e])]
         # stretches of the paragraph near the finds; the alignment can't leave them and still pay
         hits = np.sort(pos[e:f])
+        if before is not None and before[p]:
+            seam = int(starts[p]) + int(before[p])
+            if hits[0] >= seam or hits[-1] + model.seed <= seam:
+                continue
         cut = np.flatnonzero(np.diff(hits) > len(a) + 20)
         for first, last in zip(np.r_[hits[0], hits[cut + 1]], np.r_[hits[cut], hits[-1]]):
             x, y = max(int(starts[p]), int(first) - len(a)), min(int(ends[p]) - 1, int(last) + len(a) + model.seed)
@@ -120,56 +141,117 @@ def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: Leak
 
 
 def _shards(batches: Iterator[pa.RecordBatch], items: Items, model: LeakModel) -> Iterator[tuple]:
-    """(doc id, item, start, end) in characters. Equal paragraphs of a shard are indexed once."""
+    """(doc id, item, start, end) in characters. Equal paragraphs of a shard are indexed once.
+
+    What goes across a paragraph's end is found in seams: the last SEAM words before the end and the first SEAM after it, over as many paragraphs as these take. Where a copy has 18 words in
+    one paragraph it is found there; what is shorter on both sides lies within the seam. Equal seams are indexed once as well, and only those with enough phrases for a find.
+    """
     ids: dict[str, int] = {}
     seen: dict[str, int] = {}
     texts: list[list[int]] = []
-    places: list[list[tuple[int, int]]] = []
+    #: by text its words with their places (word, start, end), in a seam (which paragraph, from the one after the seam; start, end), and how many of them lie before the seam (0: a paragraph)
+    places: list[list[tuple]] = []
+    before: list[int] = []
+    rows: dict[int, tuple[list[int], list[tuple]]] = {}  # by paragraph all its words
+    seams: dict[tuple, int] = {}  # (how many paragraphs before, paragraphs) to the seam's number
     docs: list[tuple] = []
-    total = 0
+    across: list[tuple] = []  # the same by seam
+    total = held = 0
+    phrases, get = np.sort(_mixed(items.seeds)), ids.get
 
     def flush() -> Iterator[tuple]:
-        nonlocal total
+        nonlocal total, held
         if texts:
+            add_seams()
             starts = np.cumsum([0, *[len(t) + 1 for t in texts[:-1]]])
             flat = np.array([w for t in texts for w in (*t, 0)], np.int64)
             finds: dict[int, list] = {}
-            for p, i, a, b in search_shard(flat, starts, items, model):
-                finds.setdefault(p, []).append((i, places[p][a][0], places[p][max(a, b - 1)][1]))
-            for doc, p, at in docs:
-                for i, a, b in finds.get(p, ()):
-                    yield doc, items.keys[i], at + a, at + b
-        seen.clear(), texts.clear(), places.clear(), docs.clear()
-        total = 0
+            for p, i, a, b in search_shard(flat, starts, items, model, np.array(before)):
+                if not before[p] or a < before[p] < b:
+                    finds.setdefault(p, []).append((i, places[p][a], places[p][max(a, b - 1)]))
+            for doc, p, ats in docs:
+                for i, (x, a, _), (y, _, b) in finds.get(p, ()):
+                    yield (doc, items.keys[i], ats[x] + a, ats[y] + b) if before[p] else (doc, items.keys[i], ats[0] + a, ats[0] + b)
+        seen.clear(), texts.clear(), places.clear(), docs.clear(), before.clear(), rows.clear(), seams.clear(), across.clear()
+        total = held = 0
+
+    def add(row: list[int], spots: list[tuple], left: int) -> int:
+        nonlocal total
+        texts.append(row), places.append(spots), before.append(left)
+        total += len(row) + 1
+        return len(texts) - 1
+
+    def add_seams() -> None:
+        """Seams with so many phrases that a find is possible become texts."""
+        flat: list[int] = []
+        lefts, ends = [], []
+        for n, *ps in seams:
+            a: list[int] = rows[ps[n - 1]][0][-SEAM:] if n == 1 else [k for p in ps[:n] for k in rows[p][0]][-SEAM:]
+            b = rows[ps[n]][0][:SEAM] if n + 1 == len(ps) else [k for p in ps[n:] for k in rows[p][0]][:SEAM]
+            flat += a
+            flat += b
+            lefts.append(len(a))
+            ends.append(len(flat))
+        if not flat or not len(phrases):
+            return
+        x, k = np.array(flat + [0] * model.seed), model.seed
+        grams = _mixed(np.stack([x[i : len(flat) + i] for i in range(k)], 1))
+        hit = phrases[np.minimum(np.searchsorted(phrases, grams), len(phrases) - 1)] == grams
+        stop = np.array(ends)
+        start = np.r_[0, stop[:-1]]
+        upto = np.r_[0, np.cumsum(hit)]
+        many = upto[np.maximum(stop - k + 1, start)] - upto[start] >= -(-model.seeded // k)
+        texts_of = {}
+        for q, (n, *ps) in enumerate(seams):
+            if many[q]:
+                spots = [(d - n, x, y) for d, p in enumerate(ps) for _, x, y in rows[p][1]]
+                first = sum(len(rows[p][0]) for p in ps[:n]) - lefts[q]
+                texts_of[q] = add(flat[int(start[q]) : int(stop[q])], spots[first : first + int(stop[q] - start[q])], lefts[q])
+        docs.extend((doc, texts_of[q], ats) for doc, q, ats in across if q in texts_of)
 
     for batch in batches:
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            at = 0
+            at, ps, ats = 0, [], []
             for m in [*PARAGRAPH.finditer(text or ""), None]:
                 par = text[at : m.start()] if m else (text or "")[at:]
                 p = seen.get(par)
                 if p is None:
-                    p, row, spots = len(texts), [], []
-                    for w, a, b in words(par):
-                        k = ids.get(w)
+                    row, spots, strange = [], [], 0
+                    for word in words(par):
+                        k = get(word[0])
                         if k is None:
                             if len(ids) > 1_000_000:  # a memo only
                                 ids.clear()
-                            k = ids[w] = items.ids.get(fold(w), 0)
-                        if k or not row or row[-1]:  # of words that no item has, a run counts as one
+                            k = ids[word[0]] = items.ids.get(fold(word[0]), 0)
+                        strange = 0 if k else strange + 1
+                        if strange <= STRANGE:
                             row.append(k)
-                            spots.append((a, b))
-                        else:
-                            spots[-1] = (spots[-1][0], b)
-                    if sum(map(bool, row)) < model.seeded:
-                        row, spots = [], []
-                    seen[par] = p
-                    texts.append(row), places.append(spots)
-                    total += len(row) + 1
+                            spots.append(word)
+                        else:  # of words that no item has, a long run counts as so many
+                            spots[-1] = (spots[-1][0], spots[-1][1], word[2])
+                    enough = sum(map(bool, row)) >= model.seeded
+                    p = seen[par] = add(row if enough else [], spots if enough else [], 0)
+                    rows[p] = (row, spots)
+                    held += len(row)
                 if texts[p]:
-                    docs.append((doc, p, at))
+                    docs.append((doc, p, (at,)))
+                if rows[p][0]:
+                    ps.append(p), ats.append(at)
                 at = m.end() if m else at
-            if total > model.shard_words:
+            sizes = [len(rows[p][0]) for p in ps]
+            for i in range(1, len(ps)):
+                lo, n = i - 1, sizes[i - 1]
+                while n < SEAM and lo > 0:
+                    lo -= 1
+                    n += sizes[lo]
+                hi, n = i + 1, sizes[i]
+                while n < SEAM and hi < len(ps):
+                    n += sizes[hi]
+                    hi += 1
+                key = (i - lo, *ps[lo:hi])
+                # places count from the paragraph after the seam; those before it are at the end of the tuple
+                across.append((doc, seams.setdefault(key, len(seams)), (*ats[i:hi], *ats[lo:i])))
+            if total > model.shard_words or held > 4 * model.shard_words:
                 yield from flush()
     yield from flush()
 
@@ -177,7 +259,7 @@ def _shards(batches: Iterator[pa.RecordBatch], items: Items, model: LeakModel) -
 def find_leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_id: str, passage: str, near: list[Column] | None = None, model: LeakModel = LeakModel()) -> DataFrame:
     """(doc_id, item_id, start, end): each place where a document holds a passage, wholly or in a stretch of some 18 words or more.
 
-    start and end are character positions in the text. Case, punctuation, accents, markup, escapes and wrong decoding don't matter; single words may differ. A passage under
+    start and end are character positions in the text. Case, punctuation, accents, markup, escapes and wrong decoding don't matter; single words may differ, and paragraphs may end within it. A passage under
     several item_ids is found under each. Null or empty texts and passages hold nothing; rows with a repeated doc_id are searched each. Empty tables give an
     empty result; extra columns are ignored.
 
@@ -202,9 +284,9 @@ def find_leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_i
         shared = spark.sparkContext.broadcast(rows)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            out = list(_shards(batches, Items(shared.value, model), model))
-            cols = list(zip(*out)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+            finds = _shards(batches, Items(shared.value, model), model)
+            while out := list(islice(finds, 10_000)):
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
         parts.append(src.mapInArrow(run, ddl))
     found = parts[0]

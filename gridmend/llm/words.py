@@ -68,6 +68,9 @@ def words(text: str) -> list[tuple[str, int, int]]:
     """(raw word, start, end) in order; of a link with a label the label counts, or its target where the label's words follow once more."""
     p = Places(text) if _ODD.search(text) else None
     s, out = p.text if p else text, []
+    if "<" not in s and "{" not in s and "[" not in s:  # no markup
+        out = [(m.group(), *m.span()) for m in _WORD.finditer(s)]
+        return [(w, p.original(a), p.original(b)) for w, a, b in out] if p else out
     for m in _TOKEN.finditer(s):
         c = s[m.start()]
         if c == "[":

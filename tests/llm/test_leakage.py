@@ -73,3 +73,24 @@ def test_each_of_two_copies_in_a_paragraph(spark):
     cut = [(d, texts[d][x:y].rstrip(".")) for d, x, y in got]
     assert [d for d, _ in cut] == [1, 1, 2, 2] and cut[0] == cut[1] == (1, PASSAGE.rstrip("."))
     assert cut[2][1].startswith(w[10]) and "other" not in cut[2][1] and cut[3][1].startswith(w[0]) and cut[3][1].endswith(w[17].rstrip(","))
+
+
+def test_copies_across_paragraphs(spark):
+    w = PASSAGE.split()
+    a, b, c = " ".join(w[:10]), " ".join(w[10:20]), " ".join(w[20:])
+    texts = {
+        1: f"Intro here.\n\n{a}\n\n{b} and so on.",
+        2: f"{a}\n\n{b}\n\n{c}",
+        3: "\n\n".join(" ".join(w[i : i + 4]) for i in range(0, len(w), 4)),
+        4: f"Quite another {' '.join(w[:5])}.\n\nAnd {' '.join(w[20:25])} again.",
+        5: f"{PASSAGE}\n\n{PASSAGE}",
+        6: f"{a}\n \nX y z\n\n{'filler word ' * 40}\n\n{b}",
+    }
+    df = spark.createDataFrame(list(texts.items()), "doc_id int, text string")
+    items = spark.createDataFrame([(1, PASSAGE)], "item_id int, passage string")
+    got = [(r["doc_id"], r["start"], r["end"]) for r in find_leaks(df, "doc_id", "text", items, "item_id", "passage").collect()]
+    assert {d for d, _, _ in got} == {1, 2, 3, 5}
+    cut = [texts[d][x:y] for d, x, y in got if d == 1]
+    assert cut == [f"{a}\n\n{b}".rstrip(",")]
+    assert sorted(texts[5][x:y] for d, x, y in got if d == 5) == [PASSAGE.rstrip(".")] * 2
+    assert removal_spans(find_leaks(df, "doc_id", "text", items, "item_id", "passage"), "doc_id", "item_id").where("doc_id = 3").count() == 1
