@@ -21,7 +21,10 @@ def quality(cells: DataFrame, logged: DataFrame) -> DataFrame:
 def gap_log(confident: DataFrame, cal: DataFrame) -> DataFrame:
     """The log's lines: bounds, strategy, confidence, and the days and occupancies met, joined in order of first appearance."""
     f = full_features(points(confident.select(*GAP, "gap_end", "gap_size", "y_l", "y_r")), cal)
-    seen = f.groupBy(*GAP).agg(F.sort_array(F.collect_set(F.struct("local_date", "day_of_week"))).alias("d"), F.sort_array(F.collect_set("occupancy_type")).alias("o"), F.bool_or("is_holiday").alias("has_holiday"))
+    seen = f.groupBy(*GAP).agg(F.sort_array(F.collect_set(F.struct("local_date", "day_of_week"))).alias("d"), F.bool_or("is_holiday").alias("has_holiday"))
+    # an occupancy's first slot in the gap gives its place
+    o = f.groupBy(*GAP, "occupancy_type").agg(F.min("slot").alias("s")).groupBy(*GAP).agg(F.sort_array(F.collect_list(F.struct("s", "occupancy_type"))).alias("o"))
+    seen = seen.join(o.select(*GAP, F.transform("o", lambda x: x["occupancy_type"]).alias("o")), GAP)
     days = F.array_join(F.array_distinct(F.transform("d", lambda x: x["day_of_week"])), ", ")
     return confident.select(*GAP, "gap_end", "gap_size", "strategy", "confidence").join(seen, GAP).select(*GAP, "gap_end", "gap_size", "strategy", "confidence", days.alias("days"), F.array_join("o", ", ").alias("occupancies"), "has_holiday")
 

@@ -299,4 +299,4 @@ def savgol(r: DataFrame, width: int = 21, degree: int = 3) -> DataFrame:
     x = r.withColumn("i", F.explode(F.sequence(F.lit(-h), F.lit(h))))
     weight = F.element_at(F.array(*[F.lit(float(c)) for c in coef]), h + 1 - F.col("i"))
     s = x.groupBy(*KEY, (F.col("slot") + F.col("i")).alias("slot")).agg(F.sum(F.col("value") * weight).alias("smooth"), F.count("*").alias("n"), F.max(F.when(F.col("i") == 0, F.col("value"))).alias("value"))
-    return s.where(F.col("n") == width).select(*KEY, "slot", "value", F.round("smooth", 3).alias("smooth"))
+    return s.where(F.col("n") == width).select(*KEY, "slot", "value", "smooth")

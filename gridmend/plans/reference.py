@@ -515,9 +515,17 @@ def validate_clip(s, d):
     return r.join(fills.medians(r), KEY).select(*KEY, "slot", fixed(fills.clip(F.col("value"), F.col("med"), F.col("top")), 3).alias("value"))
 
 
-@query()
+def _savgol(width: int = 21, degree: int = 3) -> str:
+    """The weights by the closed form for a cubic: 3 * (3 m^2 + 3 m - 1 - 5 i^2) / ((2 m - 1) (2 m + 1) (2 m + 3)), m slots on either side."""
+    m = width // 2
+    w = f"3.0 * (3 * {m} * {m} + 3 * {m} - 1 - 5 * i * i) / ((2 * {m} - 1) * (2 * {m} + 1) * (2 * {m} + 3))"
+    return R + f""", e AS (SELECT poste_id, site, slot + i AS slot, sum(value * {w}) AS smooth, count(*) AS n, max(value) FILTER (WHERE i = 0) AS value FROM r, range({-m}, {m + 1}) t(i) GROUP BY ALL)
+SELECT poste_id, site, slot, value, round(smooth + 1e-7, 3) AS smooth FROM e WHERE n = {width} AND value IS NOT NULL"""
+
+
+@query(_savgol())
 def savgol_smooth(s, d):
-    return fills.savgol(_r(s, d))
+    return fills.savgol(_r(s, d)).withColumn("smooth", fixed("smooth", 3))
 
 
 # ---- flags, audit, evaluation ------------------------------------------------------------------------------------------
@@ -537,7 +545,7 @@ def flag_counts(s, d):
 
 
 @query(CONF + feat("gp", "(SELECT poste_id, site, gap_start, unnest(generate_series(gap_start, gap_end - 1)) AS slot FROM rt)") + occ("go", "gp") + f""", dl AS (SELECT DISTINCT {GAPKEY}, local_date, day_of_week FROM go), fd AS (SELECT {GAPKEY}, day_of_week, min(local_date) AS first FROM dl GROUP BY ALL),
- ds AS (SELECT {GAPKEY}, string_agg(day_of_week, ', ' ORDER BY first) AS days FROM fd GROUP BY ALL), os AS (SELECT {GAPKEY}, array_to_string(list_sort(list_distinct(list(occupancy_type))), ', ') AS occupancies, bool_or(is_holiday) AS has_holiday FROM go GROUP BY ALL)
+ ds AS (SELECT {GAPKEY}, string_agg(day_of_week, ', ' ORDER BY first) AS days FROM fd GROUP BY ALL), oc AS (SELECT {GAPKEY}, occupancy_type, min(slot) AS first_slot, bool_or(is_holiday) AS hol FROM go GROUP BY ALL), os AS (SELECT {GAPKEY}, string_agg(occupancy_type, ', ' ORDER BY first_slot) AS occupancies, bool_or(hol) AS has_holiday FROM oc GROUP BY ALL)
  SELECT {GAPKEY}, gap_end, gap_size, strategy, confidence, days, occupancies, has_holiday FROM cf JOIN ds USING ({GAPKEY}) JOIN os USING ({GAPKEY})""")
 def gap_log(s, d):
     return audit.gap_log(_confident(s, d), _cal(s, d))
@@ -611,12 +619,14 @@ def upsert_columns(s, d):
     return audit.upsert(t, b, ["poste_id", "slot"])
 
 
-@query(POINTS + """, col AS (SELECT poste_id, site, slot, value, NULL AS gap_start FROM r UNION ALL SELECT poste_id, site, slot, 0.0, gap_start FROM p), cs AS (SELECT poste_id, site, median(value) AS med, stddev_samp(value) AS sd FROM col GROUP BY ALL HAVING count(*) >= 20)
+@query(POINTS + MED + """, ord AS (SELECT r.poste_id, r.site, slot, value FROM r JOIN med USING (poste_id, site) WHERE abs(value - med) <= 0.25 * med), zf AS (SELECT poste_id, site, slot, gap_start FROM p WHERE gap_size <= 3),
+ col AS (SELECT poste_id, site, slot, value, NULL AS gap_start FROM ord UNION ALL SELECT poste_id, site, slot, 0.0, gap_start FROM zf), cs AS (SELECT poste_id, site, median(value) AS med, stddev_samp(value) AS sd FROM col GROUP BY ALL HAVING count(*) >= 20)
 SELECT poste_id, site, gap_start, slot, value FROM col JOIN cs USING (poste_id, site) WHERE gap_start IS NOT NULL AND value <= 0.01 * med AND (value - med) / (sd + 1e-9) < -3""")
 def zero_fill_scan(s, d):
-    """Filled numbers that are implausibly near zero, of a column filled with zeros."""
+    """Filled numbers that are implausibly near zero, of columns of ordinary load (within a quarter of the median) whose short gaps are filled with zeros."""
     r = _rc(s, d)
-    return anomaly.zero_fills(r, fills.zero(series.gaps(r)))
+    usual = r.join(fills.medians(r), KEY).where(F.abs(F.col("value") - F.col("med")) <= 0.25 * F.col("med")).select(*KEY, "slot", "value")
+    return anomaly.zero_fills(usual, fills.zero(series.gaps(r).where("gap_size <= 3")))
 
 
 @query(POINTS + f", lf AS (SELECT poste_id, site, slot, {LINEAR} AS v FROM pk) SELECT w.poste_id, w.slot, round(coalesce(r.value, lf.v) + 1e-7, 3) AS value FROM w LEFT JOIN r ON r.poste_id = w.poste_id AND r.slot = w.slot AND r.site = 'Ptot_HA' LEFT JOIN lf ON lf.poste_id = w.poste_id AND lf.slot = w.slot AND lf.site = 'Ptot_HA'")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -41,9 +39,16 @@ def csv_window(spark: SparkSession, path: str, rows: int = WEEK, step_s: int = 6
     return t.drop("n")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path, or anything that its pattern matches, is there, asked of the file system that it names (or the session's default one)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def csv_history(spark: SparkSession, paths: list[str], column: str) -> DataFrame:
-    """(ts, value) of several CSV files with Date and the column; of a time in several rows the last file's last row counts. Missing files are skipped."""
-    parts = [spark.read.csv(p, header=True).select(F.try_to_timestamp("Date").alias("ts"), number(F.expr(f"try_cast(`{column}` AS DOUBLE)")).alias("value"), F.struct(F.lit(i).alias("f"), F.monotonically_increasing_id().alias("n")).alias("o")) for i, p in enumerate(paths) if Path(p).exists()]
+    """(ts, value) of several CSV files with Date and the column; of a time in several rows the last file's last row counts. Missing files are skipped, whatever file system their paths name."""
+    parts = [spark.read.csv(p, header=True).select(F.try_to_timestamp("Date").alias("ts"), number(F.expr(f"try_cast(`{column}` AS DOUBLE)")).alias("value"), F.struct(F.lit(i).alias("f"), F.monotonically_increasing_id().alias("n")).alias("o")) for i, p in enumerate(paths) if exists(spark, p)]
     if not parts:
         return spark.createDataFrame([], "ts timestamp, value double")
     both = parts[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,9 +15,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a local one is set only where the session names none (tests, one machine)."""
+    """The shared folder of the cluster, which the session names in spark.checkpoint.dir. Only a session on one machine that names none gets a local one; on a cluster that is an error."""
     jsc = spark.sparkContext._jsc.sc()
     if jsc.getCheckpointDir().isEmpty():
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-        spark.sparkContext.setCheckpointDir(named or "/tmp/gridmend-checkpoints")
+        if not named:
+            master = spark.sparkContext.master
+            if master != "local" and not master.startswith("local["):
+                raise RuntimeError("spark.checkpoint.dir names no folder that all executors share")
+            named = os.path.join(tempfile.gettempdir(), "gridmend-checkpoints")
+        spark.sparkContext.setCheckpointDir(named)
     return jsc.getCheckpointDir().get()
