@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -84,6 +85,12 @@ def align(a: np.ndarray, b: np.ndarray, rare: np.ndarray, named: float) -> tuple
     return best, end, last
 
 
+def at_most(a: np.ndarray, b: np.ndarray) -> int:
+    """A bound of align's score: text words that are the item's count 1, others take 1 away, over the best stretch of b."""
+    upto = np.r_[0, np.cumsum(2 * np.isin(b, a) - 1)]
+    return int((upto - np.minimum.accumulate(upto)).max())
+
+
 def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: LeakModel, before: np.ndarray | None = None) -> list[tuple[int, int, int, int]]:
     """(paragraph, item, first word, end word) of the finds; text holds the paragraphs' words from starts[p] on, each followed by a 0.
 
@@ -132,6 +139,8 @@ def search_shard(text: np.ndarray, starts: np.ndarray, items: Items, model: Leak
             todo = [(x, y)]
             while todo:
                 x, y = todo.pop()
+                if at_most(a, text[x:y]) < model.score:
+                    continue
                 score, end, upto_a = align(a, text[x:y], items.rare, model.named)
                 if score >= model.score:
                     _, begin, _ = align(a[:upto_a][::-1], text[x : x + end][::-1], items.rare, model.named)
@@ -285,8 +294,12 @@ def find_leaks(docs: DataFrame, doc_id: str, text: str, items: DataFrame, item_i
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             finds = _shards(batches, Items(shared.value, model), model)
-            while out := list(islice(finds, 10_000)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            gc.disable()  # nothing here refers to itself, and the collector would go over millions of words again and again
+            try:
+                while out := list(islice(finds, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+            finally:
+                gc.enable()
 
         parts.append(src.mapInArrow(run, ddl))
     found = parts[0]

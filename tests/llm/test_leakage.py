@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from gridmend.llm.fm_index import FMIndex, suffix_array
-from gridmend.llm.leakage import LeakModel, find_leaks, removal_spans
+from gridmend.llm.leakage import LeakModel, align, at_most, find_leaks, removal_spans
 from gridmend.llm.words import fold, words
 
 
@@ -94,3 +94,11 @@ def test_copies_across_paragraphs(spark):
     assert cut == [f"{a}\n\n{b}".rstrip(",")]
     assert sorted(texts[5][x:y] for d, x, y in got if d == 5) == [PASSAGE.rstrip(".")] * 2
     assert removal_spans(find_leaks(df, "doc_id", "text", items, "item_id", "passage"), "doc_id", "item_id").where("doc_id = 3").count() == 1
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 9), max_size=20), st.lists(st.integers(0, 12), max_size=30))
+def test_no_alignment_beats_its_bound(a, b):
+    rare = np.array([True, *[i % 3 == 0 for i in range(12)]])
+    a, b = np.array(a, np.int64), np.array(b, np.int64)
+    assert align(a, b, rare, 2.5)[0] <= at_most(a, b)
