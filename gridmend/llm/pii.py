@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import zlib
 from collections import Counter
@@ -281,13 +282,17 @@ def find_personal(docs: DataFrame, doc_id: str, text: str, model: Weights, near:
             cols[1] = [[dict(zip(("kind", "start_pos", "end_pos"), x)) for x in xs] for xs in cols[1]]
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-        for row in _scan(batches, shared.value, masked, memory):
-            out.append(row)
-            if len(out) >= 1000:
+        gc.disable()  # nothing here refers to itself, and the collector would go over all lines remembered again and again
+        try:
+            for row in _scan(batches, shared.value, masked, memory):
+                out.append(row)
+                if len(out) >= 1000:
+                    yield batch()
+                    out = []
+            if out:
                 yield batch()
-                out = []
-        if out:
-            yield batch()
+        finally:
+            gc.enable()
 
     ddl = f"id {kind.simpleString()}, found array<struct<kind: string, start_pos: bigint, end_pos: bigint>>, clean string"
     return src.mapInArrow(run, ddl).withColumnRenamed("id", doc_id)
