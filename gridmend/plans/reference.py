@@ -551,9 +551,32 @@ def gap_log(s, d):
     return audit.gap_log(_confident(s, d), _cal(s, d))
 
 
+_ISO = "strftime({l}, '%Y-%m-%dT%H:%M:%S') || '+0' || CAST((epoch({l}) - {s} * 600) // 3600 AS INTEGER) || '00'"
+BOUNDS = ", bd AS (SELECT poste_id, site, round(CASE WHEN count(*) < 10 THEN 0.0 ELSE greatest(0.0, avg(value) - 2 * stddev_samp(value)) END + 1e-6, 2) AS lower, round(CASE WHEN count(*) < 10 THEN 1.5 * max(value) ELSE avg(value) + 2 * stddev_samp(value) END + 1e-6, 2) AS upper FROM r GROUP BY ALL)"
+
+
+@query(CONF + PEER.removeprefix(R) + BOUNDS + feat("gp", "(SELECT poste_id, site, gap_start, unnest(generate_series(gap_start, gap_end - 1)) AS slot FROM rt)") + occ("go", "gp") + f""", fd AS (SELECT {GAPKEY}, day_of_week, min(local_date) AS first FROM go GROUP BY ALL),
+ ds AS (SELECT {GAPKEY}, string_agg(day_of_week, ', ' ORDER BY first) AS unique_days FROM fd GROUP BY ALL), hs AS (SELECT {GAPKEY}, count(*) FILTER (WHERE is_holiday) AS holiday_slots FROM go GROUP BY ALL)
+ SELECT {GAPKEY}, gap_end, gap_size * 10 AS gap_size_minutes, {_ISO.format(l=_LOCAL.format(s="gap_start"), s="gap_start")} AS first_missing, {_ISO.format(l=_LOCAL.format(s="(gap_end - 1)"), s="(gap_end - 1)")} AS last_missing,
+  unique_days, holiday_slots, strategy, confidence, concat_ws(' -> ', 'START: size=' || gap_size || ', tier=' || tier,
+   CASE WHEN strategy = 'MULTI_WEEK_TEMPLATE' THEN 'BRANCH: MULTI_WEEK_TEMPLATE (longer than a chunk)' WHEN strategy = 'MICE' THEN 'BRANCH: ML_CASCADE (size>50, non-entry) -> TRY: MICE' WHEN tier = 'sub' AND parent_present THEN 'BRANCH: PEER_CORRELATION (sub-meter)'
+    WHEN tier = 'sub' THEN 'BRANCH: PEER_CORRELATION (sub-meter) -> SKIP: parent has no data in gap window' END,
+   CASE WHEN strategy = 'LINEAR_MICRO' THEN 'BRANCH: LINEAR_MICRO (size<=3)' WHEN strategy = 'LINEAR_SHORT' THEN 'BRANCH: LINEAR_SHORT (size<=18)' WHEN strategy LIKE 'WEEKEND%' THEN 'BRANCH: WEEKEND_TEMPLATE (' || day_type || ')'
+    WHEN strategy = 'THERMAL_TEMPLATE' THEN 'BRANCH: THERMAL_TEMPLATE (non-entry, <=1 day)' WHEN strategy = 'ENHANCED_TEMPLATE' THEN 'BRANCH: ENHANCED_TEMPLATE (non-entry, >1 day)' WHEN strategy = 'SAFE_LINEAR_MEDIAN' THEN 'BRANCH: SAFE_LINEAR_MEDIAN (entry meter fallback)' END,
+   'SELECTED: ' || strategy || ' (confidence=' || CAST(round(confidence + 1e-7, 3) AS DOUBLE) || ')') AS routing_trace, CASE WHEN strategy = 'PEER_CORRELATION' THEN ratio END AS peer_ratio, lower, upper
+ FROM cf JOIN ds USING ({GAPKEY}) JOIN hs USING ({GAPKEY}) LEFT JOIN ratio USING (poste_id, site) LEFT JOIN bd USING (poste_id, site)""")
+def gap_details(s, d):
+    r = _rc(s, d)
+    c = router.with_confidence(_routed(s, d, r=r), _cal(s, d))
+    x = audit.gap_details(c, _cal(s, d), lookups.peer_ratio(r, _meters(s, d)), lookups.uncertainty_bounds(r))
+    return x.withColumns({"lower": fixed("lower", 2), "upper": fixed("upper", 2)})
+
+
 @query()
 def gap_records(s, d):
-    return audit.gap_records(_confident(s, d))
+    r = _rc(s, d)
+    c = router.with_confidence(_routed(s, d, r=r), _cal(s, d))
+    return audit.gap_records(c, _cal(s, d), lookups.weekly_templates(features.datetime_features(r)), lookups.peer_ratio(r, _meters(s, d)), lookups.uncertainty_bounds(r))
 
 
 @query(CONF + """ SELECT poste_id, site, count(*) AS gaps, CAST(sum(gap_size) AS BIGINT) AS missing_slots, array_to_string(list_sort(list_distinct(list(strategy))), ', ') AS methods, round(avg(confidence) + 1e-8, 4) AS mean_confidence, min(confidence) AS min_confidence, count(*) FILTER (WHERE confidence < 0.5) AS low_confidence FROM cf GROUP BY ALL""")
