@@ -387,7 +387,8 @@ def flag_spikes(df: DataFrame, row_id: str, source: str, time: str, channels: li
     slot = F.pmod(floordiv(F.col("t"), model.step_us), F.lit(n_slots)).cast("int")
     prof = r.groupBy("src", slot.alias("slot")).agg(*[F.percentile_approx(F.when(F.col(f"v{i}") > 0, F.col(f"v{i}")), 0.5, 500).alias(f"p{i}") for i in range(len(channels))])
     lists = [F.collect_list(F.coalesce(F.col(c).cast("double"), F.lit(float("nan")))).alias(c) for c in ("slot", *[f"p{i}" for i in range(len(channels))])]
-    prof = prof.groupBy("src").agg(*lists)
+    checkpoint_dir(df.sparkSession)
+    prof = prof.groupBy("src").agg(*lists).checkpoint()  # a row a source, read by both passes
     lo, hi = floordiv(F.col("t") - halo, size), floordiv(F.col("t") + halo, size)
     blocks = r.withColumn("block", F.explode(F.sequence(lo, hi)))
     known = r.select("src", floordiv(F.col("t"), size).alias("block")).distinct()
@@ -417,7 +418,6 @@ def flag_spikes(df: DataFrame, row_id: str, source: str, time: str, channels: li
 
     kind_of = df.schema[source].dataType.simpleString()
     counts = beside(prof).applyInPandas(count, f"src {kind_of}, channel int, kind int, bin int, n double").groupBy("src", "channel", "kind", "bin").agg(F.sum("n").alias("n"))
-    checkpoint_dir(df.sparkSession)
     sums = counts.groupBy("src").agg(F.collect_list(F.struct(*[F.col(c).cast("double").alias(c) for c in ("channel", "kind", "bin", "n")])).alias("counts")).checkpoint()
 
     def histograms(rows: list) -> list[list[np.ndarray]]:
