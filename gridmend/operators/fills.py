@@ -158,6 +158,30 @@ def prior_week(g: DataFrame, r: DataFrame) -> DataFrame:
     return points(g).join(w, [*KEY, "slot"], "left").select(*OUT, "value")
 
 
+def smoother_gains(n: int) -> tuple[list[float], list[float]]:
+    """Of a random walk's smoother with all variances 1 the filter's gain at each of n cells and the share by which a cell follows the one after it; they don't depend on the readings."""
+    gain, back, p = [], [], None
+    for _ in range(n + 1):
+        ahead = 1.0 if p is None else p + 1
+        if p is not None:
+            back.append(p / ahead)
+        k = ahead / (ahead + 1)
+        p = (1 - k) * ahead
+        gain.append(k)
+    return gain, back
+
+
+def smooth_cells(y: list[float]) -> list[float]:
+    gain, back = smoother_gains(len(y))
+    out, f = [], 0.0
+    for v, k in zip(y, gain):
+        f += k * (v - f)
+        out.append(f)
+    for i in range(len(y) - 2, -1, -1):
+        out[i] += back[i] * (out[i + 1] - out[i])
+    return out
+
+
 def kalman(r: DataFrame, g: DataFrame, block: int = 1008, halo: int = 64) -> DataFrame:
     """Random-walk smoother (all variances 1, start 0) over a series in which empty cells count as 0; its numbers at the empty cells.
 
@@ -170,16 +194,8 @@ def kalman(r: DataFrame, g: DataFrame, block: int = 1008, halo: int = 64) -> Dat
 
     def smooth(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("slot")
-        y = rows["value"].fillna(0.0).to_numpy()
-        n = len(y)
-        m, p, mp, pp = np.empty(n), np.empty(n), np.empty(n), np.empty(n)
-        for i in range(n):
-            # before a block's first cell the filter has long forgotten its start
-            mp[i], pp[i] = (0.0, 1.0) if i == 0 else (m[i - 1], p[i - 1] + 1)
-            k = pp[i] / (pp[i] + 1)
-            m[i], p[i] = mp[i] + k * (y[i] - mp[i]), (1 - k) * pp[i]
-        for i in range(n - 2, -1, -1):
-            m[i] += p[i] / pp[i + 1] * (m[i + 1] - mp[i + 1])
+        # before a block's first cell the filter has long forgotten its start
+        m = np.array(smooth_cells(rows["value"].fillna(0.0).tolist()))
         lo = int(key[2]) * block
         keep = (rows["value"].isna() & (rows["slot"] >= lo) & (rows["slot"] < lo + block)).to_numpy()
         out = rows.loc[keep, ["poste_id", "site", "gap_start", "slot"]].copy()
