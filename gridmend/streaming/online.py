@@ -27,3 +27,25 @@ def upsert_batches(stream: DataFrame, read: Callable[[], DataFrame], write: Call
 
     w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if once else w).start()
+
+
+def upsert_days(stream: DataFrame, path: str, keys: list[str], day: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Merges each micro-batch into the parquet table at path, which is kept in folders by the column day (one of the keys).
+
+    Only the days that a batch touches are read and written again (dynamic partition overwrite), whatever the table's size; a batch that is replayed leaves the same table.
+    Of several rows of a batch with the same keys any one counts.
+    """
+    from gridmend.operators.audit import upsert
+    from gridmend.sources.files import exists
+
+    def merge(batch: DataFrame, _: int) -> None:
+        spark = batch.sparkSession
+        new = batch.dropDuplicates(keys)
+        if exists(spark, f"{path}/{day}=*"):
+            days = [r[0] for r in new.select(day).distinct().collect()]  # those of one batch
+            old = spark.read.schema(new.schema).parquet(path).where(F.col(day).isin(days))
+            new = upsert(old, new, keys).select(*new.columns)
+        new.write.partitionBy(day).option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(path)
+
+    w = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    return (w.trigger(availableNow=True) if once else w).start()
