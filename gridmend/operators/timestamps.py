@@ -202,6 +202,8 @@ def normalise(lines: DataFrame, loggers: DataFrame, line_id: str = "line_id", so
 
     def solve(rows: list[tuple]) -> Iterator[tuple]:
         lo, alone = rows[0][1] * chunk, rows[0][1] <= ALONE
+        if not alone and (rows[0][2] >= lo + chunk or rows[-1][2] < lo):
+            return  # a chunk of others' margins only
         options = [interpretations(x[4], x[5], x[6]) for x in rows]
         chosen = [viterbi([x])[0] for x in options] if alone else viterbi(options)
         for x, opts, k in zip(rows, options, chosen):
