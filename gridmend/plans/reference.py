@@ -401,7 +401,17 @@ def fixed_chunks(s, d):
     return router.fixed_chunks(series.gaps(_r(s, d)))
 
 
-@query()
+_AT = _LOCAL.format(s="(chunk_start + n)")
+SMART = (FEAT + WEEKLY + GAPS.removeprefix(R) + f""", dv AS (SELECT poste_id, site, day_of_week, stddev_pop(tpl) AS day_std FROM wk GROUP BY ALL), fs AS (SELECT poste_id, min(site) AS site FROM dv GROUP BY ALL), v AS (SELECT dv.* FROM dv JOIN fs USING (poste_id, site)),
+ vm AS (SELECT poste_id, median(day_std) AS med FROM v GROUP BY ALL), vol AS (SELECT poste_id, list(day_of_week) AS days FROM v JOIN vm USING (poste_id) WHERE day_std > 1.3 * med GROUP BY ALL),
+ lg AS (SELECT g.poste_id, g.site, gap_start, gap_end, coalesce(days, []) AS days FROM g LEFT JOIN vol USING (poste_id) WHERE gap_size > 96),
+ rec AS (SELECT poste_id, site, gap_start, gap_end, days, 0 AS chunk_index, gap_start AS chunk_start FROM lg
+  UNION ALL SELECT poste_id, site, gap_start, gap_end, days, chunk_index + 1, min(chunk_start + n) FROM rec, range(1, 145) t(n)
+   WHERE chunk_start + n < gap_end AND (n >= 144 OR (list_contains(days, dayname({_AT})) AND n > 0.8 * 96) OR (hour({_AT}) = 0 AND minute({_AT}) = 0 AND n >= 96)) GROUP BY poste_id, site, gap_start, gap_end, days, chunk_index)
+SELECT {GAPKEY}, CAST(chunk_index AS INTEGER) AS chunk_index, chunk_start, coalesce(lead(chunk_start) OVER (PARTITION BY {GAPKEY} ORDER BY chunk_index), gap_end) AS chunk_end FROM rec""").replace("WITH w AS", "WITH RECURSIVE w AS", 1)
+
+
+@query(SMART)
 def smart_chunks(s, d):
     r = _rc(s, d)
     return router.smart_chunks(series.gaps(r), lookups.day_variance(lookups.weekly_templates(features.datetime_features(r))))
@@ -492,10 +502,18 @@ def fill_mice(s, d):
     return fills.mice_gaps(w, series.gaps(series.long(w)))
 
 
-@query()
+#: The smoother's closed form: -x[i-1] + 3 x[i] - x[i+1] = y[i], 0 before the first cell and level after the last; q = (3 - sqrt 5) / 2 a cell, mirrored at both ends.
+_Q = "((3 - sqrt(5.0)) / 2)"
+KALMAN = POINTS + f""", fl AS (SELECT poste_id, site, min(slot) AS lo, max(slot) AS hi FROM r GROUP BY ALL),
+ y AS (SELECT poste_id, site, slot + d AS slot, slot AS j, value, d FROM r, range(-44, 45) t(d))
+SELECT p.poste_id, p.site, p.gap_start, p.slot, round(coalesce(sum(y.value * (pow({_Q}, abs(d)) - pow({_Q}, p.slot + j - 2 * lo + 2) + pow({_Q}, 2 * hi + 1 - p.slot - j))), 0) / sqrt(5.0) + 1e-7, 3) AS value
+FROM p JOIN fl USING (poste_id, site) LEFT JOIN y USING (poste_id, site, slot) GROUP BY ALL"""
+
+
+@query(KALMAN)
 def fill_kalman(s, d):
     r = _rc(s, d)
-    return fills.kalman(r, series.gaps(r))
+    return fills.kalman(r, series.gaps(r)).withColumn("value", fixed("value", 3))
 
 
 @query(POINTS + f" SELECT {GAPKEY}, slot, CAST(0.0 AS DOUBLE) AS value FROM pk")
