@@ -445,17 +445,19 @@ def flag_spikes(df: DataFrame, row_id: str, source: str, time: str, channels: li
         for f in frames:
             yield pd.DataFrame({"src": f["src"], "fitted": [np.concatenate([fit_source(h, pooled, model) for h in histograms(rows)]) for rows in f["counts"]]})
 
+    nothing = fit_source([np.zeros(n) for n in SIZES], pooled, model)
     fitted = sums.mapInPandas(fit, f"src {kind_of}, fitted array<double>")
 
     def run(key: tuple, rows: pd.DataFrame, usual_rows: pd.DataFrame) -> pd.DataFrame:
         parts = []
         for i, ids, t, v, mine, profile in channel_of(key, rows, usual_rows):
             if mine.any():
-                of = np.split(np.asarray(usual_rows["fitted"][0], float), len(channels))[i]
+                own = usual_rows["fitted"][0]  # none where no number of the source is possible at all
+                of = nothing if own is None else np.split(np.asarray(own, float), len(channels))[i]
                 state, p = judge(t, v, profile, model, of, pooled)
                 parts.append(pd.DataFrame({"id": ids[mine], "channel": np.int32(i), "number": v[mine], "state": state[mine].astype("int32"), "p_wrong": p[mine]}))
         return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"id": pd.Series(dtype="int64"), "channel": pd.Series(dtype="int32"), "number": pd.Series(dtype=float), "state": pd.Series(dtype="int32"), "p_wrong": pd.Series(dtype=float)})
 
-    got = beside(prof.join(fitted, "src")).applyInPandas(run, f"id {df.schema[row_id].dataType.simpleString()}, channel int, number double, state int, p_wrong double")
+    got = beside(prof.join(fitted, "src", "left")).applyInPandas(run, f"id {df.schema[row_id].dataType.simpleString()}, channel int, number double, state int, p_wrong double")
     label = F.element_at(F.array(*[F.lit(c) for c in channels]), F.col("channel") + 1)
     return got.select(F.col("id").alias(row_id), label.alias("channel"), "number", F.element_at(F.array(*[F.lit(x) for x in NAMES]), F.col("state") + 1).alias("state"), "p_wrong")

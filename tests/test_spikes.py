@@ -129,3 +129,10 @@ def test_small_and_empty(spark):
     assert flag_spikes(df.limit(0), "id", "src", "Date", ["a"]).count() == 0
     with pytest.raises(ValueError):
         flag_spikes(df, "id", "src", "Date", [])
+
+
+def test_a_source_of_impossible_numbers_only(spark):
+    rows = [(i, 1, T0 + timedelta(minutes=10 * i), -5.0, None) for i in range(50)] + [(100 + i, 2, T0 + timedelta(minutes=10 * i), 10.0 + i % 3, float("inf")) for i in range(50)]
+    df = spark.createDataFrame(rows, "id bigint, src int, Date timestamp_ntz, a double, b double")
+    out = {(r["id"], r["channel"]): r["state"] for r in flag_spikes(df, "id", "src", "Date", ["a", "b"]).collect()}
+    assert len(out) == 150 and all(out[i, "a"] == "out_of_range" and out[100 + i, "b"] == "out_of_range" for i in range(50))
