@@ -192,21 +192,15 @@ def _hazards(runs: np.ndarray, prior: np.ndarray, pull: float) -> np.ndarray:
     return np.r_[0.0, np.clip((longer + pull * prior[1:]) / (upto[1:] + pull), 1e-4, 0.999)]
 
 
-def _ages(h: np.ndarray, upto: np.ndarray, enough: int = 5) -> np.ndarray:
-    """A repeat in order that has become long ends ever more likely: hazards fall from the greatest that `enough` repeats bear out, and are at most a half where none does."""
-    h = h.copy()
-    known = np.flatnonzero(upto[2:] >= enough)
-    if not len(known):
-        return np.r_[h[:2], np.minimum(h[2:], 0.5)]
-    top = 2 + int(np.argmax(h[2 : known[-1] + 3]))
-    h[top:] = np.minimum.accumulate(h[top:])
-    return h
+def _ages(h: np.ndarray, long: int = 8) -> np.ndarray:
+    """A repeat in order that has become long doesn't go on more surely than those of middling length did: what stands still would else pass for order, the surer the more of it there is."""
+    return np.r_[h[: long + 1], np.minimum(h[long + 1 :], h[long // 2 + 1 : long + 1].max())]
 
 
 def fit_runs(runs: np.ndarray, leave: float, passes: int = 60) -> tuple[np.ndarray, np.ndarray, float]:
     """(hazards in order, share of the repeats of each length that stand still, such repeats a reading) of two kinds of repeats, by EM.
 
-    Ordinary ones have a free hazard that falls once they are long; those of a channel that stands still are geometric.
+    Ordinary ones have a hazard by length, bounded once they are long (_ages); those of a channel that stands still are geometric.
     """
     k = np.arange(len(runs))
     n = max(1.0, (runs * k).sum())
@@ -215,8 +209,7 @@ def fit_runs(runs: np.ndarray, leave: float, passes: int = 60) -> tuple[np.ndarr
     w, rho = np.zeros(len(runs)), 1e-3
     for _ in range(passes):
         o = runs * (1 - w)
-        upto = np.cumsum(o[::-1])[::-1]
-        h = _ages(_hazards(o, np.full(len(runs), max(0.5, o[2:].sum() / max(1.0, o.sum()))), 1.0), upto)
+        h = _ages(_hazards(o, np.full(len(runs), max(0.5, o[2:].sum() / max(1.0, o.sum()))), 1.0))
         p = np.r_[0.0, np.cumprod(np.r_[1.0, h[1:-1]]) * (1 - h[1:])]
         p[-1] = p[-1] / max(1e-9, 1 - h[-1])
         w = rho * stuck / np.maximum(rho * stuck + (1 - rho) * p, 1e-300)
