@@ -18,8 +18,8 @@ import numpy as np
 
 O, B, I = range(3)
 TOKEN = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*|\d+|[^\w\s]|_+")
-#: The same and the spaces between, so that places follow from lengths.
-_ALL = re.compile(TOKEN.pattern + r"|\s+")
+#: The same and the spaces between, so that places follow from lengths; what is frequent comes first, and the end of a line stands alone.
+_ALL = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*|[^\S\n]+|\d+|[^\w\s]|_+|\n")
 #: Hashed features; a mask of what stands around a token: space before, space after, first of its line, last of it.
 WIDTH = 1 << 16
 ROLES = ("here", "before", "before2", "after")
@@ -125,13 +125,30 @@ class Weights:
 
 
 class _Rows(dict):
-    """Token to its row in the tables; a new one gets a row on first sight."""
+    """Token to its row in the tables; a new one gets a row on first sight. Row 0 stands between lines, row 1 for all spaces; fresh: tokens whose rows aren't filled yet."""
 
-    def __init__(self, scorer: "Scorer"):
-        self.scorer = scorer
+    def __init__(self):
+        super().__init__({"\n": 0})
+        self.last, self.fresh = 1, []
 
     def __missing__(self, token: str) -> int:
-        return self.scorer.add(token)
+        if token.isspace():
+            self[token] = 1
+            return 1
+        k = self.last = self[token] = self.last + 1
+        self.fresh.append(token)
+        return k
+
+
+class _Codes(dict):
+    """Feature of a role to its hash."""
+
+    def __init__(self, role: str):
+        self.role = role
+
+    def __missing__(self, name: str) -> int:
+        k = self[name] = _ids(self.role, [name])[0]
+        return k
 
 
 class Scorer:
@@ -139,28 +156,35 @@ class Scorer:
 
     def __init__(self, weights: Weights, most: int = 400_000):
         self.w, self.most = weights, most
+        self.joins = np.zeros(0, bool)  # of the tokens scored last, which skip edges may join
         self._clear()
 
     def _clear(self) -> None:
-        self.at = _Rows(self)
-        # row 0 stands between lines, row 1 for all spaces; kinds: 0 these, 1 a word, number or sign, 2 a pattern's find
-        self.at["\n"], self.last = 0, 1
+        self.at, self.codes = _Rows(), [_Codes(role) for role in ROLES]
         self.tables = [np.zeros((1024, 3), np.float32) for _ in ROLES]
-        self.kinds = np.zeros(1024, np.int8)
-
-    def add(self, token: str) -> int:
-        if token.isspace():
-            self.at[token] = 1
-            return 1
-        k = self.last = self.at[token] = self.last + 1
-        if k >= len(self.kinds):
+        # by row whether it is a pattern's find, and whether skip edges may join it
+        self.finds, self.keyed = np.zeros(1024, bool), np.zeros(1024, bool)
+
+    def _fill(self) -> None:
+        """The rows of the tokens met for the first time."""
+        fresh, self.at.fresh = self.at.fresh, []
+        if not fresh:
+            return
+        first = self.at.last + 1 - len(fresh)
+        while self.at.last >= len(self.finds):
             self.tables = [np.concatenate([t, np.zeros_like(t)]) for t in self.tables]
-            self.kinds = np.concatenate([self.kinds, np.zeros_like(self.kinds)])
-        self.kinds[k] = 2 if token[0] == "<" and len(token) > 1 else 1
-        for t, (role, names) in zip(self.tables, attributes(token, self.w.common, self.w.given).items()):
-            if names:
-                t[k] = self.w.emit[_ids(role, names)].sum(0)
-        return k
+            self.finds, self.keyed = (np.concatenate([x, np.zeros_like(x)]) for x in (self.finds, self.keyed))
+        names = [list(attributes(t, self.w.common, self.w.given).values()) for t in fresh]
+        for r, (table, code) in enumerate(zip(self.tables, self.codes)):
+            if len(code) > self.most:
+                code.clear()
+            n = np.array([len(x[r]) for x in names])
+            if n.any():
+                ids = [code[x] for xs in names for x in xs[r]]
+                table[first + np.flatnonzero(n)] = np.add.reduceat(self.w.emit[ids], (np.cumsum(n) - n)[n > 0], axis=0)
+        rows = slice(first, first + len(fresh))
+        self.finds[rows] = [t[0] == "<" and len(t) > 1 for t in fresh]
+        self.keyed[rows] = self.finds[rows] | [keys_of(t)[0] is not None for t in fresh]
 
     def potentials(self, lines: list[tuple[str, list[tuple[int, int, str]]]]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Of lines given as text and patterns' finds: all tokens with the spaces, starts and ends of these in their lines, which of them are no spaces, and of those the line and the
@@ -168,24 +192,35 @@ class Scorer:
         if len(self.at) > self.most:
             self._clear()
         tokens: list[str] = []
-        lengths: list[int] = []
+        found: list[tuple[int, int]] = []  # (token, its length) of patterns' finds
+        plain: list[str] = []
         for text, spans in lines:
+            if "\n" in text:  # from an escape; it ends no line
+                text = text.replace("\n", " ")
+            if not spans:
+                plain.append(text)
+                continue
+            if plain:
+                tokens += _ALL.findall("\n".join([*plain, ""]))
+                plain = []
             at = 0
             for a, b, name in spans:
-                part = _ALL.findall(text[at:a])
-                tokens += part
-                lengths += map(len, part)
+                tokens += _ALL.findall(text[at:a])
+                found.append((len(tokens), b - a))
                 tokens.append(f"<{name}>")
-                lengths.append(b - a)
                 at = b
-            part = _ALL.findall(text[at:] if at else text)
-            tokens += part
-            lengths += map(len, part)
+            tokens += _ALL.findall(text[at:])
             tokens.append("\n")
-            lengths.append(0)
+        if plain:
+            tokens += _ALL.findall("\n".join([*plain, ""]))
         ids = np.fromiter(map(self.at.__getitem__, tokens), np.int64, len(tokens))
-        end = np.cumsum(np.fromiter(lengths, np.int64, len(tokens)))
-        start = end - np.array(lengths)
+        self._fill()
+        length = np.fromiter(map(len, tokens), np.int64, len(tokens))
+        length[ids == 0] = 0
+        if found:
+            length[[i for i, _ in found]] = [n for _, n in found]
+        end = np.cumsum(length)
+        start = end - length
         stop = ids == 0
         line = np.cumsum(stop) - stop
         base = np.r_[0, end[stop]]  # where each line begins in all of them
@@ -202,7 +237,8 @@ class Scorer:
         first, last = np.r_[True, of[1:] != of[:-1]], np.r_[of[1:] != of[:-1], True]
         if len(real):
             u += self.w.mask[(space_before & ~first) | (space_after & ~last) << 1 | first << 2 | last << 3]
-            u[self.kinds[ids[real]] == 2, I] = -1e9
+            u[self.finds[ids[real]], I] = -1e9
+        self.joins = self.keyed[ids[real]]
         return tokens, real, start - base[line], end - base[line], of, u
 
 
@@ -254,7 +290,7 @@ class Chains:
         self.least = -(weights.gain + float(np.abs(weights.skip).max())) - 1.0
 
     def runs(self, lines: list[tuple[str, list[tuple[int, int, str]]]], keys: list[dict[int, str]]) -> list[list[Run]]:
-        """Of each line (text, patterns' finds) its runs; keys: by line the skip key of each find by its start."""
+        """Of each line (text, patterns' finds) its runs, but for those that no skip edge can join and that hold no entity by themselves; keys: by line the skip key of each find by its start."""
         out: list[list[Run]] = [[] for _ in lines]
         tokens, real, start, end, line, u = self.scorer.potentials(lines)
         if not len(real):
@@ -262,14 +298,21 @@ class Chains:
         at = np.flatnonzero(np.maximum(u[:, B], u[:, I]) - u[:, O] > self.least)
         if not len(at):
             return out
-        cuts = np.flatnonzero((np.diff(at) > 1) | (np.diff(line[at]) > 0)) + 1
-        for part in np.split(at, cuts):
-            k = int(line[part[0]])
-            us = [tuple(x) for x in u[part].tolist()]
-            where = real[part].tolist()
-            texts, places = [tokens[i] for i in where], [(int(start[i]), int(end[i])) for i in where]
-            of = [(keys[k].get(a), None, None) if len(t) > 1 and t[0] == "<" else keys_of(t) for t, (a, _) in zip(texts, places)]
-            out[k].append(Run(us, places, texts, of, marginals(us, self.move)))
+        first = np.r_[True, (np.diff(at) > 1) | (np.diff(line[at]) > 0)]
+        # a token alone that no edge may join and that is surely no entity needs no run
+        m, v = self.w.move, u[at].astype(float)
+        lean = np.maximum(v[:, B] + m[O, B] + m[B, O], v[:, I] + m[O, I] + m[I, O]) - v[:, O] - 2 * m[O, O]
+        use = ~(first & np.r_[first[1:], True] & ~self.scorer.joins[at] & (lean < -1e-3))
+        at, first, v = at[use], np.flatnonzero(first[use]).tolist(), [tuple(x) for x in v[use].tolist()]
+        where = real[at]
+        texts, places = [tokens[i] for i in where.tolist()], list(zip(start[where].tolist(), end[where].tolist()))
+        of = line[at].tolist()
+        for a, b in zip(first, [*first[1:], len(v)]):
+            k = of[a]
+            ks = [(keys[k].get(x), None, None) if len(t) > 1 and t[0] == "<" else keys_of(t) for t, (x, _) in zip(texts[a:b], places[a:b])]
+            alone = marginals(v[a:b], self.move)
+            if any(x[0] is not None for x in ks) or any(max(c[B], c[I]) > c[O] for c in alone):
+                out[k].append(Run(v[a:b], places[a:b], texts[a:b], ks, alone))
         return out
 
     def decide(self, lines: list[tuple[int, list[Run]]], rounds: int = 6) -> list[list[tuple[str, int, int, int, float]]]:

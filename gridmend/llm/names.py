@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ COMMON_GIVEN = frozenset(
 TITLES = frozenset("dr mme frau herr mr mrs ms prof mlle sir lady saint sainte sankt st".split())
 PARTICLES = frozenset("van von de du der den zu le la di da ten ter".split())
 _CAP = r"[A-ZÀ-ÖØ-Þ][\w'’\-]*[^\W\d_]"
-_PAIR = re.compile(rf"(?<![\w'’\-])({_CAP}),? (?:[A-Z]\. )?(?:(?:van|von|de|du|der|den|di|da|le|la) |d['’])*(?=({_CAP}))")
+#: What stands before the first word is looked at after its first letter, so that the search can hop from capital to capital.
+_PAIR = re.compile(rf"([A-ZÀ-ÖØ-Þ](?<![\w'’\-].)[\w'’\-]*[^\W\d_]),? (?:[A-Z]\. )?(?:(?:van|von|de|du|der|den|di|da|le|la) |d['’])*(?=({_CAP}))")
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-][^\W\d_]+)*")
 
 
@@ -39,12 +41,15 @@ def _counted(lines: Iterator[tuple], most: int) -> Iterator[tuple]:
         yield from ((w, "", n if cap else 0, 0 if cap else n) for (w, cap), n in low.items())
         yield from ((a, b, n, turned[a, b]) for (a, b), n in pairs.items())
 
-    for (line,) in lines:
-        words.update(_WORD.findall(line))
-        for m in _PAIR.finditer(line):
-            pair = m.group(1).lower(), m.group(2).lower()
+    while part := list(islice(lines, 256)):
+        text = "\n".join([x for (x,) in part])  # neither words nor pairs go over the end of a line
+        words.update(_WORD.findall(text))
+        for m in _PAIR.finditer(text):
+            first, second = m.groups()
+            pair = first.lower(), second.lower()
             pairs[pair] += 1
-            turned[pair] += m.group(1).isupper() or line[m.end(1)] == ","
+            if text[m.end(1)] == "," or first.isupper():
+                turned[pair] += 1
         if len(words) + len(pairs) > most:
             yield from rows()
             words.clear(), pairs.clear(), turned.clear()

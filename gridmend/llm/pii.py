@@ -5,9 +5,10 @@ from __future__ import annotations
 import gc
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import accumulate, islice
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -17,7 +18,7 @@ from gridmend.functions.cols import ref
 from gridmend.llm import field
 from gridmend.llm.field import B, Chains, Line, Run, Weights
 from gridmend.llm.names import PARTICLES, TITLES, names_of, prepositions, weak_labels
-from gridmend.llm.plain import Plain
+from gridmend.llm.plain import Plain, plain_of
 from gridmend.sources.tables import checkpoint_dir
 
 KINDS = ("email", "phone", "identity_number", "street_address", "person_name")
@@ -60,31 +61,57 @@ FAMILIES = [
         ("street_address", "de_lower", r"(?<![\w\-])(?:am\s[\wäöüß\-]+|[a-zäöü][\wäöüß\-]+(?:" + _DE_LOWER + r"))\s\d{1,3}[a-z]?(?!\w)" + _NO_DATE, 0),
     )
 ]
-#: What every find of a pattern holds, from the pattern's own parts: looked for first, as most lines hold none of it. A number written in groups is a stretch of eight signs at least.
-_STRETCH = re.compile(r"\d[\d .\-/]{6,}\d")
-_NEEDS = {
-    "email": re.compile(_AT),
-    "nino": re.compile(r"\d\d ?[A-D](?!\w)"),
-    "pass": re.compile(r"\d[A-Z]{2}\d"),
-    "en": re.compile(r"\d[A-Za-z]?,? [A-Z]"),
-    "en_lower": re.compile(r"\d[a-z]?,? [a-z]"),
-    "en_upper": re.compile(r"\d[A-Z]?,? [A-Z][A-Z'’\- ]"),
-    "de": re.compile(r"(?:" + _DE_STREET + r")\s\d|\b(?:" + _DE_FIRST + r")\s"),
-    "de_lower": re.compile(r"(?:" + _DE_LOWER + r")\s\d|\bam\s"),
+#: What every find of a pattern holds, from the pattern's own parts: looked for first, as most lines hold none of it. All but _BESIDES is a digit and what stands around it, so that the search
+#: hops from digit to digit: the first digit of a number, the digit before the street, and digits after a sign, capitals or a street.
+_NUMBER = {
+    "zeros": r"(?<=0)0[1-9]\d",
+    "paren": r"\d\d\) ?\d{3}[ .\-]\d{4}",
+    "us": r"\d\d[.\- ]\d{3}[.\- ]\d{4}",
+    "fr_phone": r"(?<=0)[1-9](?:[ .\-]?\d\d){4}",
+    "area": r"(?<=0)\d{2,4}[ /\-]\d{4}",
+    "nir": r" \d\d \d\d \d\d \d{3} \d{3}",
+    "nir_run": r"\d{12}",
+    "ssn": r"\d\d-\d\d-\d{4}",
+    "tax": r"\d \d{3} \d{3} \d{3}",
+    "pass": r"\d[A-Z]{2}\d{5}",
+}
+_STREET = {
+    "en": r"[A-Za-z]?,? (?:[A-Z][\w'’\-]*\s){1,3}(?:" + _EN_STREET + r")\b",
+    "en_lower": r"[a-z]?,? (?:[a-z][\w'’\-]*\s){1,3}(?:lane|row|close|road|avenue|street|terrace)\b",
+    "en_upper": r"[A-Z]?,? (?:[A-Z][A-Z'’\-]*\s){1,3}(?:LANE|ROW|CLOSE|ROAD|AVENUE|STREET|TERRACE)\b",
+    "fr": r"(?i:(?:\s?(?:bis|ter|quater|[a-d]))?,? (?:" + _FR_STREET + r")\s)",
+}
+_AFTER = {
+    "plus": r"(?<=\+\d)",
+    "nino": r"(?:(?<=[A-Z]\d)|(?<=[A-Z] \d))\d ?\d\d ?\d\d ?[A-D]",
+    "de": r"(?<=\s\d)(?:" + "|".join(rf"(?<={x}\s\d)" for x in _DE_STREET.split("|")) + ")",
+    "de_lower": r"(?<=\s\d)(?:" + "|".join(rf"(?<={x}\s\d)" for x in _DE_LOWER.split("|")) + ")",
 }
-_SIGNS = {"email": ("@", "(", "[", " AT", "arobase"), "plus": ("+",), "zeros": ("00",), "paren": ("(",)}
+_BESIDES = {
+    "email": (r"@", r"[\[(]\s?(?:at|arobase|a|ät)\s?[\])]", r"\s(?:AT|arobase)\s"),
+    "de": (r"(?:" + _DE_FIRST + r")\s[A-ZÄÖÜ][\wäöüß\-]+\s\d",),
+    "de_lower": (r"am\s[\wäöüß\-]+\s\d",),
+}
+
+
+def _needs(families: set[str]) -> tuple[re.Pattern, ...]:
+    """What to look for so that none of the families' finds is missed."""
+    number, street, after = ("|".join(x for f, x in d.items() if f in families) for d in (_NUMBER, _STREET, _AFTER))
+    digit = [*([rf"(?<![\w.\-]\d)(?:{number})"] if number else []), *([rf"(?!\d)(?:{street})"] if street else []), *([after] if after else [])]
+    return tuple(map(re.compile, [*([rf"\d(?:{'|'.join(digit)})"] if digit else []), *(x for f, xs in _BESIDES.items() if f in families for x in xs)]))
+
+
+_NEEDS = {family: _needs({family}) for _, family, _ in FAMILIES}
+_ANY_NEED = _needs(set(_NEEDS))
+_STRETCH = re.compile(r"\d[\d .\-/]{6,}\d")
 _GROUPED = frozenset(("us", "fr_phone", "area", "nir", "nir_run", "ssn", "tax"))
 
 
 def may_hold(family: str, text: str, digit: bool, stretch: bool) -> bool:
-    """Whether a pattern can match in the text at all; every pattern but that of mails asks for a digit."""
+    """Whether a pattern can match in the text at all; every pattern but that of mails asks for a digit, and a number written in groups is a stretch of eight signs at least."""
     if family != "email" and not digit or family in _GROUPED and not stretch:
         return False
-    signs = _SIGNS.get(family)
-    if signs and not any(x in text for x in signs):
-        return False
-    needs = _NEEDS.get(family)
-    return needs is None or needs.search(text) is not None
+    return any(rx.search(text) for rx in _NEEDS[family])
 
 
 _DIGIT = re.compile(r"\d")
@@ -114,6 +141,13 @@ def patterns(text: str) -> list[tuple[int, int, str, str, bool]]:
     return out
 
 
+def patterns_of(texts: list[str]) -> list[list[tuple[int, int, str, str, bool]]]:
+    """The patterns' finds in each of the texts. What the patterns need is looked for in all texts at once; what stands between them is no part of any need."""
+    joined, ends = "\0".join(texts), list(accumulate(len(t) + 1 for t in texts))
+    may = {bisect_right(ends, m.start()) for rx in _ANY_NEED for m in rx.finditer(joined)}
+    return [patterns(t) if i in may else [] for i, t in enumerate(texts)]
+
+
 def parse(line: str) -> tuple[Plain, Line, list[field.Keys], list[bool | None]]:
     """A line's plain text, tokens, keys for skip edges, and for a pattern's find whether it is sound (None: a word)."""
     p = Plain(line)
@@ -213,12 +247,14 @@ def _scan(batches: Iterator[pa.RecordBatch], model: Weights, masked: bool, memor
             new = list(dict.fromkeys(line for lines in docs for line in lines if line))
         for at in range(0, len(new), 4096):
             part = new[at : at + 4096]
-            plain = [Plain(line) for line in part]
-            spans = [patterns(p.text) for p in plain]
-            found = chains.runs([(p.text, [x[:3] for x in xs]) for p, xs in zip(plain, spans)], [{x[0]: x[3] for x in xs} for xs in spans])
+            plain = plain_of(part)
+            texts_read = [p.text if p else line for line, p in zip(part, plain)]
+            spans = patterns_of(texts_read)
+            found = chains.runs([(t, [x[:3] for x in xs]) for t, xs in zip(texts_read, spans)], [{x[0]: x[3] for x in xs} for xs in spans])
             for line, p, runs in zip(part, plain, found):
-                for r in runs:
-                    r.places = [(p.place(a), p.end(b)) for a, b in r.places]
+                if p:
+                    for r in runs:
+                        r.places = [(p.place(a), p.end(b)) for a, b in r.places]
                 memo[line] = runs
         for doc, text, lines in zip(batch.column(0).to_pylist(), texts, docs):
             at, runs = 0, []

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
+from itertools import accumulate
 
-from gridmend.llm.words import _ODD, _repair
+from gridmend.llm.words import _AND, _WRONG, _repair
 
-_MARK = re.compile(r"'{2,5}|</?[A-Za-z][^<>]{0,200}>|\{\{(?:citation needed|refnec|référence nécessaire|Belege|fact|cn)\b[^{}]*\}\}|\[\[([^\[\]|]*)\|([^\[\]]*)\]\]|\[\[|\]\]|" + _ODD.pattern)
-_ANY = re.compile(r"''|[<{\[]|" + _ODD.pattern)
+#: The signs that any of it begins with. Expressions that begin with one of them hop from sign to sign.
+_SIGN = "['<{\\[\\]&Â-ô\xad\u200b-\u200d\ufeff]"
+_MARK = re.compile(
+    _SIGN + r"(?:(?<=')'{1,4}|(?<=<)/?[A-Za-z][^<>]{0,200}>|(?<=\{)\{(?:citation needed|refnec|référence nécessaire|Belege|fact|cn)\b[^{}]*\}\}|(?<=\[)\[(?:([^\[\]|]*)\|([^\[\]]*)\]\])?|(?<=\])\]"
+    + "|(?<=&)" + _AND + "|(?<=[Â-ô])" + _WRONG + "|(?<=[\xad\u200b-\u200d\ufeff]))"
+)
+#: Whether a line may hold any of it.
+_ANY = re.compile(_SIGN + r"(?:(?<=')'|(?<=[<{\[])" + "|(?<=&)" + _AND + "|(?<=[Â-ô])" + _WRONG + "|(?<=[\xad\u200b-\u200d\ufeff]))")
 
 
 class Plain:
@@ -54,3 +61,10 @@ class Plain:
     def end(self, i: int) -> int:
         """Where the text up to character i (excluded) ends in the original."""
         return self.place(i - 1) + 1 if i else 0
+
+
+def plain_of(lines: list[str]) -> list[Plain | None]:
+    """Of each line its plain text, or None for a line that is plain as it stands; all are looked through at once."""
+    ends = list(accumulate(len(x) + 1 for x in lines))
+    odd = {bisect_right(ends, m.start()) for m in _ANY.finditer("\0".join(lines))}
+    return [Plain(x) if i in odd else None for i, x in enumerate(lines)]

@@ -8,7 +8,8 @@ import unicodedata
 from bisect import bisect_right
 
 #: Escapes, and UTF-8 that was decoded as a one-byte code page (two to four such characters).
-_ODD = re.compile(r"&(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});|[Â-ô][\u0080-¿ŒœŠšŸŽžƒˆ˜–-™]{1,3}|[­​-‍﻿]")
+_AND, _WRONG = r"(?:#\d{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});", r"[\u0080-¿ŒœŠšŸŽžƒˆ˜–-™]{1,3}"
+_ODD = re.compile("&" + _AND + "|[Â-ô]" + _WRONG + r"|[­​-‍﻿]")
 #: What holds no running text (short notes, tags, short templates), links with a label, and words.
 _TOKEN = re.compile(r"<!--[^<>]{0,80}-->|<ref[^<>]*/>|<ref[^<>]*>[^<]{0,80}</ref>|</?[A-Za-z][^<>]{0,200}>|\{\{[^{}]{0,60}\}\}|\[\[([^\[\]|]*)\|([^\[\]|]*)\]\]|[^\W_]+")
 _WORD = re.compile(r"[^\W_]+")

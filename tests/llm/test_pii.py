@@ -10,7 +10,7 @@ import pytest
 
 from gridmend.llm import field, names, pii
 from gridmend.llm.field import B, I, O, Chains, Weights
-from gridmend.llm.plain import Plain
+from gridmend.llm.plain import Plain, plain_of
 
 GIVEN = ["Elise", "Hugo", "Nadia", "Oscar", "Jean-Noel", "Priya"]
 FAMILIES = [b + e for b in ("Ulm", "Sarv", "Thev", "Krem", "Vign", "Hauv") for e in ("oviac", "astre", "equin", "idsen", "umont")]
@@ -75,6 +75,65 @@ def test_quick_looks_are_no_narrower_than_the_patterns():
     assert met == {f for _, f, _ in pii.FAMILIES}
 
 
+def test_looks_at_many_texts_at_once_miss_nothing():
+    """Against all patterns tried on every text; what a text ends with and the next begins with make no find."""
+    rng = random.Random(6)
+    words = ["Am", "Zum", "Lindenweg", "12", "3b", "rue", "12 Long Lane", "12, long lane", "7B HIGH ROAD", "Markt", "x@y.fr", "x [at] y [dot] fr", "am", "2001", "1999 the old", "0612345678", "06 12 34 56 78", "0303/23125", "+33(0)536492690"]
+    words += ["0033 5 36 12 34", "(202) 555-0100", "202.555.0116", "1 59 33 96 229 384", "1593396229384", "246-71-0712", "QQ123456C", "09 405 756 206", "39AK27929", ".", ", ", "-", "\0", "+"]
+    texts = ["".join(rng.choice(words) + rng.choice([" ", "", "\t"]) for _ in range(5)) for _ in range(3000)] + ["", "06 12 34", "56 78 12", "12 Long", "Lane"]
+    got = pii.patterns_of(texts)
+    for text, found in zip(texts, got):
+        want = []
+        for kind, family, rx in pii.FAMILIES:
+            want += [(m.start(), m.end(), f"{kind}:{family}") for m in rx.finditer(text) if not any(m.start() < y and x < m.end() for x, y, _ in want)]
+        assert [(a, b, ":".join(name.split(":")[:2])) for a, b, name, *_ in found] == sorted(want), text
+    assert got[-5:] == [[]] * 5 and {name.split(":")[1] for found in got for _, _, name, *_ in found} == {f for _, f, _ in pii.FAMILIES}
+
+
+def test_lines_are_not_tried_pattern_by_pattern(model, monkeypatch):
+    """Most lines hold digits, but nothing that a pattern needs."""
+    tried, patterns = [], pii.patterns
+    monkeypatch.setattr(pii, "patterns", lambda text: tried.append(text) or patterns(text))
+    plain = [f"In {1700 + i} the weir of 4.50 m fed 12 mills, built by 2001 (see {i}-{i})." for i in range(300)]
+    found, _ = hits("\n".join([*plain, "Call 06 12 34 56 78 or write to a@b.example."]), model)
+    assert len(found) == 2 and tried == ["Call 06 12 34 56 78 or write to a@b.example."]
+
+
+def test_lines_with_nothing_to_join_keep_no_runs(model):
+    """Tokens alone that can't be an entity and have no skip edge are dropped; what is kept decides as all of them would."""
+    texts = ["the quay by the weir, and the row of mills", "Dr Hugo Vignastre came", "Older maps show a tannery. The Ely, a barge", "call 05 36 49 12 14 or E. Ulmequin, then Sarvastre"] * 3
+    spans = [pii.patterns(t) for t in texts]
+    chains = Chains(model)
+    chains.least = -1e6  # all tokens take part
+    lines = [(t, [x[:3] for x in s]) for t, s in zip(texts, spans)]
+    runs = chains.runs(lines, [{x[0]: x[3] for x in s} for s in spans])
+    _, _, start, end, line, u = chains.scorer.potentials(lines)
+    for k in range(len(texts)):
+        chances = field.marginals([tuple(x) for x in u[line == k].tolist()], chains.move)
+        assert sum(max(c[B], c[I]) > c[O] for c in chances) == sum(len(p) for p in chains.decide([(0, [dataclasses.replace(r, keys=[(None,) * 3] * len(r.u)) for r in runs[k]])]))
+    assert not runs[0] and runs[1] and not Chains(model).runs([("the quay by the weir, 12 mills", [])], [{}])[0]
+
+
+def test_line_feed_from_an_escape(model):
+    """It ends no line: the places of the lines after it stay."""
+    assert hits("The weir&#10;was kept.\nDr Hugo Vignastre came.\nDr Elise Thevastre&#10;came.\nCall 06 12 34 56 78.", model)[0] == {("person_name", "Hugo Vignastre"), ("person_name", "Elise Thevastre"), ("phone", "06 12 34 56 78")}
+
+
+def test_lines_as_plain_as_they_stand():
+    rng = random.Random(8)
+    signs = ["'", "''", "<", "<i>", "[[", "[[a|b]]", "]]", "{{cn}}", "{", "&", "&amp;", "&x", "Ã©", "é", "Ã", "\xad", "\u200b", "\ufeff", "a", " ", "\0"]
+    lines = ["".join(rng.choice(signs) for _ in range(3)) for _ in range(3000)] + [""]
+    for line, p in zip(lines, plain_of(lines)):
+        assert (p.text, p.shifts) == (Plain(line).text, Plain(line).shifts) if p else Plain(line).text == line
+    assert plain_of(["Plain é, it's so.", "a]] b"]) == [None, None] and Plain("a]] b").text == "a]] b"
+
+
+def test_pairs_do_not_go_over_the_end_of_a_line():
+    rows = list(names._counted(iter([("Then Hugo",), ("Vignastre, Elise; d'Ulmequin",), ("xÉlise VIGNASTRE Nadia",)] * 300), 10**6))
+    pairs = {(a, b): (sum(x[2] for x in rows if x[:2] == (a, b)), sum(x[3] for x in rows if x[:2] == (a, b))) for a, b, *_ in rows if b}
+    assert pairs == {("then", "hugo"): (300, 0), ("vignastre", "elise"): (300, 300), ("vignastre", "nadia"): (300, 300)}
+
+
 def test_markup_inside_a_name(model):
     text = "Dr [[Elise|Ulmequin]] Ulmequin<ref name=\"r\" /> kept the keys."
     rows = list(pii._scan([pa.RecordBatch.from_arrays([[1], [text]], ["id", "text"])], model, False, 10))
